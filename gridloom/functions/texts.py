@@ -11,6 +11,8 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
 COLUMN_FORMAT = "Col %04d"
 ELAPSED_FORMAT = "%dm %ds"
 EMPTY_VECTOR_FORMAT = "(%d,[],[])"
+TRAINING_FORMAT = "Train Epoch: %d [%d/%d (%.0f%%)]\tLoss: %.6f"
+SCORE_FORMAT = "Test set: Average loss: %.4f, Accuracy: %d/%d (%.0f%%)"
 CLASS_COUNT_FORMAT = (
     "Actual num images: %d    Correct num images: 5000 (training set), 1000 (test set)"
 )
@@ -50,6 +52,21 @@ def class_count_text(count: Column | str) -> Column:
     return F.format_string(CLASS_COUNT_FORMAT, count)
 
 
+def training_text(
+    epoch: Column | str, seen: Column | str, total: Column | str,
+    percent: Column | str, loss: Column | str,
+) -> Column:
+    """One log line of a training run."""
+    return F.format_string(TRAINING_FORMAT, epoch, seen, total, percent, loss)
+
+
+def score_text(
+    loss: Column | str, correct: Column | str, total: Column | str, accuracy: Column | str
+) -> Column:
+    """One line with the result of an evaluation."""
+    return F.format_string(SCORE_FORMAT, loss, correct, total, accuracy)
+
+
 def join_tabs(*values: Column | str) -> Column:
     """Values as one tab-separated text."""
     return F.concat_ws("\t", *(_as_text(v) for v in values))

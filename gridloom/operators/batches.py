@@ -10,19 +10,29 @@ from gridloom.sources.text import random_order
 
 
 def exact_batches(
-    df: DataFrame, key: list[str], batch_size: int = 64, *, seed: int = 1, epoch: int = 0
+    df: DataFrame,
+    key: list[str],
+    batch_size: int = 64,
+    *,
+    seed: int = 1,
+    epoch: int = 0,
+    folder: str | None = None,
 ) -> DataFrame:
     """Rows in shuffled order with ``position`` and ``batch``.
 
     The order is by a hash of key, seed and epoch: every row once per epoch,
     every batch full but the last. One range-partitioned sort, no matter how
-    large the table; rows with equal keys sort as neighbours.
+    large the table. Rows that share a key are ordered by a hash of the whole
+    row, so that many rows with one key still spread over partitions.
     """
-    order = "__order"
+    order, tie = "__order", "__tie"
     shuffled = ordinals(
-        df.withColumn(order, random_order(key, seed, epoch)), [order, *key], "position"
+        df.select("*", random_order(key, seed, epoch).alias(order), F.xxhash64(*df.columns).alias(tie)),
+        [order, tie],
+        "position",
+        folder=folder,
     )
-    return shuffled.drop(order).withColumn(
+    return shuffled.drop(order, tie).withColumn(
         "batch", F.floor(F.col("position") / batch_size).cast("long")
     )
 

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def predict(
             offsets = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.reshape(-1)))
 
-    scored = df.withColumn("logp", apply(features))
+    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
+    inputs = vector_to_array(features) if is_vector else F.col(features)
+    scored = df.withColumn("logp", apply(inputs))
     return scored.withColumn("prediction", row_argmax("logp"))
 
 

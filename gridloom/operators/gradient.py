@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,16 @@ def _flat(grads: Model, shapes: dict[str, tuple[int, ...]]) -> np.ndarray:
     )
 
 
+def with_arrays(df: DataFrame) -> DataFrame:
+    """Vector columns as arrays, which Arrow batches can carry."""
+    return df.select(
+        *(
+            vector_to_array(f.name).alias(f.name) if isinstance(f.dataType, VectorUDT) else f.name
+            for f in df.schema.fields
+        )
+    )
+
+
 def loss_and_gradient(
     dataset: DataFrame, model: Model, grad: BatchGradient, *, count: int | None = None
 ) -> tuple[float, Model, int]:
@@ -70,8 +81,8 @@ def loss_and_gradient(
     beforehand, so the traffic is cores times model size however many
     partitions the data has. Rows are counted in the same pass.
     """
-    spark = dataset.sparkSession
-    sc = spark.sparkContext
+    dataset = with_arrays(dataset)
+    sc = dataset.sparkSession.sparkContext
     shapes = {name: np.shape(value) for name, value in model.items()}
     size = int(sum(np.prod(s, dtype=np.int64) for s in shapes.values()))
     if size * 8 > MODEL_BYTES_LIMIT:

@@ -21,7 +21,12 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these
 
 
 def ordinals(
-    df: DataFrame, order_by: list[Column | str], name: str = "ordinal", *, kind: str = "long"
+    df: DataFrame,
+    order_by: list[Column | str],
+    name: str = "ordinal",
+    *,
+    kind: str = "long",
+    folder: str | None = None,
 ) -> DataFrame:
     """Zero-based position of every row in the given total order.
 
@@ -32,7 +37,9 @@ def ordinals(
     """
     mark, part, offset = "__mark", "__part", "__offset"
     placed = materialise(
-        df.orderBy(*order_by).withColumn(mark, F.monotonically_increasing_id()), "ordinals"
+        df.orderBy(*order_by).withColumn(mark, F.monotonically_increasing_id()),
+        "ordinals",
+        folder=folder,
     )
     in_part = placed.select(
         *df.columns,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.batches import exact_batches
-from gridloom.operators.evaluate import score_report
+from gridloom.operators.evaluate import predict, score_report
 from gridloom.operators.gradient import BatchGradient, Descent, Model, loss_and_gradient
 from gridloom.session import new_work_folder, remove_work_folder
 
@@ -87,11 +87,15 @@ def train_epochs(
     n_batches = math.ceil(total / batch_size)
     per_folder = math.ceil(n_batches / BATCH_FOLDERS) if n_batches else 1
     for epoch in range(1, epochs + 1):
+        sorted_folder = new_work_folder(spark, "shuffle")
         folder = new_work_folder(spark, "epoch")
         try:
-            exact_batches(dataset, key, batch_size, seed=seed, epoch=epoch).withColumn(
-                "part", F.floor(F.col("batch") / per_folder).cast("int")
-            ).write.partitionBy("part").parquet(folder)
+            placed = exact_batches(
+                dataset, key, batch_size, seed=seed, epoch=epoch, folder=sorted_folder
+            )
+            placed.withColumn("part", F.expr(f"int(batch div {per_folder})")).write.partitionBy(
+                "part"
+            ).parquet(folder)
             shuffled = spark.read.parquet(folder)
             seen = 0
             for b in range(n_batches):
@@ -105,12 +109,11 @@ def train_epochs(
                     )
                 seen += rows
         finally:
+            remove_work_folder(spark, sorted_folder)
             remove_work_folder(spark, folder)
     return run
 
 
 def evaluate_epoch(test: DataFrame, model: Model, scores) -> DataFrame:
     """The test report of a model."""
-    from gridloom.operators.evaluate import predict
-
     return score_report(predict(test, model, scores))

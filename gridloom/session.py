@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.functions.texts import ELAPSED_FORMAT
+
 WORK_PREFIX = "gridloom-"
 
 
@@ -55,6 +58,12 @@ def persist(df: DataFrame, *, eager: bool = False) -> DataFrame:
     return kept
 
 
+def elapsed_since(started: float) -> str:
+    """``2m 5s`` from a ``time.time()`` to now."""
+    minutes, seconds = divmod(time.time() - started, 60)
+    return ELAPSED_FORMAT % (minutes, seconds)
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -85,13 +94,14 @@ def remove_work_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, *, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage in a form that outlives any executor. Unlike an RDD
     checkpoint, later plans still prune its columns and know its real size.
+    Whoever names the ``folder`` can delete it when done.
     """
     spark = df.sparkSession
-    folder = new_work_folder(spark, purpose)
+    folder = folder or new_work_folder(spark, purpose)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
