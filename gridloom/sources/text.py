@@ -39,8 +39,9 @@ def int_fields(line: Column | str) -> Column:
 def csv_fields(line: Column | str) -> Column:
     """Fields of one CSV line as ``array<string>``, quotes taken off."""
     line = F.col(line) if isinstance(line, str) else line
+    # With a comma put in front, every field is a comma and what follows it.
     found = F.regexp_extract_all(
-        line, F.lit(r'(?:^|,)("[^"]*(?:""[^"]*)*"|[^,]*)'), F.lit(1)
+        F.concat(F.lit(","), line), F.lit(r',("[^"]*(?:""[^"]*)*"|[^,]*)'), F.lit(1)
     )
     return F.transform(
         found,
