@@ -37,9 +37,18 @@ def _ratio_or_zero(x: Column, top: Column, bottom: Column) -> Column:
     )
 
 
+def _shift_and_divide(values: Column | str, shift: float, divisor: float) -> Column:
+    """``(x - shift) / divisor`` by constants, as short as it can be: the
+    function runs once per element."""
+    if divisor == 0:
+        return F.transform(_doubles(values), lambda x: F.when(x.isNotNull(), F.lit(0.0)))
+    moved = (lambda x: x - F.lit(float(shift))) if shift else (lambda x: x)
+    return F.transform(_doubles(values), lambda x: moved(x) / F.lit(float(divisor)))
+
+
 def scale(values: Column | str, divisor: float = PIXEL_MAX) -> Column:
     """Every element divided by a constant."""
-    return F.transform(_doubles(values), lambda x: x / F.lit(float(divisor)))
+    return _shift_and_divide(values, 0.0, divisor)
 
 
 def min_max(
@@ -49,6 +58,8 @@ def min_max(
 
     ``low`` and ``high`` are numbers or arrays with one entry per position.
     """
+    if not isinstance(low, Column) and not isinstance(high, Column):
+        return _shift_and_divide(values, low, high - low)
 
     def one(x: Column, i: Column) -> Column:
         lo, hi = _at(low, i), _at(high, i)
@@ -62,6 +73,8 @@ def standardise(
 ) -> Column:
     """``(x - mean) / std`` with scalars or per-position arrays; 0 where the
     spread is 0."""
+    if not isinstance(mean, Column) and not isinstance(std, Column):
+        return _shift_and_divide(values, mean, std)
 
     def one(x: Column, i: Column) -> Column:
         mu, sigma = _at(mean, i), _at(std, i)

@@ -19,13 +19,13 @@ CLASS_COUNT_FORMAT = (
 
 
 def tokens(text: Column | str, *, skip_first: bool = False) -> Column:
-    """All tokens of a text in lower case; ``skip_first`` leaves out a leading
-    label."""
+    """All tokens of a text as they are written; ``skip_first`` leaves out a
+    leading label."""
     text = F.col(text) if isinstance(text, str) else text
     found = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
     if skip_first:
         found = F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0)))
-    return F.transform(found, F.lower)
+    return found
 
 
 def column_name(position: Column | str) -> Column:

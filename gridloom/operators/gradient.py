@@ -163,7 +163,7 @@ def gradient_descent(lr: float) -> Descent:
     """Plain descent."""
 
     def update(model: Model, grads: Model) -> Model:
-        return {name: value - lr * grads[name] for name, value in model.items()}
+        return {n: (v - lr * grads[n]).astype(v.dtype) for n, v in model.items()}
 
     return update
 
@@ -181,5 +181,5 @@ class Momentum:
             kept = self.velocity.get(name)
             moved = grads[name] if kept is None else self.momentum * kept + grads[name]
             self.velocity[name] = moved
-            updated[name] = value - self.lr * moved
+            updated[name] = (value - self.lr * moved).astype(value.dtype)
         return updated

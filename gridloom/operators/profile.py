@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,12 +66,10 @@ def nunique(df: DataFrame, column: str) -> int:
 def token_counts(
     df: DataFrame, text: str = "value", *, skip_first: bool = False
 ) -> DataFrame:
-    """``(token, n)`` over all lines; counted in each task before the shuffle."""
-    return (
-        df.select(F.explode(tokens(text, skip_first=skip_first)).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-    )
+    """``(token, n)`` over all lines, tokens in lower case; counted in each task
+    before the shuffle."""
+    written = df.select(F.explode(tokens(text, skip_first=skip_first)).alias("token"))
+    return written.groupBy(F.lower("token").alias("token")).agg(F.count("*").alias("n"))
 
 
 def most_frequent(counts: DataFrame) -> DataFrame:
@@ -153,13 +152,13 @@ def change_counts(
     work, hence two levels: the extremum before each record segment from the
     segment extrema, then a window inside each segment over the values that
     pass it. The thinned table serves both and is written out once. Minima are
-    followed as maxima of the negated values.
+    followed as maxima of the negated values. Values compare as doubles.
     """
     key = df.schema[file].dataType.simpleString()
     thinned = df.select(
         F.col(file).alias("file"),
         F.col(rec).cast("long").alias("rec"),
-        F.col(values).cast("array<double>").alias("v"),
+        F.col(values).alias("v"),
     ).mapInArrow(_thin_batches, f"file {key}, rec long, col int, v double, rising boolean")
     firsts = materialise(
         thinned.groupBy("rising", "file", "col", "v").agg(F.min("rec").alias("rec")), "changes"
@@ -208,21 +207,51 @@ def _thin_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 own = np.flatnonzero(files == code)
                 own = own[np.argsort(recs[own], kind="stable")]
                 for rising in (True, False):
-                    values = block[own] if rising else -block[own]
-                    edge = np.maximum.accumulate(values, axis=0)
-                    moved = np.ones(values.shape, bool)
-                    moved[1:] = edge[1:] > edge[:-1]
-                    row, col = np.nonzero(moved)
-                    yield _candidates(batch, own[row], col, values[row, col], rising)
+                    edge = block[own[0]].copy()
+                    if edge.dtype.kind == "f":
+                        edge[np.isnan(edge)] = -np.inf if rising else np.inf
+                    first = own[:1].repeat(len(edge))
+                    yield _candidates(batch, first, np.arange(len(edge)), edge, rising)
+                    for row, col, values in _extremum_moves(block, own[1:], edge, rising):
+                        yield _candidates(batch, row, col, values, rising)
         else:
             row = np.repeat(np.arange(len(lengths)), lengths)
             col = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            kept = flat.is_valid().to_numpy(zero_copy_only=False)
-            values = flat.drop_null().to_numpy()
+            usable = flat.is_valid()
+            if pa.types.is_floating(flat.type):
+                usable = pc.and_(usable, pc.invert(pc.fill_null(pc.is_nan(flat), True)))
+            kept = usable.to_numpy(zero_copy_only=False)
+            values = flat.filter(usable).to_numpy()
             for rising in (True, False):
-                yield _candidates(
-                    batch, row[kept], col[kept], values if rising else -values, rising
-                )
+                yield _candidates(batch, row[kept], col[kept], values, rising)
+
+
+def _extremum_moves(
+    block: np.ndarray, order: np.ndarray, edge: np.ndarray, rising: bool, step: int = 256
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, columns and values that move the running extremum ``edge``, taking
+    the rows of ``block`` in ``order``; ``edge`` is kept up to date.
+
+    Few values do: a stretch of rows is looked into only for the columns whose
+    extremum in it lies beyond the edge.
+    """
+    numbers = block.dtype.kind == "f"
+    if rising:
+        running, beyond = np.fmax if numbers else np.maximum, np.greater
+    else:
+        running, beyond = np.fmin if numbers else np.minimum, np.less
+    for start in range(0, len(order), step):
+        rows = order[start : start + step]
+        stretch = block[rows[0] : rows[-1] + 1]
+        if len(stretch) != len(rows) or (np.diff(rows) != 1).any():
+            stretch = block[rows]
+        moving = np.flatnonzero(beyond(running.reduce(stretch, axis=0), edge))
+        if len(moving):
+            values = stretch[:, moving]
+            edges = running.accumulate(np.vstack([edge[moving], values]), axis=0)
+            row, col = np.nonzero(beyond(edges[1:], edges[:-1]))
+            edge[moving] = edges[-1]
+            yield rows[row], moving[col], values[row, col]
 
 
 def _candidates(
@@ -234,7 +263,7 @@ def _candidates(
             batch.column("file").take(rows),
             batch.column("rec").take(rows),
             pa.array(col, pa.int32()),
-            pa.array(values),
+            pa.array(values.astype(np.float64) * (1.0 if rising else -1.0)),
             pa.array(np.full(len(row), rising)),
         ],
         names=["file", "rec", "col", "v", "rising"],
@@ -272,10 +301,10 @@ def file_column_profile(
                     continue
                 seen = True
                 _, pixels = _decode(block, signed_shift)
-                running = np.zeros((len(pixels) + 1, width), np.uint8)
-                np.maximum.accumulate(pixels, axis=0, out=running[1:])
-                rises += (running[1:] > running[:-1]).sum(axis=0)
-                top = np.maximum(top, running[-1])
+                edge = np.zeros(width, np.uint8)
+                for _, col, _ in _extremum_moves(pixels, np.arange(len(pixels)), edge, True):
+                    rises += np.bincount(col, minlength=width)
+                top = np.maximum(top, edge)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(width, dtype=np.int32))]

@@ -30,7 +30,7 @@ def decoded_records_shifted(spark, sf_dir):
 
 
 def decoded_pixel_arrays(spark, sf_dir):
-    records = binary.split_records(image_files(spark, sf_dir), FILE_RECORD_LENGTH, as_array=True)
+    records = binary.split_records(image_files(spark, sf_dir), FILE_RECORD_LENGTH, pixels="array")
     return cells(records, ["path", "rec"], "pixels")
 
 

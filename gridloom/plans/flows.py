@@ -20,7 +20,7 @@ from gridloom.operators.profile import (
 from gridloom.operators.training import fit_perceptron
 from gridloom.operators.validate import file_size_report
 from gridloom.session import persist
-from gridloom.sinks.files import write_by_class, write_labelled_csv
+from gridloom.sinks.files import place_by_class, write_by_class, write_labelled_csv
 from gridloom.sources.binary import RECORD_LENGTH, Paths, read_records, scan_files
 from gridloom.sources.text import read_labelled_csv, read_lines
 
@@ -40,7 +40,8 @@ def profile_classes(
     spark: SparkSession, paths: Paths, record_length: int = RECORD_LENGTH
 ) -> DataFrame:
     """Images per class of binary image files, in class-name order."""
-    return class_counts(read_records(spark, paths, record_length)).orderBy("class_name")
+    records = read_records(spark, paths, record_length, pixels="none")
+    return class_counts(records).orderBy("class_name")
 
 
 def profile_columns(
@@ -66,19 +67,23 @@ def normalise_files(
     spark: SparkSession, paths: Paths, out: str, record_length: int = RECORD_LENGTH,
     *, signed_shift: bool = False,
 ) -> None:
-    """Binary image files to Parquet of 0-1 floats, one folder per class."""
+    """Binary image files to Parquet of 0-1 floats, one folder per class.
+
+    Rows move to their class as small integers and are normalised after.
+    """
     records = read_records(
-        spark, paths, record_length, signed_shift=signed_shift, as_array=True
+        spark, paths, record_length, signed_shift=signed_shift, pixels="array"
     )
     pixels = min_max("pixels").cast("array<float>").alias("pixels")
-    write_by_class(records.select("path", "rec", "label", pixels), out)
+    placed = place_by_class(records).select("path", "rec", "label", pixels)
+    write_by_class(placed, out, placed=True)
 
 
 def convert_to_csv(
     spark: SparkSession, paths: Paths, out: str, record_length: int = RECORD_LENGTH
 ) -> None:
     """Binary image files to label-first CSV lines."""
-    write_labelled_csv(read_records(spark, paths, record_length, as_array=True), out)
+    write_labelled_csv(read_records(spark, paths, record_length, pixels="array"), out)
 
 
 @dataclass

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridloom.functions import sparse
 from gridloom.functions.texts import empty_vector_text
 from gridloom.operators import index, validate, vectors
 from gridloom.plans.tables import CELLS_SQL, rounded, table
@@ -130,6 +131,47 @@ def index_intersection(spark, sf_dir):
     return vectors.index_intersection(*_pairs(spark, sf_dir))
 
 
+# --- the same with both vectors in one row ------------------------------------
+
+
+def _paired_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.expr("vec_id div 2").alias("id"), F.expr("vec_id % 2").alias("side"),
+        sparse.from_dense("embedding", above=THRESHOLD).alias("v"),
+    )
+    a = rows.where("side = 0").select("id", F.col("v").alias("a"))
+    return a.join(rows.where("side = 1").select("id", F.col("v").alias("b")), "id")
+
+
+def _entries(df, vector):
+    return df.select("id", F.explode(vector).alias("idx", "value")).select(
+        "id", "idx", rounded("value")
+    )
+
+
+def row_sparse_sum(spark, sf_dir):
+    return _entries(_paired_rows(spark, sf_dir), sparse.add("a", "b"))
+
+
+def row_sparse_product(spark, sf_dir):
+    return _entries(_paired_rows(spark, sf_dir), sparse.multiply("a", "b"))
+
+
+def row_sparse_concatenation(spark, sf_dir):
+    return _entries(_paired_rows(spark, sf_dir), sparse.concat(["a", "b"], [64, 64]))
+
+
+def row_sparse_scaled(spark, sf_dir):
+    return _entries(_paired_rows(spark, sf_dir), sparse.scale("a", 3.0))
+
+
+def row_dense_values(spark, sf_dir):
+    pairs = _paired_rows(spark, sf_dir)
+    return pairs.select("id", F.posexplode(sparse.to_dense("a", 64)).alias("idx", "value")).select(
+        "id", "idx", rounded("value")
+    )
+
+
 def operand_mismatches(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     a = vectors.from_arrays(rows, "vec_id", "embedding")
@@ -144,7 +186,8 @@ QUERIES = {
         indexed_scores_with_null, sparse_entries, sparse_sum, sparse_product, sparse_shifted,
         sparse_scaled, sparse_concatenation, sparse_concatenation_by_id, vector_offsets,
         vector_rows, vector_texts, empty_vector_texts, index_union, index_intersection,
-        operand_mismatches,
+        operand_mismatches, row_sparse_sum, row_sparse_product, row_sparse_concatenation,
+        row_sparse_scaled, row_dense_values,
     )
 }
 
@@ -198,6 +241,20 @@ UNION ALL SELECT id, 64, NULL, NULL FROM both_ids""",
     "sparse_scaled": f"WITH {_PAIRS} SELECT id, size, idx, round(value * -2.5, 6) + 0.0 AS value FROM a",
     "sparse_concatenation": _CONCATENATION,
     "sparse_concatenation_by_id": _CONCATENATION,
+    "row_sparse_sum": f"""{_SUMMED} SELECT s.id, idx, round(value, 6) + 0.0 AS value
+FROM summed s JOIN both_ids USING (id)""",
+    "row_sparse_product": f"""WITH {_PAIRS}
+SELECT a.id, a.idx, round(a.value * b.value, 6) + 0.0 AS value
+FROM a JOIN b ON a.id = b.id AND a.idx = b.idx""",
+    "row_sparse_concatenation": f"""WITH {_PAIRS}
+SELECT id, idx, round(value, 6) + 0.0 AS value FROM a JOIN both_ids USING (id)
+UNION ALL SELECT id, idx + 64, round(value, 6) + 0.0 FROM b JOIN both_ids USING (id)""",
+    "row_sparse_scaled": f"""WITH {_PAIRS}
+SELECT id, idx, round(value * 3.0, 6) + 0.0 AS value FROM a JOIN both_ids USING (id)""",
+    "row_dense_values": f"""WITH {_PAIRS}
+SELECT vec_id // 2 AS id, col AS idx,
+       round(CASE WHEN abs(x) > {THRESHOLD} THEN x ELSE 0.0 END, 6) + 0.0 AS value
+FROM cells JOIN both_ids ON vec_id // 2 = both_ids.id WHERE vec_id % 2 = 0""",
     "vector_offsets": """
 WITH parts AS (
   SELECT vec_id // 4 AS id, CAST(vec_id % 4 AS INTEGER) AS part, label + 10 AS size FROM embeddings

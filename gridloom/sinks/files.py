@@ -27,23 +27,32 @@ def write_report(
     df.orderBy(*order_by).write.mode(mode).csv(path, sep="\t")
 
 
+def place_by_class(
+    df: DataFrame, label: str = "label", *, one_file_per_class: bool = False
+) -> DataFrame:
+    """Bring the rows of a class together.
+
+    Rows are rebalanced on the label: a small class goes to one task, a class
+    beyond the advisory partition size is split over several.
+    ``one_file_per_class`` sends each class to a single task whatever its
+    size, which is for small outputs only.
+    """
+    return df.repartition(label) if one_file_per_class else df.hint("rebalance", F.col(label))
+
+
 def write_by_class(
     df: DataFrame,
     path: str,
     label: str = "label",
     *,
     one_file_per_class: bool = False,
+    placed: bool = False,
     mode: str = "error",
 ) -> None:
-    """Parquet with one folder per class.
-
-    Rows are rebalanced on the label: a small class gives one file, a class
-    beyond the advisory partition size is split over several tasks.
-    ``one_file_per_class`` sends each class to a single task instead, which is
-    for small outputs only.
-    """
-    placed = df.repartition(label) if one_file_per_class else df.hint("rebalance", F.col(label))
-    placed.write.mode(mode).partitionBy(label).parquet(path)
+    """Parquet with one folder per class, placed by :func:`place_by_class`
+    unless the rows are ``placed`` already."""
+    rows = df if placed else place_by_class(df, label, one_file_per_class=one_file_per_class)
+    rows.write.mode(mode).partitionBy(label).parquet(path)
 
 
 def labelled_line(label: Column | str, values: Column | str) -> Column:

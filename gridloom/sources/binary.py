@@ -55,10 +55,31 @@ def _bytes_block(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets
 
 
-def _pixel_column(pixels: np.ndarray, as_array: bool) -> pa.Array:
+# Spark types a record's pixels can be decoded to, by name.
+PIXEL_FORMS = {"binary": "binary", "array": "array<int>", "none": None}
+
+
+def _record_schema(form: str) -> str:
+    if form not in PIXEL_FORMS:
+        raise ValueError(f"pixels is one of {sorted(PIXEL_FORMS)}")
+    kind = PIXEL_FORMS[form]
+    return "path string, rec long, label int" + (f", pixels {kind}" if kind else "")
+
+
+def _record_batch(
+    path: pa.Array, rec: pa.Array, block: np.ndarray, form: str, signed_shift: bool
+) -> pa.RecordBatch:
+    labels, pixels = _decode(block, signed_shift and form != "none")
+    columns = {"path": path, "rec": rec, "label": pa.array(labels)}
+    if form != "none":
+        columns["pixels"] = _pixel_column(pixels, form)
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _pixel_column(pixels: np.ndarray, form: str) -> pa.Array:
     rows, width = pixels.shape
     offsets = np.arange(rows + 1, dtype=np.int32) * np.int32(width)
-    if as_array:
+    if form == "array":
         values = pa.array(pixels.reshape(-1).astype(np.int32))
         return pa.ListArray.from_arrays(pa.array(offsets), values)
     data = pa.py_buffer(np.ascontiguousarray(pixels).tobytes())
@@ -92,19 +113,21 @@ def split_records(
     *,
     signed_shift: bool = False,
     on_partial: str = "error",
-    as_array: bool = False,
+    pixels: str = "binary",
 ) -> DataFrame:
     """Split ``(path, content)`` rows into ``(path, rec, label, pixels)``.
 
     Pixels are unsigned bytes; ``signed_shift=True`` gives what adding 128 to
-    the *signed* byte gives (0 -> 128, 200 -> 72). Trailing bytes that fill no
-    record raise, or are left out with ``on_partial="drop"``.
+    the *signed* byte gives (0 -> 128, 200 -> 72). They come as ``binary``, as
+    ``array`` of int, or not at all with ``none``: Spark cannot prune what a
+    batch function returns, so say here if only labels are wanted. Trailing
+    bytes that fill no record raise, or are left out with
+    ``on_partial="drop"``.
     """
     if on_partial not in ("error", "drop"):
         raise ValueError("on_partial is 'error' or 'drop'")
-    pixel_type = "array<int>" if as_array else "binary"
-    schema = f"path string, rec long, label int, pixels {pixel_type}"
-    step = max(1, _BATCH_BYTES // (record_length * (4 if as_array else 1)))
+    schema = _record_schema(pixels)
+    step = max(1, _BATCH_BYTES // (record_length * (4 if pixels == "array" else 1)))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,16 +137,13 @@ def split_records(
                     flat[offsets[row] : offsets[row + 1]], path, record_length, on_partial
                 )
                 for start in range(0, len(block), step):
-                    labels, pixels = _decode(block[start : start + step], signed_shift)
-                    n = len(labels)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([path] * n, pa.string()),
-                            pa.array(np.arange(start, start + n, dtype=np.int64)),
-                            pa.array(labels),
-                            _pixel_column(pixels, as_array),
-                        ],
-                        names=["path", "rec", "label", "pixels"],
+                    some = block[start : start + step]
+                    yield _record_batch(
+                        pa.repeat(pa.scalar(path, pa.string()), len(some)),
+                        pa.array(np.arange(start, start + len(some), dtype=np.int64)),
+                        some,
+                        pixels,
+                        signed_shift,
                     )
 
     usable = files.where(F.col("content").isNotNull()).select("path", "content")
@@ -136,7 +156,7 @@ def read_record_ranges(
     record_length: int = RECORD_LENGTH,
     *,
     signed_shift: bool = False,
-    as_array: bool = False,
+    pixels: str = "binary",
 ) -> DataFrame:
     """The same rows as :func:`split_records`, with files split between tasks.
 
@@ -144,6 +164,7 @@ def read_record_ranges(
     the records from the start of their file, so size is no limit. A trailing
     partial record fails the read.
     """
+    schema = _record_schema(pixels)
     joined = paths if isinstance(paths, str) else ",".join(paths)
     pairs = spark.sparkContext.newAPIHadoopFile(
         joined,
@@ -160,26 +181,16 @@ def read_record_ranges(
     rows = spark.createDataFrame(
         pairs.map(lambda pair: (pair[0], bytes(pair[1]))), "rec long, record binary"
     ).select(F.input_file_name().alias("path"), "rec", "record")
-    pixel_type = "array<int>" if as_array else "binary"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = _bytes_block(batch.column("record"))
             block = flat[offsets[0] : offsets[-1]].reshape(-1, record_length)
-            labels, pixels = _decode(block, signed_shift)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("path"),
-                    batch.column("rec"),
-                    pa.array(labels),
-                    _pixel_column(pixels, as_array),
-                ],
-                names=["path", "rec", "label", "pixels"],
+            yield _record_batch(
+                batch.column("path"), batch.column("rec"), block, pixels, signed_shift
             )
 
-    return rows.mapInArrow(
-        decode, f"path string, rec long, label int, pixels {pixel_type}"
-    )
+    return rows.mapInArrow(decode, schema)
 
 
 def read_records(
@@ -189,7 +200,7 @@ def read_records(
     *,
     signed_shift: bool = False,
     on_partial: str = "error",
-    as_array: bool = False,
+    pixels: str = "binary",
 ) -> DataFrame:
     """Labelled records of binary files.
 
@@ -202,10 +213,10 @@ def read_records(
     if oversized.isEmpty():
         return split_records(
             files, record_length, signed_shift=signed_shift,
-            on_partial=on_partial, as_array=as_array,
+            on_partial=on_partial, pixels=pixels,
         )
     if on_partial == "drop":
         raise ValueError("record ranges need files of whole records")
     return read_record_ranges(
-        spark, paths, record_length, signed_shift=signed_shift, as_array=as_array
+        spark, paths, record_length, signed_shift=signed_shift, pixels=pixels
     )

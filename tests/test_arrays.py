@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.functions import scaling
+from gridloom.functions import scaling, sparse
 from gridloom.operators import batches, normalise
 
 
@@ -90,3 +90,30 @@ def test_hashed_batches_need_no_shuffle(spark):
     placed = batches.hashed_batches(spark.range(1000), ["id"], 8)
     assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
     assert {r["batch"] for r in placed.select("batch").distinct().collect()} == set(range(8))
+
+
+def test_sparse_maps_in_one_row(spark):
+    df = spark.createDataFrame(
+        [({0: 1.0, 3: 2.0}, {3: 4.0, 1: 0.0}), ({}, {2: 1.0}), (None, {5: 1.0})],
+        "a map<int,double>, b map<int,double>",
+    )
+    rows = df.select(
+        sparse.add("a", "b").alias("sum"), sparse.multiply("a", "b").alias("product"),
+        sparse.concat(["a", "b"], [4, 6]).alias("both"), sparse.indices("b").alias("indices"),
+        sparse.to_dense("a", 4).alias("dense"), sparse.shift("b", 2).alias("shifted"),
+    ).collect()
+    assert rows[0]["sum"] == {0: 1.0, 3: 6.0, 1: 0.0}
+    assert rows[0]["product"] == {3: 8.0}
+    assert rows[0]["both"] == {0: 1.0, 3: 2.0, 7: 4.0, 5: 0.0}
+    assert rows[0]["indices"] == [1, 3]
+    assert rows[0]["dense"] == [1.0, 0.0, 0.0, 2.0]
+    assert rows[0]["shifted"] == {5: 4.0, 3: 0.0}
+    assert rows[1]["sum"] == {2: 1.0} and rows[1]["product"] == {}
+    assert rows[2]["sum"] == {5: 1.0} and rows[2]["product"] == {}
+
+
+def test_sparse_from_dense_and_pairs(spark):
+    df = spark.createDataFrame([([0.0, -0.5, 0.2],)], "v array<float>")
+    assert df.select(sparse.from_dense("v", above=0.3).alias("m")).first()["m"] == {1: -0.5}
+    pairs = spark.createDataFrame([([4, 1], [1.0, 2.0])], "i array<int>, v array<double>")
+    assert pairs.select(sparse.from_pairs("i", "v").alias("m")).first()["m"] == {4: 1.0, 1: 2.0}

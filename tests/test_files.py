@@ -61,14 +61,14 @@ def test_binary_to_csv_to_features(spark, tmp_path, image_dir):
     from gridloom.sources.text import label_and_pixels, read_lines
 
     back = label_and_pixels(read_lines(spark, out))
-    original = read_records(spark, image_dir, 13, as_array=True).select("label", "pixels")
+    original = read_records(spark, image_dir, 13, pixels="array").select("label", "pixels")
     assert back.exceptAll(original).isEmpty() and original.exceptAll(back).isEmpty()
 
 
 def test_normalise_files(spark, tmp_path, image_dir):
     out = str(tmp_path / "normal")
     flows.normalise_files(spark, image_dir, out, 13, signed_shift=True)
-    shifted = read_records(spark, image_dir, 13, as_array=True, signed_shift=True)
+    shifted = read_records(spark, image_dir, 13, pixels="array", signed_shift=True)
     both = spark.read.parquet(out).withColumnRenamed("pixels", "z").join(shifted, ["path", "rec"])
     worst = both.select(
         F.array_max(F.zip_with("z", "pixels", lambda z, p: F.abs(z - p / 255.0))).alias("d")

@@ -58,6 +58,25 @@ def test_change_counts_of_ragged_rows_with_nulls(spark):
     assert counted(df) == follow(files)
 
 
+@pytest.mark.parametrize("width", [2, 3])
+def test_change_counts_skip_nan(spark, width):
+    nan = float("nan")
+    values = [[nan, 1.0], [2.0, nan], [1.0, 3.0], [nan, nan], [4.0, -1.0]]
+    rows = [("a", i, v + [5.0] * (width - 2 if i else 0)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "path string, rec int, pixels array<double>").coalesce(1)
+    assert counted(df) == follow({"a": [(i, v) for _, i, v in rows]})
+
+
+def test_change_counts_of_long_files_in_mixed_batches(spark):
+    rng = np.random.default_rng(5)
+    files = {f: list(enumerate(rng.normal(size=(900, 3)).cumsum(axis=0).tolist())) for f in "ab"}
+    rows = [(f, i, v) for f, records in files.items() for i, v in records]
+    rng.shuffle(rows)
+    rows = [(f, int(i), v) for f, i, v in rows]
+    df = spark.createDataFrame(rows, "path string, rec int, pixels array<double>").coalesce(1)
+    assert counted(df) == follow(files)
+
+
 def test_change_counts_start_elsewhere(spark):
     files = {"a": list(enumerate([[5], [11], [12], [3]]))}
     rows = [("a", i, v) for i, v in files["a"]]
@@ -89,7 +108,7 @@ def test_file_profile_matches_a_loop_and_the_general_form(spark, tmp_path, shift
     assert {r["min"] for r in rows} == {0.0}
     assert {r["col"]: [r["max_changed"], r["min_changed"]] for r in rows} == expected
     assert rows[3]["name"] == "Col 0003"
-    records = binary.split_records(files, 7, as_array=True, signed_shift=shift)
+    records = binary.split_records(files, 7, pixels="array", signed_shift=shift)
     assert counted(records) == expected
 
 

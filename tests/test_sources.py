@@ -33,8 +33,8 @@ def test_decode_is_the_inverse_of_encode(spark, tmp_path):
 
 def test_unsigned_and_shifted_pixels(spark, tmp_path):
     write_records(tmp_path / "a.bin", [1], [[0, 127, 128, 255]])
-    plain = binary.read_records(spark, str(tmp_path), 5, as_array=True).first()
-    shifted = binary.read_records(spark, str(tmp_path), 5, as_array=True, signed_shift=True).first()
+    plain = binary.read_records(spark, str(tmp_path), 5, pixels="array").first()
+    shifted = binary.read_records(spark, str(tmp_path), 5, pixels="array", signed_shift=True).first()
     assert plain["pixels"] == [0, 127, 128, 255]
     assert shifted["pixels"] == [128, 255, 0, 127]
 
