@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 Model = dict[str, np.ndarray]
 Batch = dict[str, np.ndarray]
@@ -21,10 +19,11 @@ BatchGradient = Callable[[Batch, Model], tuple[float, Model]]
 Descent = Callable[[Model, Model], Model]
 
 # The parameters go to every executor and the gradient back to the driver.
-MODEL_BYTES_LIMIT = 1024 * 1024 * 1024
+MODEL_BYTES_LIMIT = 512 * 1024 * 1024
 
 # Parameters summed together; one chunk is one reduce key.
 CHUNK = 8192
+CHUNK_SCHEMA = "chunk int, sums array<double>"
 
 
 def row_gradient(grad: Callable[[dict, Model], tuple[float, Model]]) -> BatchGradient:
@@ -69,6 +68,32 @@ def with_arrays(df: DataFrame) -> DataFrame:
     )
 
 
+def _chunk(number: int, sums: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array([0, len(sums)], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(sums))],
+        names=["chunk", "sums"],
+    )
+
+
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    for batch in batches:
+        for number, sums in zip(batch.column("chunk").to_pylist(), batch.column("sums")):
+            yield number, sums.values.to_numpy(zero_copy_only=False)
+
+
+def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the rows of each chunk that hashed to this partition."""
+    totals: dict[int, np.ndarray] = {}
+    for number, sums in _chunks(batches):
+        if number in totals:
+            totals[number] += sums
+        else:
+            totals[number] = sums.copy()
+    for number, sums in totals.items():
+        yield _chunk(number, sums)
+
+
 def loss_and_gradient(
     dataset: DataFrame, model: Model, grad: BatchGradient, *, count: int | None = None
 ) -> tuple[float, Model, int]:
@@ -106,29 +131,17 @@ def loss_and_gradient(
             pieces = [np.array([loss, rows])]
             pieces += [total[i : i + CHUNK] for i in range(0, size, CHUNK)]
             for i, piece in enumerate(pieces):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([i], pa.int32()),
-                        pa.array([piece], pa.list_(pa.float64())),
-                    ],
-                    names=["chunk", "sums"],
-                )
+                yield _chunk(i, piece)
 
     try:
-        partials = dataset.coalesce(2 * sc.defaultParallelism).mapInArrow(
-            partial, "chunk int, sums array<double>"
-        )
-        totals = (
-            partials.groupBy("chunk")
-            .agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-            .collect()
-        )
+        partials = dataset.coalesce(2 * sc.defaultParallelism).mapInArrow(partial, CHUNK_SCHEMA)
+        totals = partials.repartition("chunk").mapInArrow(_sum_chunks, CHUNK_SCHEMA).toArrow()
     finally:
         shared.unpersist(blocking=True)
 
-    if not totals:
+    if not totals.num_rows:
         raise ValueError("the dataset has no rows")
-    by_chunk = {row["chunk"]: np.array(row["sums"]) for row in totals}
+    by_chunk = dict(_chunks(totals.combine_chunks().to_batches()))
     loss, rows = by_chunk[0]
     divisor = float(count) if count is not None else float(rows)
     flat = np.concatenate([by_chunk[i] for i in sorted(by_chunk) if i > 0]) / divisor

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,9 +11,12 @@ from gridloom.session import materialise
 # An index map below this many bytes is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key with more than this share of all rows is spread over several tasks;
-# there can be at most 1 / HOT_SHARE such keys.
-HOT_SHARE = 0.01
+# A key with more than this share of all rows is hot; fewer than 1 / HOT_SHARE
+# keys can be.
+HOT_SHARE = 1e-4
+
+# Allowance for an index and a hash-table slot next to the bytes of a key.
+ENTRY_BYTES = 48
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these
 
@@ -97,50 +98,45 @@ def zip_index(
     """Join a table with the index map of its own column.
 
     Rows with a null key drop out, or stay without an index with
-    ``how="left"``.
+    ``how="left"``. The size of the map decides how: up to
+    ``broadcast_bytes`` it is broadcast, beyond that see
+    :func:`join_around_hot_keys`.
     """
-    indices = materialise(
-        index_map(df, key, index_name, kind=kind, count_name="__rows"), "index-map"
-    )
+    indices = index_map(df, key, index_name, kind=kind, count_name="__rows")
+    width = F.octet_length(F.col(key).cast("string")) + ENTRY_BYTES
     size = indices.agg(
-        F.sum(F.octet_length(F.col(key).cast("string")) + 32).alias("bytes"),
-        F.sum("__rows").alias("rows"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(width), F.lit(0)).alias("widest"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
     ).first()
+    unique = indices.drop("__rows")
     columns = [*df.columns, index_name]
-    if (size["bytes"] or 0) <= broadcast_bytes:
-        return df.join(F.broadcast(indices.drop("__rows")), key, how).select(*columns)
-    hot = indices.where(F.col("__rows") > F.lit(HOT_SHARE * size["rows"]))
-    return salted_join(df, indices.drop("__rows"), [key], hot.select(key), how).select(*columns)
-
-
-def salted_join(
-    rows: DataFrame,
-    unique: DataFrame,
-    keys: list[str],
-    hot: DataFrame,
-    how: str = "inner",
-    *,
-    salts: int = 64,
+    if size["bytes"] <= broadcast_bytes:
+        return df.join(F.broadcast(unique), key, how).select(*columns)
+    hot = indices.where(F.col("__rows") > F.lit(HOT_SHARE * size["rows"])).drop("__rows")
+    if size["widest"] / HOT_SHARE > BROADCAST_BYTES:
+        # Keys so long that even the few hot ones might not fit: adaptive
+        # execution splits their partitions.
+        return df.join(unique, key, how).select(*columns)
+    return join_around_hot_keys(df, unique, hot, key, how).select(*columns)
+
+
+def join_around_hot_keys(
+    rows: DataFrame, unique: DataFrame, hot: DataFrame, key: str, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join to a table unique on ``keys`` with the rows of hot keys spread.
+    """Equi-join to a table unique on ``key`` without moving rows of hot keys.
 
-    ``hot`` holds the keys to spread, at most ``1 / HOT_SHARE`` of them, which
-    is what makes broadcasting it safe. Their entries in ``unique`` are
-    repeated once per salt; all other keys have salt 0 only.
+    ``hot`` are the entries of ``unique`` for keys holding more than
+    ``HOT_SHARE`` of the rows, hence fewer than ``1 / HOT_SHARE`` entries:
+    they are broadcast and their rows joined in place. Only the rows of other
+    keys are shuffled, and none of those keys is large. With ``how="left"``
+    rows without a key are set aside as well.
     """
-    marked = hot.select(*keys, F.lit(True).alias("__hot"))
-    is_hot = F.coalesce("__hot", F.lit(False))
-    null_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    draw = F.floor(F.rand(7) * salts).cast("int")
-    left = rows.join(F.broadcast(marked), keys, "left").withColumn(
-        "__salt", F.when(is_hot | null_key, draw).otherwise(F.lit(0))
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = unique.join(F.broadcast(marked), keys, "left").withColumn(
-        "__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
-    )
-    return (
-        left.drop("__hot")
-        .join(right.drop("__hot").hint("shuffle_merge"), [*keys, "__salt"], how)
-        .drop("__salt")
-    )
+    hot_keys = F.broadcast(hot.select(key))
+    warm = rows.join(F.broadcast(hot), key)
+    keyed = rows.where(F.col(key).isNotNull())
+    cold = keyed.join(hot_keys, key, "left_anti").join(unique.hint("merge"), key, how)
+    joined = warm.unionByName(cold)
+    if how == "left":
+        joined = joined.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+    return joined

@@ -92,14 +92,16 @@ def part_offsets(sizes: list[int]) -> list[int]:
 def concat(parts: list[DataFrame], sizes: list[int] | None = None) -> DataFrame:
     """Vectors of equal id laid end to end.
 
-    With ``sizes`` (one per part) the offsets are constants and nothing is
+    With ``sizes`` (one per part) the offsets are constants and no entry is
     shuffled. Without, a part's size is looked up for each id, so sizes may
     differ between ids; an id absent from a part has size 0 there.
     """
     if sizes is not None:
         total = sum(sizes)
         return _one_header(
-            [shift(p, off, total) for p, off in zip(parts, part_offsets(sizes), strict=True)]
+            concatenate(
+                [shift(p, off, total) for p, off in zip(parts, part_offsets(sizes), strict=True)]
+            )
         )
     tagged = concatenate(
         [p.select("id", "size", "idx", "value").withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
@@ -109,14 +111,13 @@ def concat(parts: list[DataFrame], sizes: list[int] | None = None) -> DataFrame:
         "id", F.col("total").alias("size"),
         (F.col("idx") + F.col("start")).alias("idx"), "value",
     )
-    headers = moved.where(F.col("idx").isNull()).distinct()
-    return moved.where(F.col("idx").isNotNull()).unionByName(headers)
+    return _one_header(moved)
 
 
-def _one_header(parts: list[DataFrame]) -> DataFrame:
-    """Union of the parts, with only the first part's headers."""
-    first, *rest = parts
-    return concatenate([first, *(p.where(F.col("idx").isNotNull()) for p in rest)])
+def _one_header(v: DataFrame) -> DataFrame:
+    """The entries, and each header once."""
+    headers = v.where(F.col("idx").isNull()).distinct()
+    return v.where(F.col("idx").isNotNull()).unionByName(headers)
 
 
 def offsets_by_id(tagged: DataFrame) -> DataFrame:

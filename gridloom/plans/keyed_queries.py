@@ -31,7 +31,7 @@ def indexed_orders(spark, sf_dir):
     return index.zip_index(orders, "o_orderpriority", "idx")
 
 
-def indexed_events_salted(spark, sf_dir):
+def indexed_events_by_shuffle(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     return index.zip_index(events, "user_id", "idx", broadcast_bytes=0)
 
@@ -43,26 +43,23 @@ def indexed_scores_with_null(spark, sf_dir):
     return index.zip_index(scores.select("doc_id", "quality"), "quality", "idx", how="left")
 
 
-# --- vectors: pairs of neighbouring ids, entries beyond the threshold ---------
+# --- vectors: entries beyond the threshold, each vector with the one before it ---
 
 
-def _pairs(spark, sf_dir, *, headers=False):
-    entries = vectors.from_arrays(
+def _vectors(spark, sf_dir, *, headers=False):
+    return vectors.from_arrays(
         table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
         above=THRESHOLD, headers=headers,
     )
-    side = F.pmod("id", F.lit(2))
-    pair = entries.withColumn("side", side).withColumn("id", F.expr("id div 2"))
-    return (
-        pair.where(F.col("side") == 0).drop("side"),
-        pair.where(F.col("side") == 1).drop("side"),
-    )
+
+
+def _pairs(spark, sf_dir, *, headers=False):
+    own = _vectors(spark, sf_dir, headers=headers)
+    return own, own.withColumn("id", F.col("id") + 1)
 
 
 def sparse_entries(spark, sf_dir):
-    return vectors.from_arrays(
-        table(spark, sf_dir, "embeddings"), "vec_id", "embedding", above=THRESHOLD, headers=True
-    )
+    return _vectors(spark, sf_dir, headers=True)
 
 
 def sparse_sum(spark, sf_dir):
@@ -75,11 +72,11 @@ def sparse_product(spark, sf_dir):
 
 
 def sparse_shifted(spark, sf_dir):
-    return vectors.shift(_pairs(spark, sf_dir)[0], 10, 100)
+    return vectors.shift(_vectors(spark, sf_dir), 10, 100)
 
 
 def sparse_scaled(spark, sf_dir):
-    return vectors.scale_by(_pairs(spark, sf_dir)[0], -2.5).select(
+    return vectors.scale_by(_vectors(spark, sf_dir), -2.5).select(
         "id", "size", "idx", rounded("value")
     )
 
@@ -134,13 +131,15 @@ def index_intersection(spark, sf_dir):
 # --- the same with both vectors in one row ------------------------------------
 
 
-def _paired_rows(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").select(
-        F.expr("vec_id div 2").alias("id"), F.expr("vec_id % 2").alias("side"),
-        sparse.from_dense("embedding", above=THRESHOLD).alias("v"),
+def _vector_rows(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), sparse.from_dense("embedding", above=THRESHOLD).alias("a")
     )
-    a = rows.where("side = 0").select("id", F.col("v").alias("a"))
-    return a.join(rows.where("side = 1").select("id", F.col("v").alias("b")), "id")
+
+
+def _paired_rows(spark, sf_dir):
+    own = _vector_rows(spark, sf_dir)
+    return own.join(own.select(F.col("id") + 1, F.col("a")).toDF("id", "b"), "id")
 
 
 def _entries(df, vector):
@@ -162,12 +161,12 @@ def row_sparse_concatenation(spark, sf_dir):
 
 
 def row_sparse_scaled(spark, sf_dir):
-    return _entries(_paired_rows(spark, sf_dir), sparse.scale("a", 3.0))
+    return _entries(_vector_rows(spark, sf_dir), sparse.scale("a", 3.0))
 
 
 def row_dense_values(spark, sf_dir):
-    pairs = _paired_rows(spark, sf_dir)
-    return pairs.select("id", F.posexplode(sparse.to_dense("a", 64)).alias("idx", "value")).select(
+    rows = _vector_rows(spark, sf_dir)
+    return rows.select("id", F.posexplode(sparse.to_dense("a", 64)).alias("idx", "value")).select(
         "id", "idx", rounded("value")
     )
 
@@ -182,7 +181,7 @@ def operand_mismatches(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        priority_index, customer_index, source_index, indexed_orders, indexed_events_salted,
+        priority_index, customer_index, source_index, indexed_orders, indexed_events_by_shuffle,
         indexed_scores_with_null, sparse_entries, sparse_sum, sparse_product, sparse_shifted,
         sparse_scaled, sparse_concatenation, sparse_concatenation_by_id, vector_offsets,
         vector_rows, vector_texts, empty_vector_texts, index_union, index_intersection,
@@ -200,18 +199,28 @@ FROM {source} WHERE {key} IS NOT NULL GROUP BY {key}"""
 _SCORES = "(SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id))"
 
 _PAIRS = f"""{CELLS_SQL},
-entries AS (
-  SELECT vec_id // 2 AS id, vec_id % 2 AS side, 64 AS size, col AS idx, x AS value
-  FROM cells WHERE abs(x) > {THRESHOLD}
+a AS (
+  SELECT vec_id AS id, 64 AS size, col AS idx, x AS value FROM cells WHERE abs(x) > {THRESHOLD}
 ),
-a AS (SELECT id, size, idx, value FROM entries WHERE side = 0),
-b AS (SELECT id, size, idx, value FROM entries WHERE side = 1),
-both_ids AS (SELECT vec_id // 2 AS id FROM embeddings GROUP BY 1 HAVING count(*) = 2)"""
+b AS (SELECT id + 1 AS id, size, idx, value FROM a),
+own AS (SELECT vec_id AS id FROM embeddings),
+before AS (SELECT vec_id + 1 AS id FROM embeddings),
+both_ids AS (SELECT id FROM own JOIN before USING (id))"""
 
 _CONCATENATION = f"""WITH {_PAIRS}
-SELECT id, 128 AS size, idx + 64 * side AS idx, value FROM
-  (SELECT id, 0 AS side, idx, value FROM a UNION ALL SELECT id, 1, idx, value FROM b)
-UNION ALL SELECT id, 128, NULL, NULL FROM both_ids"""
+SELECT id, 128 AS size, idx, value FROM a
+UNION ALL SELECT id, 128, idx + 64, value FROM b
+UNION ALL SELECT id, 128, NULL, NULL FROM own FULL JOIN before USING (id)"""
+
+_CONCATENATION_BY_ID = f"""WITH {_PAIRS},
+ids AS (
+  SELECT id, own.id IS NOT NULL AND before.id IS NOT NULL AS paired
+  FROM own FULL JOIN before USING (id)
+)
+SELECT id, CASE WHEN paired THEN 128 ELSE 64 END AS size, idx, value FROM a JOIN ids USING (id)
+UNION ALL SELECT id, CASE WHEN paired THEN 128 ELSE 64 END,
+  CASE WHEN paired THEN idx + 64 ELSE idx END, value FROM b JOIN ids USING (id)
+UNION ALL SELECT id, CASE WHEN paired THEN 128 ELSE 64 END, NULL, NULL FROM ids"""
 
 _SUMMED = f"""WITH {_PAIRS},
 summed AS (
@@ -225,7 +234,7 @@ SQL = {
     "source_index": _index_sql("documents", "source"),
     "indexed_orders": f"""SELECT o_orderkey, o_orderpriority, idx
 FROM orders JOIN ({_index_sql("orders", "o_orderpriority")}) USING (o_orderpriority)""",
-    "indexed_events_salted": f"""SELECT event_id, user_id, idx
+    "indexed_events_by_shuffle": f"""SELECT event_id, user_id, idx
 FROM events JOIN ({_index_sql("events", "user_id")}) USING (user_id)""",
     "indexed_scores_with_null": f"""SELECT doc_id, s.quality, idx
 FROM {_SCORES} s LEFT JOIN ({_index_sql(_SCORES, "quality")}) i ON s.quality = i.quality""",
@@ -240,7 +249,7 @@ UNION ALL SELECT id, 64, NULL, NULL FROM both_ids""",
     "sparse_shifted": f"WITH {_PAIRS} SELECT id, 100 AS size, idx + 10 AS idx, value FROM a",
     "sparse_scaled": f"WITH {_PAIRS} SELECT id, size, idx, round(value * -2.5, 6) + 0.0 AS value FROM a",
     "sparse_concatenation": _CONCATENATION,
-    "sparse_concatenation_by_id": _CONCATENATION,
+    "sparse_concatenation_by_id": _CONCATENATION_BY_ID,
     "row_sparse_sum": f"""{_SUMMED} SELECT s.id, idx, round(value, 6) + 0.0 AS value
 FROM summed s JOIN both_ids USING (id)""",
     "row_sparse_product": f"""WITH {_PAIRS}
@@ -250,11 +259,11 @@ FROM a JOIN b ON a.id = b.id AND a.idx = b.idx""",
 SELECT id, idx, round(value, 6) + 0.0 AS value FROM a JOIN both_ids USING (id)
 UNION ALL SELECT id, idx + 64, round(value, 6) + 0.0 FROM b JOIN both_ids USING (id)""",
     "row_sparse_scaled": f"""WITH {_PAIRS}
-SELECT id, idx, round(value * 3.0, 6) + 0.0 AS value FROM a JOIN both_ids USING (id)""",
-    "row_dense_values": f"""WITH {_PAIRS}
-SELECT vec_id // 2 AS id, col AS idx,
+SELECT id, idx, round(value * 3.0, 6) + 0.0 AS value FROM a""",
+    "row_dense_values": f"""WITH {CELLS_SQL}
+SELECT vec_id AS id, col AS idx,
        round(CASE WHEN abs(x) > {THRESHOLD} THEN x ELSE 0.0 END, 6) + 0.0 AS value
-FROM cells JOIN both_ids ON vec_id // 2 = both_ids.id WHERE vec_id % 2 = 0""",
+FROM cells""",
     "vector_offsets": """
 WITH parts AS (
   SELECT vec_id // 4 AS id, CAST(vec_id % 4 AS INTEGER) AS part, label + 10 AS size FROM embeddings

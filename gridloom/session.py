@@ -13,6 +13,8 @@ from gridloom.functions.texts import ELAPSED_FORMAT
 
 WORK_PREFIX = "gridloom-"
 
+_local_roots: dict[str, str] = {}
+
 
 def start_session(
     app_name: str = "gridloom",
@@ -75,9 +77,10 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix=WORK_PREFIX)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix=WORK_PREFIX)
+    return _local_roots[application]
 
 
 def new_work_folder(spark: SparkSession, purpose: str) -> str:
