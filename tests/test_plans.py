@@ -1,0 +1,45 @@
+"""Shapes no query plan may have."""
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_no_cross_join_and_no_row_function(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for node in FORBIDDEN:
+        assert node not in plan
+    # A window without partitions may only see one row per partition of a table.
+    for line in plan.splitlines():
+        if "Window [" in line and line.count("], [") < 2:
+            assert "], [__part#" in line
+
+
+def shown(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_only_the_columns_a_query_uses(spark):
+    queries = entry.queries()
+    assert "ReadSchema: struct<label:int>" in shown(queries["class_profile"](spark, SF_DIR))
+    assert "ReadSchema: struct<text:string>" in shown(queries["document_token_counts"](spark, SF_DIR))
+    assert "ReadSchema: struct<l_linenumber:int>" in shown(
+        queries["class_profile_of_unknown_codes"](spark, SF_DIR)
+    )
+    assert "ReadSchema: struct<embedding:array<float>>" in shown(
+        queries["column_range"](spark, SF_DIR)
+    )
+
+
+def test_top_k_is_kept_per_task(spark):
+    assert "TakeOrderedAndProject(limit=25" in shown(entry.queries()["top_tokens"](spark, SF_DIR))
+
+
+def test_counts_are_combined_before_the_shuffle(spark):
+    plan = shown(entry.queries()["document_token_counts"](spark, SF_DIR))
+    assert plan.index("functions=[count(1)]") < plan.index("Exchange hashpartitioning")
+    assert plan.index("Exchange hashpartitioning") < plan.index("functions=[partial_count(1)]")
