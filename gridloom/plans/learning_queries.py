@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from gridloom.plans.tables import CELLS_SQL, rounded, table
 from gridloom.session import persist
 
 CLASSES = 10
+HIDDEN = 6
+BATCHES = 4
 LEARNING_RATE = 0.5
 MOMENTUM = 0.5
 
@@ -45,6 +49,38 @@ def _gradient_frame(spark, grads):
     return frame.select("param", "row", "class", rounded("value"))
 
 
+def hidden_layer_gradient(spark, sf_dir):
+    """Mean gradient of the one-hidden-layer network at weights set by a rule."""
+    examples = _examples(spark, sf_dir).select("features", "label")
+
+    def weights(rows, columns):
+        i, j = np.indices((rows, columns))
+        return ((i * 7 + j * 5) % 13 - 6) / 12.0
+
+    model = {
+        "w1": weights(_width(examples), HIDDEN), "b1": weights(HIDDEN, 2)[:, 1],
+        "w2": weights(HIDDEN, CLASSES), "b2": weights(CLASSES, 3)[:, 2],
+    }
+    _, grads, _ = gradient.loss_and_gradient(examples, model, networks.hidden_layer_gradient())
+    rows = [
+        (name, int(at[0]), int(at[1]), float(v))
+        for name, g in grads.items() for at, v in np.ndenumerate(np.atleast_2d(g))
+    ]
+    frame = spark.createDataFrame(rows, "param string, row int, col int, value double")
+    return frame.select("param", "row", "col", rounded("value"))
+
+
+def mini_batch_losses(spark, sf_dir):
+    """One epoch of momentum descent over four shuffled batches."""
+    examples = _examples(spark, sf_dir)
+    run = training.train_epochs(
+        examples, networks.softmax_model(_width(examples)), networks.softmax_gradient(),
+        gradient.Momentum(LEARNING_RATE, MOMENTUM), epochs=1,
+        batch_size=math.ceil(examples.count() / BATCHES), key=["vec_id"], log_interval=1,
+    )
+    return run.history_frame(spark).select("epoch", "batch", "rows_seen", rounded("loss"))
+
+
 def _descend(spark, sf_dir, desc, steps):
     """Losses before each of the steps, and the model after them."""
     examples = persist(_examples(spark, sf_dir).select("features", "label"))
@@ -163,37 +199,50 @@ def _embedding_width(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        softmax_gradient, softmax_losses, momentum_losses, softmax_predictions,
+        softmax_gradient, hidden_layer_gradient, mini_batch_losses, softmax_losses, momentum_losses, softmax_predictions,
         evaluation_report, evaluation_text, prediction_accuracy, evaluator_precision, hidden_layer_history,
         hidden_layer_full_batch, perceptron_predictions,
     )
 }
 
 
-def _descent_sql(steps: int, rate: float, momentum: float) -> str:
+def _descent_sql(steps: int, rate: float, momentum: float, *, batched: bool = False) -> str:
     """Common tables ``loss<i>``, ``grad<i>`` and ``model<i>`` of softmax descent.
 
     Weights and biases are one table: the bias is the weight of a cell that is
-    always 1, in row -1.
+    always 1, in row -1. With ``batched`` step ``i`` sees batch ``i`` only.
     """
     parts = [
         CELLS_SQL,
         f"""classes AS (SELECT CAST(unnest(range({CLASSES})) AS INTEGER) AS k)""",
-        """inputs AS (SELECT vec_id, label, col, x FROM cells
-  UNION ALL SELECT vec_id, label, -1, 1.0 FROM embeddings)""",
+        f"""placed AS (
+  SELECT vec_id, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || ':1:1')) - 1 AS position
+  FROM embeddings
+)""",
+        f"""batches AS (
+  SELECT vec_id, position // CAST(ceil((SELECT count(*) FROM embeddings) / {BATCHES}.0) AS BIGINT) AS batch
+  FROM placed
+)""",
+        """inputs AS (
+  SELECT vec_id, label, batch, col, x FROM cells JOIN batches USING (vec_id)
+  UNION ALL SELECT vec_id, label, batch, -1, 1.0 FROM embeddings JOIN batches USING (vec_id)
+)""",
         """model0 AS (SELECT col, k, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v
   FROM (SELECT DISTINCT col FROM inputs), classes)""",
     ]
     for i in range(steps):
+        own = f"WHERE batch = {i}" if batched else ""
         parts += [
+            f"inputs{i} AS (SELECT * FROM inputs {own})",
             f"""scores{i} AS (SELECT vec_id, label, k, sum(x * w) AS s
-  FROM inputs JOIN model{i} USING (col) GROUP BY vec_id, label, k)""",
+  FROM inputs{i} JOIN model{i} USING (col) GROUP BY vec_id, label, k)""",
             f"""logp{i} AS (SELECT vec_id, label, k, s - ln(sum(exp(s)) OVER (PARTITION BY vec_id)) AS logp
   FROM scores{i})""",
-            f"loss{i} AS (SELECT {i} AS step, avg(-logp) AS loss FROM logp{i} WHERE k = label)",
+            f"""loss{i} AS (SELECT {i} AS step, avg(-logp) AS loss, count(*) AS rows_in_step
+  FROM logp{i} WHERE k = label)""",
             f"""grad{i} AS (SELECT col, k,
-  sum(x * (exp(logp) - CASE WHEN k = p.label THEN 1 ELSE 0 END)) / (SELECT count(*) FROM embeddings) AS g
-  FROM inputs JOIN logp{i} p USING (vec_id) GROUP BY col, k)""",
+  sum(x * (exp(logp) - CASE WHEN k = p.label THEN 1 ELSE 0 END)) / (SELECT rows_in_step FROM loss{i}) AS g
+  FROM inputs{i} JOIN logp{i} p USING (vec_id) GROUP BY col, k)""",
             f"""model{i + 1} AS (SELECT col, k, w - {rate} * (g + {momentum} * v) AS w,
   g + {momentum} * v AS v FROM model{i} JOIN grad{i} USING (col, k))""",
         ]
@@ -208,6 +257,53 @@ def _losses_sql(steps: int, momentum: float) -> str:
     return f"{_descent_sql(steps, LEARNING_RATE, momentum)}\n{union}"
 
 
+def _batch_losses_sql() -> str:
+    union = "\nUNION ALL ".join(
+        f"SELECT * FROM loss{i}" for i in range(BATCHES)
+    )
+    return f"""{_descent_sql(BATCHES, LEARNING_RATE, MOMENTUM, batched=True)}
+SELECT 1 AS epoch, CAST(step AS INTEGER) AS batch,
+       CAST(coalesce(sum(rows_in_step) OVER (ORDER BY step
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rows_seen,
+       round(loss, 6) + 0.0 AS loss
+FROM ({union})"""
+
+
+_WEIGHT = "(({i} * 7 + {j} * 5) % 13 - 6) / 12.0::DOUBLE"
+
+_HIDDEN_SQL = f"""WITH {CELLS_SQL},
+units AS (SELECT CAST(unnest(range({HIDDEN})) AS INTEGER) AS j),
+classes AS (SELECT CAST(unnest(range({CLASSES})) AS INTEGER) AS k),
+active AS (
+  SELECT vec_id, label, j, sum(x * {_WEIGHT.format(i="col", j="j")}) + {_WEIGHT.format(i="j", j="1")} AS a
+  FROM cells, units GROUP BY vec_id, label, j
+),
+hidden AS (SELECT vec_id, label, j, a, greatest(a, 0) AS h FROM active),
+scores AS (
+  SELECT vec_id, label, k, sum(h * {_WEIGHT.format(i="j", j="k")}) + {_WEIGHT.format(i="k", j="2")} AS s
+  FROM hidden, classes GROUP BY vec_id, label, k
+),
+errors AS (
+  SELECT vec_id, k, exp(s) / sum(exp(s)) OVER (PARTITION BY vec_id)
+         - CASE WHEN k = label THEN 1 ELSE 0 END AS e FROM scores
+),
+back AS (
+  SELECT vec_id, j, CASE WHEN any_value(a) > 0 THEN sum(e * {_WEIGHT.format(i="j", j="k")}) ELSE 0 END AS d
+  FROM hidden JOIN errors USING (vec_id) GROUP BY vec_id, j
+),
+n AS (SELECT count(*) AS n FROM embeddings),
+grads AS (
+  SELECT 'w1' AS param, col AS row, j AS col, sum(x * d) AS g
+    FROM cells JOIN back USING (vec_id) GROUP BY cells.col, j
+  UNION ALL SELECT 'b1', 0, j, sum(d) FROM back GROUP BY j
+  UNION ALL SELECT 'w2', j, k, sum(h * e) FROM hidden JOIN errors USING (vec_id) GROUP BY j, k
+  UNION ALL SELECT 'b2', 0, k, sum(e) FROM errors GROUP BY k
+)
+SELECT param, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col,
+       round(g / n, 6) + 0.0 AS value
+FROM grads, n"""
+
+
 _FIRST_VALUES = f"""WITH {CELLS_SQL},
 logp AS (
   SELECT vec_id, label, col, x, x - ln(sum(exp(x)) OVER (PARTITION BY vec_id)) AS logp
@@ -224,6 +320,8 @@ SQL = {
 SELECT CASE WHEN col < 0 THEN 'b' ELSE 'w' END AS param, CAST(greatest(col, 0) AS INTEGER) AS row,
        k AS class, round(g, 6) + 0.0 AS value
 FROM grad0""",
+    "hidden_layer_gradient": _HIDDEN_SQL,
+    "mini_batch_losses": _batch_losses_sql(),
     "softmax_losses": _losses_sql(3, 0.0),
     "momentum_losses": _losses_sql(4, MOMENTUM),
     "softmax_predictions": f"""{_descent_sql(2, LEARNING_RATE, 0.0)}

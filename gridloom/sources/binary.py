@@ -175,11 +175,12 @@ def read_record_ranges(
             "org.apache.spark.input.FixedLengthBinaryInputFormat.recordLength": str(
                 record_length
             ),
-            "mapreduce.input.fileinputformat.input.dir.recursive": "true",
         },
     )
     rows = spark.createDataFrame(
-        pairs.map(lambda pair: (pair[0], bytes(pair[1]))), "rec long, record binary"
+        pairs.map(lambda pair: (pair[0], bytes(pair[1]))),
+        "rec long, record binary",
+        verifySchema=False,
     ).select(F.input_file_name().alias("path"), "rec", "record")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
