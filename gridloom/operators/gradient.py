@@ -95,19 +95,28 @@ def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def loss_and_gradient(
-    dataset: DataFrame, model: Model, grad: BatchGradient, *, count: int | None = None
+    dataset: DataFrame,
+    model: Model,
+    grad: BatchGradient,
+    *,
+    count: int | None = None,
+    tasks: int | None = None,
 ) -> tuple[float, Model, int]:
     """Mean loss, mean gradients, and the number of rows.
 
     Each task sums the gradient over its rows and sends it out in chunks of
     parameters. A chunk is a reduce key, so the sums over tasks are taken in
     parallel and no task holds more than its chunks; the driver receives one
-    model-sized result. Tasks are merged to about twice the number of cores
-    beforehand, so the traffic is cores times model size however many
+    model-sized result. Partitions are merged to at most ``tasks`` tasks, by
+    default twice the number of cores or ``spark.sql.shuffle.partitions``,
+    whichever is more: the traffic is tasks times model size however many
     partitions the data has. Rows are counted in the same pass.
     """
     dataset = with_arrays(dataset)
-    sc = dataset.sparkSession.sparkContext
+    spark = dataset.sparkSession
+    sc = spark.sparkContext
+    if tasks is None:
+        tasks = max(2 * sc.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shapes = {name: np.shape(value) for name, value in model.items()}
     size = int(sum(np.prod(s, dtype=np.int64) for s in shapes.values()))
     if size * 8 > MODEL_BYTES_LIMIT:
@@ -134,7 +143,7 @@ def loss_and_gradient(
                 yield _chunk(i, piece)
 
     try:
-        partials = dataset.coalesce(2 * sc.defaultParallelism).mapInArrow(partial, CHUNK_SCHEMA)
+        partials = dataset.coalesce(tasks).mapInArrow(partial, CHUNK_SCHEMA)
         totals = partials.repartition("chunk").mapInArrow(_sum_chunks, CHUNK_SCHEMA).toArrow()
     finally:
         shared.unpersist(blocking=True)
@@ -161,6 +170,7 @@ def step(
     *,
     count: int | None = None,
     do_desc: bool = True,
+    tasks: int | None = None,
 ) -> tuple[float, Model, Model]:
     """One step: ``(loss before it, mean gradients, new model)``.
 
@@ -168,7 +178,7 @@ def step(
     alone. ``do_desc=False`` only evaluates. Persist the dataset when taking
     several steps.
     """
-    loss, grads, _ = loss_and_gradient(dataset, model, grad, count=count)
+    loss, grads, _ = loss_and_gradient(dataset, model, grad, count=count, tasks=tasks)
     return loss, grads, desc(model, grads) if do_desc else model
 
 

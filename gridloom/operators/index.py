@@ -60,8 +60,12 @@ def ordinals(
             ).alias("start"),
         )
     )
+    position = F.col("start") + F.col(offset)
+    if kind == "int":
+        too_many = F.raise_error(F.lit(f"{name}: more than 2^31 rows, use kind='long'"))
+        position = F.when(position < 2**31, position).otherwise(too_many.cast("long"))
     return in_part.join(F.broadcast(starts), part).select(
-        *df.columns, (F.col("start") + F.col(offset)).cast(kind).alias(name)
+        *df.columns, position.cast(kind).alias(name)
     )
 
 

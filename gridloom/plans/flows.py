@@ -15,10 +15,11 @@ from gridloom.operators.profile import (
     file_column_profile,
     least_frequent,
     most_frequent,
+    row_count,
     token_counts,
 )
 from gridloom.operators.training import fit_perceptron
-from gridloom.operators.validate import file_size_report
+from gridloom.operators.validate import file_size_report, require_row_shape
 from gridloom.session import persist
 from gridloom.sinks.files import place_by_class, write_by_class, write_labelled_csv
 from gridloom.sources.binary import RECORD_LENGTH, Paths, read_records, scan_files
@@ -80,10 +81,21 @@ def normalise_files(
 
 
 def convert_to_csv(
-    spark: SparkSession, paths: Paths, out: str, record_length: int = RECORD_LENGTH
-) -> None:
-    """Binary image files to label-first CSV lines."""
-    write_labelled_csv(read_records(spark, paths, record_length, pixels="array"), out)
+    spark: SparkSession,
+    paths: Paths,
+    out: str,
+    record_length: int = RECORD_LENGTH,
+    *,
+    classes: int = 10,
+) -> DataFrame:
+    """Binary image files to label-first CSV lines; a label beyond the classes
+    stops the job. Returns the line count of what was written, one row."""
+    records = read_records(spark, paths, record_length, pixels="array")
+    checked = require_row_shape(
+        records, "pixels", "label", width=record_length - 1, classes=classes
+    )
+    write_labelled_csv(checked, out)
+    return row_count(read_lines(spark, out))
 
 
 @dataclass

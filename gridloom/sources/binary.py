@@ -23,12 +23,15 @@ _BATCH_BYTES = 4 * 1024 * 1024
 Paths = str | list[str]
 
 
-def scan_files(spark: SparkSession, paths: Paths, *, glob: str | None = None) -> DataFrame:
+def scan_files(
+    spark: SparkSession, paths: Paths, *, glob: str | None = None, recursive: bool = False
+) -> DataFrame:
     """One row per file: path, modificationTime, length, content.
 
-    Spark reads ``content`` only if a later step uses it.
+    Spark reads ``content`` only if a later step uses it. ``glob`` keeps files
+    by name, ``recursive`` descends into subfolders.
     """
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(paths)
@@ -47,6 +50,8 @@ def read_split(
 
 def _bytes_block(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat unsigned bytes of a binary column and its row offsets."""
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
     _, offsets_buffer, data = column.buffers()
     offsets = np.frombuffer(offsets_buffer, dtype=width)
@@ -185,6 +190,8 @@ def read_record_ranges(
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             flat, offsets = _bytes_block(batch.column("record"))
             block = flat[offsets[0] : offsets[-1]].reshape(-1, record_length)
             yield _record_batch(

@@ -55,7 +55,9 @@ def test_one_folder_per_class(spark, tmp_path, image_dir, single):
 
 def test_binary_to_csv_to_features(spark, tmp_path, image_dir):
     out = str(tmp_path / "csv")
-    flows.convert_to_csv(spark, image_dir, out, 13)
+    assert flows.convert_to_csv(spark, image_dir, out, 13).first()["n"] == 90
+    with pytest.raises(Exception, match="bad row: label"):
+        flows.convert_to_csv(spark, image_dir, f"{out}-strict", 13, classes=5)
     lines = [line for p in (tmp_path / "csv").glob("part-*") for line in p.read_text().splitlines()]
     assert len(lines) == 90 and all(len(line.split(",")) == 13 for line in lines)
     from gridloom.sources.text import label_and_pixels, read_lines

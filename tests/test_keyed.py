@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridloom.operators import index, vectors
@@ -164,3 +166,21 @@ def test_from_arrays(spark):
     entries = vectors.from_arrays(df, "k", "v", above=0.6, headers=True)
     got = as_dict(entries)
     assert got[1][1].keys() == {2} and got[2] == (3, {})
+
+
+entries = st.dictionaries(st.integers(0, 5), st.integers(-3, 3).map(float), max_size=6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(entries, entries), min_size=1, max_size=6))
+def test_vector_algebra_properties(spark, pairs):
+    a = table(spark, {i: (6, x) for i, (x, _) in enumerate(pairs)})
+    b = table(spark, {i: (6, y) for i, (_, y) in enumerate(pairs)})
+    assert as_dict(vectors.add(a, b, strict=False)) == as_dict(vectors.add(b, a, strict=False))
+    assert as_dict(vectors.multiply(a, b, strict=False)) == as_dict(
+        vectors.multiply(b, a, strict=False)
+    )
+    joined = as_dict(vectors.concat([a, b]))
+    assert joined == as_dict(vectors.concat([a, b], sizes=[6, 6]))
+    for i, (x, y) in enumerate(pairs):
+        assert joined[i] == (12, {**x, **{k + 6: v for k, v in y.items()}})

@@ -88,6 +88,15 @@ def test_size_scan_reads_no_content(spark, tmp_path):
     assert "ReadSchema: struct<path:string,length:bigint>" in shown
 
 
+def test_scan_options(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    for name in ("a.bin", "b.txt", "deep/c.bin"):
+        (tmp_path / name).write_bytes(bytes(3))
+    assert binary.scan_files(spark, str(tmp_path)).count() == 2
+    found = binary.scan_files(spark, str(tmp_path), glob="*.bin", recursive=True)
+    assert sorted(r["path"][-5:] for r in found.select("path").collect()) == ["a.bin", "c.bin"]
+
+
 def test_train_and_test_sets(spark, tmp_path):
     for name, n in (("train", 3), ("test", 1)):
         (tmp_path / name).mkdir()
