@@ -45,9 +45,8 @@ def _rows(names: list[str], rows) -> list[tuple]:
     return sorted(tuple(_text(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
-    """What differs, or None."""
-    frame = query(spark, sf_dir)
+def compare(frame, con, sql: str) -> str | None:
+    """What differs between a query's result and its SQL twin's, or None."""
     got = _rows(frame.columns, [tuple(r) for r in frame.collect()])
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -87,7 +86,7 @@ def main() -> int:
         started = time.time()
         try:
             if name in sql:
-                fault = compare(spark, con, sf_dir, query, sql[name])
+                fault = compare(query(spark, sf_dir), con, sql[name])
                 verdict = "ok" if fault is None else f"DIFFERS: {fault}"
             else:
                 verdict = f"rows only: {len(query(spark, sf_dir).collect())}"
