@@ -53,9 +53,17 @@ def _column_values(column: pa.Array) -> np.ndarray:
 
 
 def _flat(grads: Model, shapes: dict[str, tuple[int, ...]]) -> np.ndarray:
-    return np.concatenate(
-        [np.broadcast_to(np.asarray(grads[n], np.float64), s).ravel() for n, s in shapes.items()]
-    )
+    """All gradients in one row, in model order; a parameter without one has 0."""
+    unknown = set(grads) - set(shapes)
+    if unknown:
+        raise ValueError(f"gradients of unknown parameters {sorted(unknown)}")
+    parts = []
+    for name, shape in shapes.items():
+        part = np.asarray(grads[name] if name in grads else np.zeros(shape), np.float64)
+        if part.shape != shape:
+            raise ValueError(f"gradient of {name} has shape {part.shape}, not {shape}")
+        parts.append(part.ravel())
+    return np.concatenate(parts)
 
 
 def with_arrays(df: DataFrame) -> DataFrame:

@@ -241,7 +241,8 @@ def _descent_sql(steps: int, rate: float, momentum: float, *, batched: bool = Fa
             f"""loss{i} AS (SELECT {i} AS step, avg(-logp) AS loss, count(*) AS rows_in_step
   FROM logp{i} WHERE k = label)""",
             f"""grad{i} AS (SELECT col, k,
-  sum(x * (exp(logp) - CASE WHEN k = p.label THEN 1 ELSE 0 END)) / (SELECT rows_in_step FROM loss{i}) AS g
+  sum(x * (exp(logp) - CASE WHEN k = p.label THEN 1 ELSE 0 END))
+  / (SELECT rows_in_step FROM loss{i}) AS g
   FROM inputs{i} JOIN logp{i} p USING (vec_id) GROUP BY col, k)""",
             f"""model{i + 1} AS (SELECT col, k, w - {rate} * (g + {momentum} * v) AS w,
   g + {momentum} * v AS v FROM model{i} JOIN grad{i} USING (col, k))""",
@@ -325,14 +326,16 @@ FROM grad0""",
     "softmax_losses": _losses_sql(3, 0.0),
     "momentum_losses": _losses_sql(4, MOMENTUM),
     "softmax_predictions": f"""{_descent_sql(2, LEARNING_RATE, 0.0)}
-SELECT vec_id, CAST(arg_max(k, logp) AS INTEGER) AS prediction, arg_max(k, logp) = any_value(label) AS correct,
+SELECT vec_id, CAST(arg_max(k, logp) AS INTEGER) AS prediction,
+       arg_max(k, logp) = any_value(label) AS correct,
        round(max(CASE WHEN k = label THEN logp END), 6) + 0.0 AS logp
 FROM logp1 GROUP BY vec_id""",
     "evaluation_report": f"""{_FIRST_VALUES}
 SELECT round(avg(-own), 6) + 0.0 AS loss,
        CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
        count(*) AS total,
-       round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 6) + 0.0 AS accuracy
+       round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 6)
+       + 0.0 AS accuracy
 FROM scored""",
     "evaluation_text": f"""{_FIRST_VALUES},
 report AS (
@@ -343,7 +346,9 @@ report AS (
 SELECT printf('Test set: Average loss: %.4f, Accuracy: %d/%d (%.0f%%)', loss, correct, total,
               correct * 100.0::DOUBLE / total) AS line FROM report""",
     "prediction_accuracy": f"""{_FIRST_VALUES}
-SELECT round(avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS accuracy FROM scored""",
+SELECT round(avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS accuracy
+FROM scored""",
     "evaluator_precision": f"""{_FIRST_VALUES}
-SELECT round(avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS precision FROM scored""",
+SELECT round(avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS precision
+FROM scored""",
 }

@@ -72,7 +72,7 @@ def work_root(spark: SparkSession) -> str:
     Only a local session may go without the setting: executors of a cluster
     cannot see a folder of the driver's machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -3,7 +3,6 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
 
 from gridloom.operators import evaluate, gradient, networks, training
 from gridloom.plans import flows
@@ -94,6 +93,21 @@ def test_row_gradient_equals_batch_gradient(spark, examples):
     assert np.allclose(by_row[1]["w"], by_batch[1]["w"])
 
 
+def test_gradient_shapes(spark, examples):
+    model = networks.softmax_model(6, 4)
+
+    def only_bias(batch, params):
+        loss, grads = networks.softmax_gradient()(batch, params)
+        return loss, {"b": grads["b"]}
+
+    _, grads, _ = gradient.loss_and_gradient(examples, model, only_bias)
+    assert grads["b"].any() and not grads["w"].any()
+    with pytest.raises(Exception, match="shape"):
+        gradient.loss_and_gradient(examples, model, lambda b, p: (0.0, {"b": np.zeros(3)}))
+    with pytest.raises(Exception, match="unknown"):
+        gradient.loss_and_gradient(examples, model, lambda b, p: (0.0, {"c": np.zeros(4)}))
+
+
 def test_vector_features_are_accepted(spark, examples):
     as_vectors = examples.select(array_to_vector("features").alias("features"), "label")
     model, grad = networks.softmax_model(6, 4), networks.softmax_gradient()
