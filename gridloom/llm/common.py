@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from gridloom.session import materialise, new_work_folder, remove_work_folder
 
 
+BROADCAST_BYTES = 32 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -118,6 +121,12 @@ def _state(links: DataFrame) -> tuple:
     return row[0], row[1]
 
 
+def measured(df: DataFrame, row_bytes: int = 16) -> DataFrame:
+    """With a broadcast hint if the table, which is already written, is small;
+    larger ones are joined by a shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def arrow_rows(schema: pa.Schema, rows: dict[str, list]) -> pa.RecordBatch:
     return pa.record_batch(
         [pa.array(rows[f.name], type=f.type) for f in schema], schema=schema
@@ -128,5 +137,3 @@ def texts_of(column: pa.Array) -> list[str]:
     """Values of a string column with null as empty text."""
     return ["" if t is None else t for t in column.to_pylist()]
 
-
-BatchFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import arrow_rows, sorted_groups
+from gridloom.llm.common import arrow_rows, measured, sorted_groups
 from gridloom.session import materialise
 
 QUOTIENT_BITS = 12
@@ -174,3 +174,20 @@ def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
         (alone | (F.col("last.row") == F.col("row"))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def without_exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row, with all its columns, of each group of equal texts: that with the
+    largest key. Of rows that repeat both key and text any one stays."""
+    decided = exact_duplicates(docs, key=key, text=text)
+    dropped = materialise(
+        decided.where(~F.col("kept") & ~F.col(key).eqNullSafe(F.col("keep_id")))
+        .select(F.col(key).alias("__key"), F.col("text_sha256").alias("__sha")),
+        "dropped",
+    )
+    sha = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    left = docs.join(measured(dropped, 96), F.col(key).eqNullSafe(F.col("__key")) & (sha == F.col("__sha")), "left_anti")
+    repeated = decided.where(~F.col("kept") & F.col(key).eqNullSafe(F.col("keep_id")))
+    if repeated.isEmpty():
+        return left
+    return left.withColumn("__sha", sha).dropDuplicates([key, "__sha"]).drop("__sha")

@@ -6,14 +6,23 @@ import public_tokenizers
 
 from gridloom.llm import (
     bpe,
+    embedding_dedup,
     exact_dedup,
+    extraction,
+    ngram_join,
     packing,
+    quality,
     sharding,
+    toxicity,
     warc,
 )
 from gridloom.llm.common import table
 
 
+def op1_extraction(spark, sf_dir):
+    return extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark, sf_dir):
     return packing.packed_pieces(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False
@@ -26,10 +35,26 @@ def op3_bpe(spark, sf_dir):
     )
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join.shingle_components(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark, sf_dir):
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
@@ -38,7 +63,10 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_bpe, op6_exact_dedup, op9_warc, op10_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_extraction, op2_packing, op3_bpe, op4_toxicity, op5_quality, op6_exact_dedup, op7_embedding_dedup,
+    op8_ngram_join, op9_warc, op10_sharding,
+)}
 
 SQL = {
     "op6_exact_dedup": """
@@ -79,8 +107,8 @@ SQL = {
                   FROM walk WHERE j < 25)
         ), placed AS (
             SELECT doc_id, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size,
-                   xor(list_reduce([4294967295::BIGINT] || list_transform(range(strlen(coalesce(text, ''))),
-                           lambda x: ('0x' || substr(hex(encode(text)), x * 2 + 1, 2))::BIGINT),
+                   xor(list_reduce([4294967295::BIGINT] || list_transform(
+                           regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
                        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
                    shard, grown
             FROM walk, polynomial WHERE j >= 25
