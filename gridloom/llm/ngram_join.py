@@ -34,6 +34,7 @@ from gridloom.session import materialise
 
 WORDS = 5
 BLOCK = 64  # members of a group
+SHARED_PERCENT = 15  # of the overlap that a link needs, looked for in the prefixes
 CACHED_WORDS = 400_000
 COUNTER_BITS = 18  # hashed counters of frequent shingles; they order tokens and decide nothing
 
@@ -88,11 +89,22 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def least_shared(size: int, percent: int) -> int:
+    """How many tokens two sets that link, the smaller of this size, share in their prefixes."""
+    return 1 + SHARED_PERCENT * needed(size, percent) // 100
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest tokens of a set, of which two sets that link share at least one."""
+    """The rarest tokens of a set.
+
+    In one order of all tokens, the first ``k`` of the at least ``t`` shared
+    ones lie among the first ``n - t + k`` of either set. So the prefixes of
+    two sets that link share at least the smaller one's ``least_shared``.
+    """
+    n = len(tokens)
     counts = frequent[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
     order = np.argsort(counts, kind="stable")  # ties by hash: the tokens are sorted
-    return tokens[order[:len(tokens) - needed(len(tokens), percent) + 1]]
+    return tokens[order[:n - needed(n, percent) + least_shared(n, percent)]]
 
 
 def links(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -110,17 +122,18 @@ def _describe(words: int):
     def describe(batches):
         shingles, counters = Shingles(words), np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in batches:
-            rows = {name: [] for name in _SLIM.names}
+            rows, places = {name: [] for name in _SLIM.names}, []
             rows["key"] = batch.column(0).to_pylist()
             for text in texts_of(batch.column(1)):
                 tokens = shingles.of(text)
                 rows["n"].append(len(tokens))
-                if len(tokens):
-                    np.add.at(counters, (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
+                places.append((tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
                 rows["fp"].append(set_digest(tokens) if len(tokens) else None)
                 for name, seed in zip(("g1", "g2"), _SEEDS):
                     low = ((tokens ^ (tokens >> np.uint64(31))) * seed).min() if len(tokens) else None
                     rows[name].append(None if low is None else int(low.view(np.int64)))
+            if places:
+                counters += np.bincount(np.concatenate(places), minlength=len(counters))
             rows["bucket"] = rows["count"] = [None] * len(rows["key"])
             yield arrow_rows(_SLIM, rows)
         often = np.flatnonzero(counters > 16 + 4 * counters.mean())
@@ -329,6 +342,7 @@ def shingle_components(
                 F.col("hi").cast("int").alias("hi"), F.explode("tokens").alias("token"))
     )
     x, y = matrix.alias("x"), matrix.alias("y")
+    shared = lambda lo: F.lit(1) + F.floor(F.lit(SHARED_PERCENT) * F.ceil(F.lit(percent) * lo / 100) / 100)
     meetings = materialise(
         x.join(
             y,
@@ -337,8 +351,12 @@ def shingle_components(
             & (F.col("x.hi").cast("long") * 100 >= F.col("y.lo").cast("long") * percent)
             & (F.col("y.hi").cast("long") * 100 >= F.col("x.lo").cast("long") * percent),
         )
-        .select(F.least("x.grp", "y.grp").alias("one"), F.greatest("x.grp", "y.grp").alias("other"))
-        .where("one <> other").distinct(),
+        .where("x.grp <> y.grp")
+        .groupBy(F.col("x.grp").alias("one"), F.col("y.grp").alias("other"), F.col("x.comp").alias("c"), F.col("y.comp").alias("d"))
+        .agg(F.count("*").alias("shared"), F.min(F.least("x.lo", "y.lo")).alias("lo"))
+        .where(F.col("shared") >= shared(F.col("lo")))
+        .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other"))
+        .distinct(),
         "shingle-meetings",
     )
     sides = meetings.select(
