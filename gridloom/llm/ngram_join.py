@@ -33,10 +33,11 @@ from gridloom.llm.common import (
 from gridloom.session import materialise
 
 WORDS = 5
-BLOCK = 64  # members of a group
+BLOCK = 256  # members of a group
+EARLY_ROUNDS = 2
 SHARED_PERCENT = 15  # of the overlap that a link needs, looked for in the prefixes
 CACHED_WORDS = 400_000
-COUNTER_BITS = 18  # hashed counters of frequent shingles; they order tokens and decide nothing
+COUNTER_BITS = 22  # hashed counters of frequent shingles in a task; they order tokens and decide nothing
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -94,7 +95,7 @@ def least_shared(size: int, percent: int) -> int:
     return 1 + SHARED_PERCENT * needed(size, percent) // 100
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+def prefix(tokens: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray:
     """The rarest tokens of a set.
 
     In one order of all tokens, the first ``k`` of the at least ``t`` shared
@@ -102,20 +103,44 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray
     two sets that link share at least the smaller one's ``least_shared``.
     """
     n = len(tokens)
-    counts = frequent[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    counts = counters[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
     order = np.argsort(counts, kind="stable")  # ties by hash: the tokens are sorted
     return tokens[order[:n - needed(n, percent) + least_shared(n, percent)]]
 
 
-def links(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether 100 times the intersection is at least ``percent`` times the union."""
-    small, large = (x, y) if len(x) <= len(y) else (y, x)
-    if 100 * len(small) < percent * len(large):
-        return False
-    at = np.searchsorted(large, small)
-    at[at == len(large)] = 0
-    shared = int((large[at] == small).sum())
-    return 100 * shared >= percent * (len(x) + len(y) - shared)
+def dense_counters(frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    counters = np.zeros(1 << COUNTER_BITS, np.int64)
+    counters[frequent[0]] = frequent[1]
+    return counters
+
+
+def overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of one list with each of another."""
+    universe, place = np.unique(np.concatenate(others), return_inverse=True)
+    edges = np.cumsum([0, *map(len, others)])
+    counts = np.zeros((len(some), len(others)), np.int64)
+    step = max(1, (32 << 20) // (4 * max(1, len(some) + len(others))))  # tokens at a time, in bounded memory
+    spots = []
+    for own in some:
+        at = np.minimum(np.searchsorted(universe, own), max(0, len(universe) - 1))
+        spots.append(at[universe[at] == own] if len(universe) else at[:0])
+    for low in range(0, len(universe), step):
+        high = min(low + step, len(universe))
+        left, right = (np.zeros((n, high - low), np.float32) for n in (len(some), len(others)))
+        for i, at in enumerate(spots):
+            left[i, at[(at >= low) & (at < high)] - low] = 1
+        for j in range(len(others)):
+            at = place[edges[j]:edges[j + 1]]
+            right[j, at[(at >= low) & (at < high)] - low] = 1
+        counts += (left @ right.T).astype(np.int64)
+    return counts
+
+
+def linked(some: list[np.ndarray], others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Where 100 times the intersection is at least ``percent`` times the union."""
+    shared = overlaps(some, others)
+    sizes = np.array([len(s) for s in some])[:, None] + np.array([len(s) for s in others])[None, :]
+    return (100 * shared >= percent * (sizes - shared)) & (shared > 0)
 
 
 def _describe(words: int):
@@ -136,7 +161,7 @@ def _describe(words: int):
                 counters += np.bincount(np.concatenate(places), minlength=len(counters))
             rows["bucket"] = rows["count"] = [None] * len(rows["key"])
             yield arrow_rows(_SLIM, rows)
-        often = np.flatnonzero(counters > 16 + 4 * counters.mean())
+        often = np.flatnonzero(counters > 2 + 2 * counters.mean())
         none = [None] * len(often)
         yield arrow_rows(_SLIM, {"key": none, "n": none, "fp": none, "g1": none, "g2": none,
                                  "bucket": often.tolist(), "count": counters[often].tolist()})
@@ -144,37 +169,38 @@ def _describe(words: int):
     return describe
 
 
-def _prefixes(words: int, frequent: np.ndarray, percent: int):
+def _prefixes(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int):
     def prefixes(batches):
-        shingles = Shingles(words)
+        shingles, counters = Shingles(words), dense_counters(frequent)
         for batch in batches:
             rows = {name: [] for name in _PREFIX.names}
             rows["key"] = batch.column(0).to_pylist()
             for text in texts_of(batch.column(1)):
                 tokens = shingles.of(text)
                 rows["fp"].append(set_digest(tokens) if len(tokens) else None)
-                rows["tokens"].append(prefix(tokens, frequent, percent).view(np.int64) if len(tokens) else None)
+                rows["tokens"].append(prefix(tokens, counters, percent).view(np.int64) if len(tokens) else None)
             yield arrow_rows(_PREFIX, rows)
 
     return prefixes
 
 
-def _inside_groups(words: int, frequent: np.ndarray, percent: int):
+def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int):
     """Links inside each group, and the group's token union for each part of it
     that hangs together. Rows with ``member`` false only link."""
 
     def inside(batches):
-        shingles = Shingles(words)
+        shingles, counters = Shingles(words), dense_counters(frequent)
         rows = {name: [] for name in _TOKENS.names}
         for grp, group in sorted_groups(batches, "grp"):
             order = sorted(range(len(group["rep"])), key=lambda i: group["rep"][i])
             reps = [group["rep"][i] for i in order]
             sets = [shingles.of(group["text"][i] or "") for i in order]
             forest = Forest(len(reps))
-            for i in range(len(reps)):
-                for j in range(i):
-                    if forest.root(i) != forest.root(j) and (reps[i] == reps[j] or links(sets[i], sets[j], percent)):
-                        forest.join(i, j)
+            for i, j in np.argwhere(linked(sets, sets, percent)).tolist():
+                forest.join(i, j)
+            for i in range(1, len(reps)):
+                if reps[i] == reps[i - 1]:  # a key that occurs again
+                    forest.join(i, i - 1)
             parts: dict[int, list[int]] = {}
             for i, at in enumerate(order):
                 root = forest.root(i)
@@ -184,7 +210,7 @@ def _inside_groups(words: int, frequent: np.ndarray, percent: int):
                     parts.setdefault(root, []).append(i)
             for root, own in parts.items():
                 sizes = [len(sets[i]) for i in own]
-                union = np.unique(np.concatenate([prefix(sets[i], frequent, percent) for i in own]))
+                union = np.unique(np.concatenate([prefix(sets[i], counters, percent) for i in own]))
                 for name, value in zip(_TOKENS.names, (grp, reps[root], min(sizes), max(sizes),
                                                        union.view(np.int64), None, None)):
                     rows[name].append(value)
@@ -216,17 +242,17 @@ def _open_groups(words: int, percent: int):
             if not members:
                 continue
             union = np.unique(np.concatenate([sets[i] for i in members]))
+            asking = []
+            for i, side in enumerate(sides):
+                at = np.minimum(np.searchsorted(union, sets[i]), max(0, len(union) - 1))
+                enough = len(union) and 100 * int((union[at] == sets[i]).sum()) >= percent * len(sets[i])
+                if side == 0 and enough:  # else no member can share enough
+                    asking.append(i)
             forest = Forest(len(reps))
-            for i in range(len(reps)):
-                if sides[i] == 1 or not len(sets[i]) or not len(union):
-                    continue
-                at = np.searchsorted(union, sets[i])
-                at[at == len(union)] = 0
-                if 100 * int((union[at] == sets[i]).sum()) < percent * len(sets[i]):
-                    continue  # no member can share enough
-                for j in members:
-                    if forest.root(i) != forest.root(j) and links(sets[i], sets[j], percent):
-                        forest.join(i, j)
+            if asking:
+                found = linked([sets[i] for i in asking], [sets[j] for j in members], percent)
+                for i, j in np.argwhere(found).tolist():
+                    forest.join(asking[i], members[j])
             for i in range(len(reps)):
                 if forest.root(i) != i:
                     _edge(rows, reps[i], reps[forest.root(i)])
@@ -298,10 +324,9 @@ def shingle_components(
         "shingles",
     )
     slim = described.where("bucket IS NULL").select("key", "n", "fp", "g1", "g2")
-    frequent = np.zeros(1 << COUNTER_BITS, np.int64)
     counted = described.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("n"))
-    for row in counted.collect():  # at most one row for each of the fixed counters
-        frequent[row["bucket"]] = row["n"]
+    found = counted.toArrow()  # at most one row for each of the fixed counters
+    frequent = (found["bucket"].to_numpy().astype(np.int32), found["n"].to_numpy())
 
     reps = materialise(
         slim.where("fp IS NOT NULL AND key IS NOT NULL").groupBy("fp")
@@ -355,26 +380,50 @@ def shingle_components(
         .groupBy(F.col("x.grp").alias("one"), F.col("y.grp").alias("other"), F.col("x.comp").alias("c"), F.col("y.comp").alias("d"))
         .agg(F.count("*").alias("shared"), F.min(F.least("x.lo", "y.lo")).alias("lo"))
         .where(F.col("shared") >= shared(F.col("lo")))
-        .select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other"))
-        .distinct(),
+        .select("one", "other", "c", "d", "shared"),
         "shingle-meetings",
     )
-    sides = meetings.select(
-        F.xxhash64("one", "other").alias("place"),
-        F.explode(F.array(F.struct(F.col("one").alias("grp"), F.lit(0).alias("side")),
-                          F.struct(F.col("other").alias("grp"), F.lit(1).alias("side")))).alias("s"),
-    ).select("place", "s.grp", "s.side")
     members = grouped.unionByName(alone.select(F.col("rep").alias("grp"), "rep"))
-    opened = materialise(sides.join(members, "grp").select("place", "side", "rep"), "shingle-opened")
-    more = materialise(
-        source.join(measured(opened, 24), F.col("key") == F.col("rep"))
-        .select("place", "side", "rep", "text")
-        .repartition("place").sortWithinPartitions("place")
-        .mapInArrow(_open_groups(words, percent), "a long, b long"),
-        "shingle-more-links",
-    )
-    final = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                                 .unionByName(more), "a", "b")
+
+    def opened(pairs: DataFrame) -> DataFrame:
+        sides = pairs.select(
+            F.xxhash64("one", "other").alias("place"),
+            F.explode(F.array(F.struct(F.col("one").alias("grp"), F.lit(0).alias("side")),
+                              F.struct(F.col("other").alias("grp"), F.lit(1).alias("side")))).alias("s"),
+        ).select("place", "s.grp", "s.side")
+        rows = materialise(sides.join(members, "grp").select("place", "side", "rep"), "shingle-opened")
+        return materialise(
+            source.join(measured(rows, 24), F.col("key") == F.col("rep"))
+            .select("place", "side", "rep", "text")
+            .repartition("place").sortWithinPartitions("place")
+            .mapInArrow(_open_groups(words, percent), "a long, b long"),
+            "shingle-more-links",
+        )
+
+    # Every component first opens its closest meeting; what became connected
+    # thereby, or by the round after, need not be opened. Then all others are.
+    links = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    for _ in range(EARLY_ROUNDS):
+        closest = materialise(
+            meetings.unionByName(meetings.select("one", "other", F.col("d").alias("c"), F.col("c").alias("d"), "shared"))
+            .groupBy("c").agg(F.max(F.struct("shared", "one", "other")).alias("best"))
+            .select(F.least("best.one", "best.other").alias("one"), F.greatest("best.one", "best.other").alias("other"))
+            .distinct(),
+            "shingle-closest",
+        )
+        links = links.unionByName(opened(closest))
+        components = materialise(connected_components(links, "a", "b"), "shingle-components")
+        rest = (
+            meetings
+            .join(measured(components.select(F.col("node").alias("c"), F.col("component").alias("c2"))), "c", "left")
+            .join(measured(components.select(F.col("node").alias("d"), F.col("component").alias("d2"))), "d", "left")
+            .select("one", "other", F.coalesce("c2", "c").alias("c"), F.coalesce("d2", "d").alias("d"), "shared")
+            .where("c <> d")
+        )
+        seen = closest.unionByName(closest.select(F.col("other").alias("one"), F.col("one").alias("other")))
+        meetings = materialise(rest.join(measured(seen), ["one", "other"], "left_anti"), "shingle-meetings")
+    last = meetings.select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
+    final = connected_components(links.unionByName(opened(last)), "a", "b")
     known = reps.join(final, F.col("rep") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "rep").alias("component")
     )
