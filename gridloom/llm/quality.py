@@ -24,6 +24,7 @@ HALF = 32  # filter places in half a chunk: chunks of 256 bytes overlap by half
 HIDDEN = 12
 EPOCHS = 9
 CUT = 0.5  # a score from here on is good
+SPARED = 0.995  # of the sample's documents with label 1 score at least CUT
 SCORED_BYTES = 1 << 20  # held at a time; a longer document is scored in pieces
 
 PIECE = HALF * STEP
@@ -84,9 +85,11 @@ def train(rows: list[tuple[str, int, str | None]], *, seed: int = 5, epochs: int
         for at in range(0, len(fit), 32):
             some = fit[at:at + 32]
             _learn(w, adam, [docs[i] for i in some], labels[some], balance[labels[some]])
-    raw = np.array([_logit(w, [docs[i]])[0] for i in check])
+    good = np.array([_logit(w, [docs[i]])[0] for i in order if labels[i] == 1])
+    model.shift = float(np.quantile(good, 1 - SPARED)) - 1e-3
     if len(set(labels[check].tolist())) == 2:
-        model.shift = best_threshold(raw, labels[check])
+        raw = np.array([_logit(w, [docs[i]])[0] for i in check])
+        model.shift = min(model.shift, best_threshold(raw, labels[check]))
     return model
 
 
