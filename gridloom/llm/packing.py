@@ -177,7 +177,7 @@ class _Words:
         found: list[bytes] = []
         for at in range(0, len(pieces), 256):
             some = pieces[at:at + 256]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             borders = np.flatnonzero(self.ends[ids]) + 1
             if len(borders) != len(some):  # not pieces after all
                 found += [self._one(piece) for piece in some]
@@ -207,7 +207,7 @@ class _Words:
                 cache[word] = known
                 continue
             core = word.rstrip(MARKS)
-            if core and _LETTERS.fullmatch(core):
+            if (core.isascii() and core.isalpha()) or _LETTERS.fullmatch(core):
                 tail = word[len(core):]
                 split.append((word, core, tail))
                 if core not in cache:
