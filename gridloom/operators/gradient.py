@@ -46,9 +46,17 @@ def row_gradient(grad: Callable[[dict, Model], tuple[float, Model]]) -> BatchGra
 
 
 def _column_values(column: pa.Array) -> np.ndarray:
+    """Values of a column; arrays must be whole rows of one width."""
+    if column.null_count:
+        raise ValueError("a gradient batch holds null rows")
     if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-        flat = column.flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(len(column), -1)
+        lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+        if len(lengths) and (lengths != lengths[0]).any():
+            raise ValueError("a gradient batch holds arrays of different lengths")
+        flat = column.flatten()
+        if flat.null_count:
+            raise ValueError("a gradient batch holds null values")
+        return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
     return column.to_numpy(zero_copy_only=False)
 
 

@@ -17,6 +17,8 @@ def log_softmax(scores: np.ndarray) -> np.ndarray:
 
 def _loss_and_error(scores: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray]:
     """Summed negative log-likelihood and its derivative by the scores."""
+    if len(labels) and not (0 <= labels.min() and labels.max() < scores.shape[1]):
+        raise ValueError(f"labels must be 0 to {scores.shape[1] - 1}")
     logp = log_softmax(scores)
     rows = np.arange(len(labels))
     error = np.exp(logp)

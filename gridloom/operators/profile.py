@@ -173,8 +173,13 @@ def change_counts(
         .select(*column_key, "seg", F.greatest(F.max("edge").over(earlier), start).alias("reached"))
     )
     before = W.partitionBy(*column_key, "seg").orderBy("rec").rowsBetween(W.unboundedPreceding, -1)
+    # A null file is a file of its own, in the join as in the windows.
+    same = F.lit(True)
+    for name in (*column_key, "seg"):
+        same = same & F.col(f"f.{name}").eqNullSafe(F.col(f"r.{name}"))
     moves = (
-        firsts.join(reached, [*column_key, "seg"])
+        firsts.alias("f").join(reached.alias("r"), same)
+        .select("f.*", "r.reached")
         .where(F.col("v") > F.col("reached"))
         .withColumn("running", F.max("v").over(before))
         .where(F.col("running").isNull() | (F.col("v") > F.col("running")))

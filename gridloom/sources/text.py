@@ -37,17 +37,27 @@ def int_fields(line: Column | str) -> Column:
 
 
 def csv_fields(line: Column | str) -> Column:
-    """Fields of one CSV line as ``array<string>``, quotes taken off."""
+    """Fields of one CSV line as ``array<string>``, quotes taken off.
+
+    Text after a closing quote belongs to its field, and a quote that is never
+    closed reaches to the end of the line, so no character is lost.
+    """
     line = F.col(line) if isinstance(line, str) else line
     # With a comma put in front, every field is a comma and what follows it.
     found = F.regexp_extract_all(
-        F.concat(F.lit(","), line), F.lit(r',("[^"]*(?:""[^"]*)*"|[^,]*)'), F.lit(1)
+        F.concat(F.lit(","), line),
+        F.lit(r',("[^"]*(?:""[^"]*)*(?:"(?!")[^,]*|\z)|[^,]*)'),
+        F.lit(1),
     )
+    quoted = r'^"([^"]*(?:""[^"]*)*)(?:"([^,]*))?\z'
     return F.transform(
         found,
         lambda field: F.when(
             field.startswith('"'),
-            F.replace(field.substr(F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"')),
+            F.concat(
+                F.replace(F.regexp_extract(field, quoted, 1), F.lit('""'), F.lit('"')),
+                F.regexp_extract(field, quoted, 2),
+            ),
         ).otherwise(field),
     )
 
