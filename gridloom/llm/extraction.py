@@ -1,9 +1,11 @@
 """Main text of web pages by removing what a site repeats.
 
-Every element subtree outside the article is hashed. Spark counts on how many
-pages of its host each hash occurs; subtrees on many of them are the site's
-template and are deleted. What a template cannot show, because it differs from
-page to page or the host has few pages, goes by element and class name.
+Every element subtree with text is hashed, inside the article the blocks that
+are no headings, items or cells. Spark counts on how many pages of its host each
+hash occurs; subtrees on many of them are the site's template and are deleted,
+but never an article or what stands around one. What a template cannot show,
+because it differs from page to page or the host has few pages, goes by element
+and class name.
 """
 
 from __future__ import annotations
@@ -46,6 +48,11 @@ DROPPED_NAMES = frozenset(
     "footer header masthead topbar toolbar pagination pager widget skip".split()
 )
 WHOLE = frozenset("html body article main".split())  # never deleted by their name
+# Blocks that can be a site's box inside an article. A heading, an item or a cell
+# may be the same on many pages and still belong to what it stands in.
+BOXES = frozenset(
+    "address blockquote details div dl fieldset figure footer header hgroup ol p pre section table ul".split()
+)
 CLOSES_PARAGRAPH = BLOCKS - {"html", "body"}
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -78,11 +85,11 @@ def by_name(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 class _Open:
-    __slots__ = ("tag", "start", "drops", "pieces", "article", "before")
+    __slots__ = ("tag", "start", "drops", "pieces", "article", "before", "texts")
 
-    def __init__(self, tag: str, start: int, drops: bool, pieces: int, article: bool, before: int):
+    def __init__(self, tag: str, start: int, drops: bool, pieces: int, article: bool, before: int, texts: int):
         self.tag, self.start, self.drops, self.pieces = tag, start, drops, pieces
-        self.article, self.before = article, before
+        self.article, self.before, self.texts = article, before, texts
 
 
 class Page:
@@ -92,15 +99,18 @@ class Page:
         self.source, self.template, self.want = source, template, subtrees
         self.pieces: list[str | None] = []  # None is a block border
         self.inside: list[bool] = []  # whether the piece stands in an article or main element
+        self.marked = False  # whether there is any such piece, deleted ones included
         self.subtrees: set[int] = set()
         self.stack: list[_Open] = []
-        self.dropping = self.articles = self.opened = 0
+        self.dropping = self.articles = self.opened = self.texts = 0
         self._walk()
 
     def _add(self, piece: str | None) -> None:
         if not self.dropping:
             self.pieces.append(piece)
             self.inside.append(self.articles > 0)
+            self.marked |= self.articles > 0
+            self.texts += piece is not None and not piece.isspace()
 
     def _open(self, tag: str, attributes: str, start: int) -> None:
         if tag in CLOSES_PARAGRAPH:
@@ -114,7 +124,7 @@ class Page:
             return
         article = tag in ("article", "main")
         drops = by_name(tag, attributes, self.articles > 0)
-        self.stack.append(_Open(tag, start, drops, len(self.pieces), article, self.opened))
+        self.stack.append(_Open(tag, start, drops, len(self.pieces), article, self.opened, self.texts))
         self.dropping += drops
         self.articles += article
         self.opened += article
@@ -133,8 +143,9 @@ class Page:
             node = self.stack.pop()
             self.dropping -= node.drops
             self.articles -= node.article
-            outside = not self.articles and self.opened == node.before  # neither in an article nor around one
-            if outside and node.tag not in WHOLE and (self.want or self.template):
+            whole = node.tag in WHOLE or self.opened != node.before  # an article or around one
+            box = not self.articles or node.tag in BOXES
+            if box and not whole and self.texts > node.texts and (self.want or self.template):
                 digest = xxhash.xxh3_64_intdigest(self.source[node.start:end].encode("utf-8", "surrogatepass"))
                 digest -= (digest >> 63) << 64
                 if self.want:
@@ -174,7 +185,6 @@ class Page:
     def text(self) -> str:
         """Blocks of the article joined by two line ends; of the whole page
         where nothing is marked as one."""
-        marked = any(self.inside)
         blocks, parts = [], []
         for piece, inside in [*zip(self.pieces, self.inside), (None, True)]:
             if piece is None:
@@ -182,7 +192,7 @@ class Page:
                 if block:
                     blocks.append(block)
                 parts = []
-            elif inside or not marked:
+            elif inside or not self.marked:
                 parts.append(piece)
         return "\n\n".join(blocks)
 
@@ -231,9 +241,9 @@ def site_templates(
     """``(host, template)``: hashes of the subtrees that recur on a host.
 
     A subtree is template when it stands on at least ``least_pages`` pages and
-    ``share`` of the host's pages, which are not all copies of one page. Subtrees
-    in or around an article are never template. Counts are added up within tasks before they
-    are shuffled by host and subtree, so a host with a third of all pages sends
+    ``share`` of the host's pages, which are not all copies of one page. An article
+    and what stands around one are never template; boxes in it may be. Counts are
+    added up within tasks before they are shuffled by host and subtree, so a host with a third of all pages sends
     one row per task and subtree. A host has at most its subtrees per page
     divided by ``share`` template hashes. Pages without a host have none.
     """

@@ -352,6 +352,20 @@ def test_extraction_learns_templates(spark):
     assert extraction.main_texts(frame.limit(0)).count() == 0
 
 
+def test_extraction_deletes_what_recurs_inside_articles(spark):
+    box = '<div class="box"><p>Read this first</p></div>'
+    page = lambda i: (f"<article><h2>Method</h2><p>story {i} of its own</p><ul><li>yes</li><li>item {i}</li></ul>"
+                      f"{box}<p>end of {i} <b>Note</b></p></article><div>outside</div>")
+    pages = [(i, f"http://a.example/{i}", page(i)) for i in range(12)]
+    pages += [(100, "http://a.example/box", f"<main>{box}</main><div>outside</div>")]  # nothing is left, also not from outside
+    pages += [(200 + i, f"http://{i}.example/", page(i)) for i in range(3)]  # seen once on its host
+    got = {r["page_id"]: r["text"] for r in extraction.main_texts(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        assert got[i] == f"Method\n\nstory {i} of its own\n\nyes\n\nitem {i}\n\nend of {i} Note"
+    assert got[100] == "" and all("Read this first" in got[200 + i] for i in range(3))
+
+
 def rows_of(kind, n, seed):
     rng = random.Random(seed)
     words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("rem", "lis", "ton", "va")]
