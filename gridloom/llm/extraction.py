@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import arrow_rows, texts_of
 from gridloom.session import materialise
 
-SHARE = 0.1  # of a host's pages on which a subtree is template
+SHARE = 0.5  # of a host's pages on which a subtree is template
 LEAST_PAGES = 3
+MANY_PAGES = 10  # below, the pages must also differ in the longest text beside the subtree
 HELD_COUNTS = 200_000  # in a task before it passes them on
 
 # Elements and names of HTML and of common page parts.
@@ -100,7 +101,7 @@ class Page:
         self.pieces: list[str | None] = []  # None is a block border
         self.inside: list[bool] = []  # whether the piece stands in an article or main element
         self.marked = False  # whether there is any such piece, deleted ones included
-        self.subtrees: set[int] = set()
+        self.subtrees: dict[int, tuple[int, int]] = {}  # the pieces of each
         self.stack: list[_Open] = []
         self.dropping = self.articles = self.opened = self.texts = 0
         self._walk()
@@ -149,7 +150,7 @@ class Page:
                 digest = xxhash.xxh3_64_intdigest(self.source[node.start:end].encode("utf-8", "surrogatepass"))
                 digest -= (digest >> 63) << 64
                 if self.want:
-                    self.subtrees.add(digest)
+                    self.subtrees.setdefault(digest, (node.pieces, len(self.pieces)))
                 if digest in self.template:
                     del self.pieces[node.pieces:], self.inside[node.pieces:]
             if node.tag in BLOCKS:
@@ -182,6 +183,25 @@ class Page:
             self._add(source[at:])
         self._pop(0, len(source))
 
+    def beside(self) -> dict[int, int]:
+        """For each subtree, a hash of the longest piece of the text not in it."""
+        def longest(places):
+            best, found = (0, -1), []
+            for i in places:
+                piece = self.pieces[i]
+                if piece and (self.inside[i] or not self.marked) and len(piece) > best[0]:
+                    best = len(piece), i
+                found.append(best)
+            return found
+
+        n = len(self.pieces)
+        before = [(0, -1), *longest(range(n))]
+        after = [(0, -1), *longest(range(n - 1, -1, -1))]
+        found = {subtree: max(before[a], after[n - b])[1] for subtree, (a, b) in self.subtrees.items()}
+        hashes = {i: xxhash.xxh3_64_intdigest(self.pieces[i].encode("utf-8", "surrogatepass")) >> 1 if i >= 0 else 0
+                  for i in set(found.values())}
+        return {subtree: hashes[i] for subtree, i in found.items()}
+
     def text(self) -> str:
         """Blocks of the article joined by two line ends; of the whole page
         where nothing is marked as one."""
@@ -198,7 +218,7 @@ class Page:
 
 
 _COUNTS = pa.schema([("host", pa.string()), ("subtree", pa.int64()), ("n", pa.int64()),
-                     ("low", pa.int64()), ("high", pa.int64())])
+                     ("low", pa.int64()), ("high", pa.int64()), ("least", pa.int64()), ("most", pa.int64())])
 _TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
@@ -206,17 +226,20 @@ def _count_subtrees(batches):
     counts: dict[tuple[str, int | None], list[int]] = {}
 
     def rows():
-        values = [list(column) for column in zip(*counts.values())] or [[], [], []]
+        values = [list(column) for column in zip(*counts.values())] or [[]] * 5
         return arrow_rows(_COUNTS, {"host": [k[0] for k in counts], "subtree": [k[1] for k in counts],
-                                    "n": values[0], "low": values[1], "high": values[2]})
+                                    "n": values[0], "low": values[1], "high": values[2],
+                                    "least": values[3], "most": values[4]})
 
     for batch in batches:
         for host, source in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
             page = xxhash.xxh3_64_intdigest(source.encode("utf-8", "surrogatepass")) >> 1
-            for subtree in (None, *Page(source, subtrees=True).subtrees):  # None counts the page
-                known = counts.setdefault((host, subtree), [0, page, page])
+            beside = Page(source, subtrees=True).beside()
+            for subtree, other in (None, 0), *beside.items():  # None counts the page
+                known = counts.setdefault((host, subtree), [0, page, page, other, other])
                 known[0] += 1
                 known[1], known[2] = min(known[1], page), max(known[2], page)
+                known[3], known[4] = min(known[3], other), max(known[4], other)
             if len(counts) >= HELD_COUNTS:
                 yield rows()
                 counts.clear()
@@ -236,12 +259,15 @@ def host_of(url):
 
 
 def site_templates(
-    pages: DataFrame, *, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES
+    pages: DataFrame, *, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES,
+    many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """``(host, template)``: hashes of the subtrees that recur on a host.
 
     A subtree is template when it stands on at least ``least_pages`` pages and
-    ``share`` of the host's pages, which are not all copies of one page. An article
+    ``share`` of the host's pages, which are not all copies of one page. On fewer
+    than ``many_pages`` the longest text beside the subtree must differ as well,
+    so that near copies do not make each other's text a template. An article
     and what stands around one are never template; boxes in it may be. Counts are
     added up within tasks before they are shuffled by host and subtree, so a host with a third of all pages sends
     one row per task and subtree. A host has at most its subtrees per page
@@ -250,10 +276,14 @@ def site_templates(
     counts = (
         pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
         .where("host <> ''")
-        .mapInArrow(_count_subtrees, "host string, subtree long, n long, low long, high long")
+        .mapInArrow(_count_subtrees,
+                    "host string, subtree long, n long, low long, high long, least long, most long")
         .groupBy("host", "subtree")
-        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-        .where(F.col("subtree").isNull() | ((F.col("n") >= least_pages) & (F.col("low") < F.col("high"))))
+        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
+             F.min("least").alias("least"), F.max("most").alias("most"))
+        .where(F.col("subtree").isNull() | (
+            (F.col("n") >= least_pages) & (F.col("low") < F.col("high"))
+            & ((F.col("n") >= many_pages) | (F.col("least") < F.col("most")))))
     )
     counts = materialise(counts, "subtree-counts")
     hosts = counts.where("subtree IS NULL").select("host", F.col("n").alias("pages"))

@@ -366,6 +366,24 @@ def test_extraction_deletes_what_recurs_inside_articles(spark):
     assert got[100] == "" and all("Read this first" in got[200 + i] for i in range(3))
 
 
+def test_extraction_keeps_near_copies_and_shared_passages(spark):
+    story = [f"paragraph {k} of the one story that was copied" for k in range(4)]
+    near = lambda i: "".join(f"<p>{t}</p>" for t in [*story, f"changed {i}"])
+    quote = "<p>a passage that several stories quote</p>"
+    own = lambda i: f"<p>page {i} says something of its own</p>{quote if i % 5 == 0 else ''}"
+    site = "<div>Site notice</div>"
+    pages = [(i, f"http://small.example/{i}", f"<body>{site}<div>{near(i)}</div></body>") for i in range(3)]
+    pages += [(i, f"http://small.example/{i}", f"<body>{site}<div>{own(i)}</div></body>") for i in range(5, 25)]
+    pages += [(100 + i, f"http://tiny.example/{i}", f"<body><div>{near(i)}</div></body>") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in extraction.main_texts(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(3):
+        assert got[i] == got[100 + i] == "\n\n".join([*story, f"changed {i}"])
+    for i in range(5, 25):
+        assert got[i].split("\n\n") == [f"page {i} says something of its own",
+                                        *(["a passage that several stories quote"] if i % 5 == 0 else [])]
+
+
 def rows_of(kind, n, seed):
     rng = random.Random(seed)
     words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("rem", "lis", "ton", "va")]
