@@ -48,6 +48,17 @@ DROPPED_NAMES = frozenset(
     "share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay "
     "footer header masthead topbar toolbar pagination pager widget skip".split()
 )
+# In an article most of these words also name content: there a whole class or id
+# must consist of them and of words for boxes. These decide as part of a name too.
+CLEAR_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising adbox adslot navbar breadcrumb breadcrumbs "
+    "commentlist disqus gdpr sidebar popup topbar masthead pagination pager".split()
+)
+BOX_WORDS = frozenset(
+    "area bar block box button buttons container content count form group icon icons inner item items link links list "
+    "outer panel post posts section slot tools unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WHOLE = frozenset("html body article main".split())  # never deleted by their name
 # Blocks that can be a site's box inside an article. A heading, an item or a cell
 # may be the same on many pages and still belong to what it stands in.
@@ -62,7 +73,7 @@ _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>?|<[/a-zA-Z][^<]*\Z",
     re.S,
 )
-_NAMED = re.compile(r"""\b(?:class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ROLE = re.compile(r"""\brole\s*=\s*["']?([a-z]+)""", re.I)
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s>=/]|\Z)|aria-hidden\s*=\s*["']?true)""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
@@ -78,10 +89,16 @@ def by_name(tag: str, attributes: str, in_article: bool) -> bool:
     role = _ROLE.search(attributes)
     if role and role[1].lower() in DROPPED_ROLES or _HIDDEN.search(attributes):
         return True
-    for value in _NAMED.findall(attributes):
-        words = _PARTS.split(_CAMEL.sub("-", "".join(value)).lower())
-        if not DROPPED_NAMES.isdisjoint(words):
-            return not (tag in ("h1", "header") and in_article)
+    if in_article and (tag in HEADINGS or tag == "header"):
+        return False
+    for kind, *value in _NAMED.findall(attributes):
+        if in_article and kind.lower() == "id" and tag in ("p", "section"):  # made from what it says
+            continue
+        for token in "".join(value).split():
+            words = {w for w in _PARTS.split(_CAMEL.sub("-", token).lower()) if w}
+            named = words & DROPPED_NAMES
+            if named and (not in_article or words & CLEAR_NAMES or words - named <= BOX_WORDS):
+                return True
     return False
 
 

@@ -337,6 +337,20 @@ def test_extraction_of_a_page():
     assert extraction.Page("<p>" * 5000 + "deep").text() == "deep"
 
 
+def test_extraction_keeps_article_blocks_by_their_names():
+    kept = ["<section id='discussion'><p>a</p></section>", "<h2 id='related-work' class='notice'>a</h2>", "<p id='social-history'>a</p>",
+            "<div class='notice-of-decision'>a</div>", "<h3 id=alert>a</h3>", "<div data-id='share'>a</div>",
+            "<div id='menu-of-the-day'>a</div>", "<p class='skip-logic lead'>a</p>"]
+    dropped = ["<div class='share-buttons'>a</div>", "<div class='related'>a</div>", "<div id='comments'>a</div>",
+               "<div class='x relatedPosts'>a</div>", "<section class='newsletter-signup'>a</section>", "<p class='ad-300'>a</p>",
+               "<div class='my-navbar-2'>a</div>"]
+    for block in kept:
+        assert extraction.Page(f"<article>{block}<p>end</p></article>").text() == "a\n\nend", block
+    for block in dropped:
+        assert extraction.Page(f"<article>{block}<p>end</p></article>").text() == "end", block
+    assert extraction.Page("<div class='notice-of-decision'>a</div><p>end</p>").text() == "end"  # outside as it was
+
+
 def test_extraction_learns_templates(spark):
     words = lambda i: f"<p>text of page {i} that differs</p>"
     pages = [(i, f"http://h.example/{i}", f"<body><div>Welcome to h</div><div>{words(i)}</div></body>", "x") for i in range(30)]
