@@ -206,7 +206,8 @@ def elapsed_texts(spark, sf_dir):
 def row_shape_violations(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(
         "vec_id", (F.col("label") * 2 - 1).alias("label"),
-        F.slice("embedding", F.lit(1), 60 + F.col("label")).alias("values"),
+        F.concat("embedding", F.array_repeat(F.lit(0).cast("float"), F.greatest(F.lit(0), 4 - F.col("label")).cast("int")))
+        .alias("values"),
     )
     bad = validate.row_shape_violations(rows, "values", "label", width=64)
     return bad.select("vec_id", "label", F.array_join("faults", ",").alias("faults"))

@@ -218,3 +218,16 @@ def test_report_texts(spark):
     assert row["name"] == "Col 0007"
     assert row["report"].startswith("Actual num images: 12    Correct")
     assert row["log"] == "Train Epoch: 1 [640/6400 (10%)]\tLoss: 0.123457"
+
+
+def test_shape_faults_are_made_without_cutting_vectors(spark, monkeypatch):
+    from gridloom.plans import profiling_queries
+
+    seen = []
+    check = validate.row_shape_violations
+    monkeypatch.setattr(validate, "row_shape_violations", lambda df, *a, **b: seen.append(df) or check(df, *a, **b))
+    faulty = profiling_queries.row_shape_violations(spark, "/root/testdata/sf0.001")
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding")
+    whole = seen[0].join(vectors, "vec_id").where(F.slice("values", 1, F.size("embedding")) == F.col("embedding"))
+    assert whole.count() == vectors.count()
+    assert not faulty.where("faults LIKE '%width%'").isEmpty()
