@@ -33,9 +33,9 @@ def training_rows(
 ) -> list[tuple[str, int, str | None]]:
     """``(text, label, language)`` of a bounded sample outside the held-out fold.
 
-    The sample has at most ``per_class`` documents of each label, chosen by a
-    hash of their key, and none above ``most_bytes``. Languages serve the
-    thresholds, never the score.
+    The sample has at most ``per_class`` keys of each label, chosen by a hash
+    among those of documents up to ``most_bytes``, with one document each: the
+    first by text and language of those that share a key. Languages serve the thresholds, never the score.
     """
     known = (
         labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~is_held_out(F.col(key), folds, held))
@@ -45,12 +45,14 @@ def training_rows(
     short = docs.where(F.coalesce(F.octet_length(text), F.lit(0)) <= most_bytes).select(
         key, F.coalesce(F.col(text), F.lit("")).alias("text"), language.alias("lang")
     )
+    known = known.join(short.select(key).distinct(), key, "left_semi")
     chosen = None
     for value in (0, 1):
         some = known.where(F.col("label") == value).orderBy(F.xxhash64(key), key).limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = short.join(F.broadcast(chosen), key).select(key, "text", "label", "lang")  # at most 2 x per_class
-    rows = sorted(rows.collect(), key=lambda r: (r[key], r["text"]))[: 4 * per_class]
+    first = F.min(F.struct("text", "lang"))  # one row per key, so at most 2 x per_class
+    rows = short.join(F.broadcast(chosen), key).groupBy(key, "label").agg(first.alias("doc"))
+    rows = sorted(rows.select(key, "doc.text", "label", "doc.lang").collect(), key=lambda r: r[key])
     return [(r["text"], r["label"], r["lang"]) for r in rows]
 
 

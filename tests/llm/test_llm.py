@@ -461,6 +461,17 @@ def test_labels_of_the_held_out_fold_are_not_read(spark):
     assert {r[0] for r in rows} == {f"text {i}" for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2}
 
 
+def test_the_sample_is_full_whatever_labels_lack_documents(spark):
+    docs = [(i, "long " * 100 if i % 2 else f"text {i}", "en") for i in range(40)] + [(4, f"copy {i}", "en") for i in range(50)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i // 2 % 2) for i in range(4000)], "doc_id long, toxic int")  # most have no document
+    rows = learning.training_rows(docs, labels, "toxic", folds=4, held=2, per_class=5, most_bytes=100)
+    assert sorted(r[1] for r in rows) == [0] * 5 + [1] * 5
+    every = learning.training_rows(docs, labels, "toxic", folds=4, held=2, most_bytes=100)
+    keys = [i for i in range(0, 40, 2) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(r[0] for r in every) == sorted("copy 0" if i == 4 else f"text {i}" for i in keys)
+
+
 @pytest.fixture(scope="module")
 def duck():
     import oracle
