@@ -13,6 +13,7 @@ from gridloom.llm import (
     packing,
     quality,
     sharding,
+    token_counts,
     toxicity,
     warc,
 )
@@ -63,9 +64,15 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark, sf_dir):
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_extraction, op2_packing, op3_bpe, op4_toxicity, op5_quality, op6_exact_dedup, op7_embedding_dedup,
-    op8_ngram_join, op9_warc, op10_sharding,
+    op8_ngram_join, op9_warc, op10_sharding, op13_token_counts,
 )}
 
 SQL = {
