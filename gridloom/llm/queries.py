@@ -9,6 +9,7 @@ from gridloom.llm import (
     embedding_dedup,
     exact_dedup,
     extraction,
+    lexical_search,
     ngram_join,
     packing,
     quality,
@@ -64,6 +65,10 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_counts(spark, sf_dir):
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -72,7 +77,8 @@ def op13_token_counts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_extraction, op2_packing, op3_bpe, op4_toxicity, op5_quality, op6_exact_dedup, op7_embedding_dedup,
-    op8_ngram_join, op9_warc, op10_sharding, op13_token_counts,
+    op8_ngram_join, op9_warc, op10_sharding, op12_lexical_search,
+    op13_token_counts,
 )}
 
 SQL = {
@@ -125,4 +131,34 @@ SQL = {
                CAST(grown AS INTEGER) AS grown_shard
         FROM placed
     """,
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), sizes AS (
+            SELECT count(*) AS documents, sum(len(words)) AS length FROM d WHERE len(words) > 0
+        ), postings AS (
+            SELECT r, doc_id, n, term, count(*) AS tf
+            FROM (SELECT r, doc_id, len(words) AS n, unnest(words) AS term FROM d) GROUP BY ALL
+        ), wanted AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, sizes GROUP BY term
+        ), scored AS (
+            SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) //
+                       (1000 * tf + 20 * (50 + (50 * n * documents) // length)))) AS score
+            FROM wanted JOIN weights USING (term) JOIN postings USING (term), sizes
+            GROUP BY item_id, doc_id, r
+        )
+        SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+        FROM scored WHERE score > 0
+        WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+        QUALIFY row_number() OVER w <= 50
+    """,
 }
