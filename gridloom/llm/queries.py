@@ -6,6 +6,7 @@ import public_tokenizers
 
 from gridloom.llm import (
     bpe,
+    conversations,
     embedding_dedup,
     exact_dedup,
     extraction,
@@ -65,6 +66,10 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_lexical_search(spark, sf_dir):
     return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -77,7 +82,7 @@ def op13_token_counts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_extraction, op2_packing, op3_bpe, op4_toxicity, op5_quality, op6_exact_dedup, op7_embedding_dedup,
-    op8_ngram_join, op9_warc, op10_sharding, op12_lexical_search,
+    op8_ngram_join, op9_warc, op10_sharding, op11_conversation_repair, op12_lexical_search,
     op13_token_counts,
 )}
 
