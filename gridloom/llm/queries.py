@@ -166,4 +166,72 @@ SQL = {
         WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
         QUALIFY row_number() OVER w <= 50
     """,
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE polynomial AS (
+            SELECT list(v ORDER BY i) AS crc FROM (
+                SELECT i, list_reduce([i] || range(8), lambda c, k:
+                    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+                FROM range(256) t(i))
+        ), given AS (
+            SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce([4294967295::BIGINT] || list_transform(
+                           regexp_extract_all(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))),
+                                              '..'), lambda x: ('0x' || x)::BIGINT),
+                       lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS harm
+            FROM conversations, polynomial
+        ), damaged AS (
+            SELECT c, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM given WHERE harm <> 0
+        ), ordered AS (
+            SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS k,
+                   right(regexp_replace(text, '[\x20\x09-\x0D]+\z', ''), 1) AS ending
+            FROM damaged
+        ), faulty AS (
+            SELECT *, CASE WHEN ending = '' THEN 'blank'
+                           WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY k) > 1 THEN 'duplicate'
+                           WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                   lag(left(role, 1)) OVER (PARTITION BY c ORDER BY k) || left(role, 1) AS pair
+            FROM ordered
+        ), inserts(s, cost, letters, lines, t) AS (
+            VALUES ('', 0, '', [], ''), ('', 3, 'I', ['user:'], 'u'), ('', 6, 'II', ['user:', 'assistant:'], 'a'),
+                   ('s', 0, '', [], 's'), ('s', 3, 'I', ['user:'], 'u'), ('s', 6, 'II', ['user:', 'assistant:'], 'a'),
+                   ('u', 0, '', [], 'u'), ('u', 3, 'I', ['assistant:'], 'a'),
+                   ('a', 0, '', [], 'a'), ('a', 3, 'I', ['user:'], 'u')
+        ), edits(letter, s, initial, t, cost) AS (
+            SELECT 'D', s, NULL, s, 4 FROM (VALUES (''), ('s'), ('u'), ('a')) v(s)
+            UNION ALL VALUES ('K', '', 's', 's', 0), ('K', '', 'u', 'u', 0), ('K', 's', 'u', 'u', 0), ('K', 'u', 'a', 'a', 0),
+                             ('K', 'a', 'u', 'u', 0)
+            UNION ALL VALUES ('R', '', NULL, 'u', 3), ('R', 's', NULL, 'u', 3), ('R', 'u', NULL, 'a', 3), ('R', 'a', NULL, 'u', 3)
+        ), walk AS (
+            SELECT DISTINCT c, 0::BIGINT AS k, '' AS s, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM given
+            UNION ALL
+            SELECT c, k, s, cost, audit, lines FROM (
+                SELECT w.c, r.k, e.t AS s,
+                       w.cost + i.cost + e.cost + CASE WHEN r.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+                       w.audit || i.letters || e.letter AS audit,
+                       w.lines || i.lines || CASE e.letter WHEN 'D' THEN [] WHEN 'K' THEN [r.role || ':' || r.text]
+                           ELSE [CASE e.t WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text] END AS lines
+                FROM walk w JOIN inserts i ON i.s = w.s JOIN faulty r ON r.c = w.c AND r.k = w.k + 1
+                JOIN edits e ON e.s = i.t AND (e.letter = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+                            AND (e.initial IS NULL OR e.initial = left(r.role, 1)))
+            QUALIFY row_number() OVER (PARTITION BY c, k, s ORDER BY cost, audit) = 1
+        ), facts AS (
+            SELECT c, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY c
+        ), repaired AS (
+            SELECT w.c, w.cost + i.cost AS cost, w.audit || i.letters AS audit, array_to_string(w.lines || i.lines, chr(10)) AS written
+            FROM walk w JOIN inserts i ON i.s = w.s AND i.t IN ('', 'a') LEFT JOIN facts f ON f.c = w.c
+            WHERE w.k = coalesce(f.n, 0)
+            QUALIFY row_number() OVER (PARTITION BY w.c ORDER BY w.cost + i.cost, w.audit || i.letters) = 1
+        )
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+               sha256(coalesce(written, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT c, conv_id FROM given) JOIN repaired USING (c) LEFT JOIN facts USING (c)
+    """,
 }
