@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 
+from gridloom.operators.combine import CHUNK_SCHEMA, chunk_rows, chunks_of, reduce_chunks
+
 Model = dict[str, np.ndarray]
 Batch = dict[str, np.ndarray]
 
@@ -23,7 +25,6 @@ MODEL_BYTES_LIMIT = 512 * 1024 * 1024
 
 # Parameters summed together; one chunk is one reduce key.
 CHUNK = 8192
-CHUNK_SCHEMA = "chunk int, sums array<double>"
 
 
 def row_gradient(grad: Callable[[dict, Model], tuple[float, Model]]) -> BatchGradient:
@@ -84,32 +85,6 @@ def with_arrays(df: DataFrame) -> DataFrame:
     )
 
 
-def _chunk(number: int, sums: np.ndarray) -> pa.RecordBatch:
-    offsets = pa.array([0, len(sums)], pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(sums))],
-        names=["chunk", "sums"],
-    )
-
-
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    for batch in batches:
-        for number, sums in zip(batch.column("chunk").to_pylist(), batch.column("sums")):
-            yield number, sums.values.to_numpy(zero_copy_only=False)
-
-
-def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the rows of each chunk that hashed to this partition."""
-    totals: dict[int, np.ndarray] = {}
-    for number, sums in _chunks(batches):
-        if number in totals:
-            totals[number] += sums
-        else:
-            totals[number] = sums.copy()
-    for number, sums in totals.items():
-        yield _chunk(number, sums)
-
-
 def loss_and_gradient(
     dataset: DataFrame,
     model: Model,
@@ -121,18 +96,23 @@ def loss_and_gradient(
     """Mean loss, mean gradients, and the number of rows.
 
     Each task sums the gradient over its rows and sends it out in chunks of
-    parameters. A chunk is a reduce key, so the sums over tasks are taken in
-    parallel and no task holds more than its chunks; the driver receives one
-    model-sized result. Partitions are merged to at most ``tasks`` tasks, by
-    default twice the number of cores or ``spark.sql.shuffle.partitions``,
-    whichever is more: the traffic is tasks times model size however many
-    partitions the data has. Rows are counted in the same pass.
+    parameters. A chunk and a salt are a reduce key, then the chunk alone, so
+    the sums over tasks are taken in parallel and no task holds more than its
+    chunks; the driver receives one model-sized result. The data keeps its
+    partitions, whose number grows with it; ``tasks`` merges them to at most
+    so many, which saves traffic (tasks times model size) where a model is
+    large and partitions are small. Rows are counted in the same pass.
     """
+    totals = partial_sums(dataset, model, grad, tasks=tasks)
+    return _divided(totals, model, count)
+
+
+def partial_sums(
+    dataset: DataFrame, model: Model, grad: BatchGradient, *, tasks: int | None = None
+) -> pa.Table:
+    """Loss, rows and gradient summed over all rows, as chunks."""
     dataset = with_arrays(dataset)
-    spark = dataset.sparkSession
-    sc = spark.sparkContext
-    if tasks is None:
-        tasks = max(2 * sc.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sc = dataset.sparkSession.sparkContext
     shapes = {name: np.shape(value) for name, value in model.items()}
     size = int(sum(np.prod(s, dtype=np.int64) for s in shapes.values()))
     if size * 8 > MODEL_BYTES_LIMIT:
@@ -156,17 +136,21 @@ def loss_and_gradient(
             pieces = [np.array([loss, rows])]
             pieces += [total[i : i + CHUNK] for i in range(0, size, CHUNK)]
             for i, piece in enumerate(pieces):
-                yield _chunk(i, piece)
+                yield chunk_rows(i, piece)
 
     try:
-        partials = dataset.coalesce(tasks).mapInArrow(partial, CHUNK_SCHEMA)
-        totals = partials.repartition("chunk").mapInArrow(_sum_chunks, CHUNK_SCHEMA).toArrow()
+        rows = dataset if tasks is None else dataset.coalesce(tasks)
+        return reduce_chunks(rows.mapInArrow(partial, CHUNK_SCHEMA)).toArrow()
     finally:
         shared.unpersist(blocking=True)
 
+
+def _divided(totals: pa.Table, model: Model, count: int | None) -> tuple[float, Model, int]:
+    """Means from sums; ``count`` stands in for the number of rows."""
     if not totals.num_rows:
         raise ValueError("the dataset has no rows")
-    by_chunk = dict(_chunks(totals.combine_chunks().to_batches()))
+    shapes = {name: np.shape(value) for name, value in model.items()}
+    by_chunk = dict(chunks_of(totals.combine_chunks().to_batches()))
     loss, rows = by_chunk[0]
     divisor = float(count) if count is not None else float(rows)
     flat = np.concatenate([by_chunk[i] for i in sorted(by_chunk) if i > 0]) / divisor

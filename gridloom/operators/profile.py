@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.labels import CLASS_NAMES, UNKNOWN_CLASS, class_name
 from gridloom.functions.texts import column_name, tokens
+from gridloom.operators.combine import CHUNK_SCHEMA, chunk_rows, reduce_chunks
+from gridloom.operators.extrema import extremum_moves
 from gridloom.operators.index import ordinals
 from gridloom.session import materialise
 from gridloom.sources.binary import RECORD_LENGTH, _bytes_block, _decode, whole_records
@@ -100,20 +102,158 @@ def bottom_tokens(counts: DataFrame, k: int) -> DataFrame:
 # --- per-column range -----------------------------------------------------
 
 
+# Columns whose statistics travel together.
+STATISTICS_CHUNK = 1024
+
+# Element types whose values a double holds exactly; others are counted by expressions.
+_EXACT_IN_DOUBLES = ("tinyint", "smallint", "int", "float", "double")
+
+
+def column_statistics(df: DataFrame, values: str = "pixels", *, moments: bool = True) -> DataFrame:
+    """``(col, n, mean, m2, min, max)`` per position of rows of numbers or bytes.
+
+    Every task reduces its batches to a count, mean, sum of squared deviations,
+    minimum and maximum per position; two such sets are merged pairwise, which
+    is as exact as going through all rows. A task sends five numbers per
+    position. Nulls are left out; where a position has no value, all but ``n``
+    are null. NaN is a value, larger than any other. Without ``moments`` mean
+    and ``m2`` are 0.
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _empty_statistics(0)
+        for batch in batches:
+            if batch.num_rows:
+                held = _merged_statistics(held, _batch_statistics(batch.column(0), moments))
+        for i, start in enumerate(range(0, held.shape[1], STATISTICS_CHUNK)):
+            yield chunk_rows(i, np.ascontiguousarray(held[:, start : start + STATISTICS_CHUNK]).reshape(-1))
+
+    def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return _merged_statistics(a.reshape(5, -1), b.reshape(5, -1)).reshape(-1)
+
+    chunks = reduce_chunks(df.select(values).mapInArrow(partial, CHUNK_SCHEMA), merge)
+    width = F.expr("size(sums) div 5")
+    rows = chunks.select(
+        "chunk", F.posexplode(F.slice("sums", F.lit(1), width)).alias("at", "n"), "sums", width.alias("width")
+    )
+
+    def number(k: int) -> Column:
+        value = F.get("sums", F.col("at") + k * F.col("width"))
+        return F.when(F.col("n") > 0, value)
+
+    return rows.select(
+        (F.col("chunk") * STATISTICS_CHUNK + F.col("at")).alias("col"), F.col("n").cast("long").alias("n"),
+        *(number(k).alias(name) for k, name in enumerate(("mean", "m2", "min", "max"), 1)),
+    )
+
+
+def _empty_statistics(width: int) -> np.ndarray:
+    """Rows n, mean, m2, min, max."""
+    held = np.zeros((5, width))
+    held[3], held[4] = np.inf, -np.inf
+    return held
+
+
+def _merged_statistics(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Statistics of both parts; the narrower lacks the last positions."""
+    width = max(a.shape[1], b.shape[1])
+    a, b = (np.hstack([x, _empty_statistics(width - x.shape[1])]) if x.shape[1] < width else x for x in (a, b))
+    n = a[0] + b[0]
+    share = b[0] / np.maximum(n, 1)
+    apart = b[1] - a[1]
+    both = (a[0] > 0) & (b[0] > 0)
+    mean = np.where(both, a[1] + apart * share, np.where(a[0] > 0, a[1], b[1]))
+    m2 = a[2] + b[2] + np.where(both, apart * apart * a[0] * share, 0.0)
+    low = np.where(both, np.fmin(a[3], b[3]), np.where(a[0] > 0, a[3], b[3]))
+    return np.stack([n, mean, m2, low, np.maximum(a[4], b[4])])
+
+
+def _batch_statistics(column: pa.Array, moments: bool, rows: int = 256) -> np.ndarray:
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        column = column.drop_null()
+        flat, offsets = _bytes_block(column)
+        lengths, flat, valid = np.diff(offsets), flat[offsets[0] : offsets[-1]], None
+    else:
+        lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        values = column.flatten()
+        valid = values.is_valid().to_numpy(zero_copy_only=False) if values.null_count else None
+        flat = values.fill_null(0).to_numpy(zero_copy_only=False)
+    if not len(lengths):
+        return _empty_statistics(0)
+    width = int(lengths.max())
+    if valid is None and (lengths == width).all():
+        if not width:
+            return _empty_statistics(0)
+        return _block_statistics(flat.reshape(-1, width), moments, rows)
+    held, starts = _empty_statistics(width), np.concatenate([[0], np.cumsum(lengths)])
+    for at in range(0, len(lengths), rows):  # ragged rows or nulls: rows filled up, with a mask
+        some = lengths[at : at + rows]
+        present = np.arange(width) < some[:, None]
+        block = np.zeros(present.shape)
+        block[present] = flat[starts[at] : starts[at + len(some)]]
+        if valid is not None:
+            present[present] = valid[starts[at] : starts[at + len(some)]]
+        held = _merged_statistics(held, _masked_statistics(block, present, moments))
+    return held
+
+
+def _masked_statistics(block: np.ndarray, present: np.ndarray, moments: bool) -> np.ndarray:
+    n = present.sum(axis=0).astype(np.float64)
+    mean = m2 = np.zeros(len(n))
+    if moments:
+        mean = np.where(present, block, 0.0).sum(axis=0) / np.maximum(n, 1)
+        m2 = np.where(present, (block - mean) ** 2, 0.0).sum(axis=0)
+    low = np.fmin.reduce(np.where(present, block, np.nan), axis=0)  # NaN only where nothing else is
+    return np.stack([n, mean, m2, low, np.where(present, block, -np.inf).max(axis=0)])
+
+
+def _block_statistics(block: np.ndarray, moments: bool, rows: int) -> np.ndarray:
+    """Of a block without gaps, a stretch of rows at a time that stays in cache."""
+    held = _empty_statistics(block.shape[1])
+    for at in range(0, len(block), rows):
+        some = block[at : at + rows]
+        n = np.full(block.shape[1], float(len(some)))
+        mean = m2 = np.zeros(block.shape[1])
+        if moments and some.dtype == np.uint8:  # sums of bytes and their squares are exact
+            total = np.add.reduce(some, axis=0, dtype=np.uint32).astype(np.float64)
+            wide = some.astype(np.uint16)
+            squares = np.add.reduce(wide * wide, axis=0, dtype=np.uint32).astype(np.float64)
+            mean, m2 = total / n, squares - total * total / n
+        elif moments:
+            mean = some.mean(axis=0, dtype=np.float64)
+            m2 = ((some - mean) ** 2).sum(axis=0)
+        low = np.fmin.reduce(some, axis=0) if some.dtype.kind == "f" else some.min(axis=0)
+        held = _merged_statistics(held, np.stack([n, mean, m2, low, some.max(axis=0)]))
+    return held
+
+
+def _element_type(df: DataFrame, values: str) -> str | None:
+    """Of the values if a double holds them, ``int`` for bytes, else None."""
+    kind = df.schema[values].dataType.simpleString()
+    element = "int" if kind == "binary" else kind.removeprefix("array<").removesuffix(">")
+    return element if element in _EXACT_IN_DOUBLES else None
+
+
 def column_range(
     df: DataFrame, values: str = "pixels", *, initial: float | None = None
 ) -> DataFrame:
-    """``(col, name, max, min, n)`` per array position.
+    """``(col, name, max, min, n)`` per position of rows of numbers or bytes.
 
     ``initial`` starts both extrema at a number instead of at the data: with
     0.0 a minimum can never exceed 0. Every task reduces its rows to one row
     per position before the shuffle.
     """
-    ranges = (
-        df.select(F.posexplode(values).alias("col", "v"))
-        .groupBy("col")
-        .agg(F.max("v").alias("max"), F.min("v").alias("min"), F.count("v").alias("n"))
-    )
+    element = _element_type(df, values)
+    if element:
+        ranges = column_statistics(df, values, moments=False).select(
+            "col", F.col("max").cast(element).alias("max"), F.col("min").cast(element).alias("min"), "n"
+        )
+    else:
+        ranges = (
+            df.select(F.posexplode(values).alias("col", "v"))
+            .groupBy("col")
+            .agg(F.max("v").alias("max"), F.min("v").alias("min"), F.count("v").alias("n"))
+        )
     if initial is not None:
         start = F.lit(float(initial))
         ranges = ranges.withColumn("max", F.greatest("max", start)).withColumn(
@@ -123,7 +263,10 @@ def column_range(
 
 
 def column_moments(df: DataFrame, values: str = "pixels") -> DataFrame:
-    """``(col, mean, std)`` per array position, population deviation."""
+    """``(col, mean, std)`` per position, population deviation."""
+    if _element_type(df, values):
+        spread = F.sqrt(F.greatest("m2", F.lit(0.0)) / F.nullif("n", F.lit(0).cast("long")))
+        return column_statistics(df, values).select("col", "mean", spread.alias("std"))
     return (
         df.select(F.posexplode(values).alias("col", "v"))
         .groupBy("col")
@@ -217,7 +360,7 @@ def _thin_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         edge[np.isnan(edge)] = -np.inf if rising else np.inf
                     first = own[:1].repeat(len(edge))
                     yield _candidates(batch, first, np.arange(len(edge)), edge, rising)
-                    for row, col, values in _extremum_moves(block, own[1:], edge, rising):
+                    for row, col, values in extremum_moves(block, own[1:], edge, rising):
                         yield _candidates(batch, row, col, values, rising)
         else:
             row = np.repeat(np.arange(len(lengths)), lengths)
@@ -231,34 +374,6 @@ def _thin_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield _candidates(batch, row[kept], col[kept], values, rising)
 
 
-def _extremum_moves(
-    block: np.ndarray, order: np.ndarray, edge: np.ndarray, rising: bool, step: int = 256
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows, columns and values that move the running extremum ``edge``, taking
-    the rows of ``block`` in ``order``; ``edge`` is kept up to date.
-
-    Few values do: a stretch of rows is looked into only for the columns whose
-    extremum in it lies beyond the edge.
-    """
-    numbers = block.dtype.kind == "f"
-    if rising:
-        running, beyond = np.fmax if numbers else np.maximum, np.greater
-    else:
-        running, beyond = np.fmin if numbers else np.minimum, np.less
-    for start in range(0, len(order), step):
-        rows = order[start : start + step]
-        stretch = block[rows[0] : rows[-1] + 1]
-        if len(stretch) != len(rows) or (np.diff(rows) != 1).any():
-            stretch = block[rows]
-        moving = np.flatnonzero(beyond(running.reduce(stretch, axis=0), edge))
-        if len(moving):
-            values = stretch[:, moving]
-            edges = running.accumulate(np.vstack([edge[moving], values]), axis=0)
-            row, col = np.nonzero(beyond(edges[1:], edges[:-1]))
-            edge[moving] = edges[-1]
-            yield rows[row], moving[col], values[row, col]
-
-
 def _candidates(
     batch: pa.RecordBatch, row: np.ndarray, col: np.ndarray, values: np.ndarray, rising: bool
 ) -> pa.RecordBatch:
@@ -288,8 +403,8 @@ def file_column_profile(
     A file is one row here, so each task follows the running extrema of its
     files while decoding and sends one row per column to the shuffle; no pixel
     leaves the task. Bytes cannot fall below the starting minimum, so ``min``
-    and ``min_changed`` are 0. For files read in ranges use
-    :func:`column_range` and :func:`change_counts`.
+    and ``min_changed`` are 0. For files of any size, and for the true minimum,
+    see :func:`gridloom.operators.extrema.column_extrema`.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +422,7 @@ def file_column_profile(
                 seen = True
                 _, pixels = _decode(block, signed_shift)
                 edge = np.zeros(width, np.uint8)
-                for _, col, _ in _extremum_moves(pixels, np.arange(len(pixels)), edge, True):
+                for _, col, _ in extremum_moves(pixels, np.arange(len(pixels)), edge, True):
                     rises += np.bincount(col, minlength=width)
                 top = np.maximum(top, edge)
         if seen:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gridloom.plans import array_queries, keyed_queries, learning_queries, profiling_queries
+from gridloom.plans import array_queries, file_queries, keyed_queries, learning_queries, profiling_queries
 
-_MODULES = (profiling_queries, array_queries, keyed_queries, learning_queries)
+_MODULES = (profiling_queries, array_queries, file_queries, keyed_queries, learning_queries)
 
 
 def all_queries() -> dict:

@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.functions.scaling import min_max
+from gridloom.functions.scaling import unit_bytes
 from gridloom.operators.evaluate import precision
+from gridloom.operators.extrema import column_extrema
 from gridloom.operators.profile import (
     class_counts,
-    file_column_profile,
     least_frequent,
     most_frequent,
     row_count,
@@ -31,6 +31,9 @@ ITERATIONS_28X28 = 1000
 LAYERS_32X32X3 = [32 * 32 * 3, 1024, 10]
 ITERATIONS_32X32X3 = 10
 
+# Normalised records per file of a class folder: some 600 MB of 3,072 floats.
+ROWS_PER_FILE = 50_000
+
 
 def profile_file_sizes(spark: SparkSession, paths: Paths) -> DataFrame:
     """Numbered ``ok`` / ``not ok`` size report of binary image files."""
@@ -47,11 +50,15 @@ def profile_classes(
 
 def profile_columns(
     spark: SparkSession, paths: Paths, record_length: int = RECORD_LENGTH,
-    *, signed_shift: bool = False,
+    *, signed_shift: bool = False, initial: float | None = 0.0,
 ) -> DataFrame:
-    """Extrema and change counters per pixel column, in column order."""
-    files = scan_files(spark, paths)
-    return file_column_profile(files, record_length, signed_shift=signed_shift).orderBy("col")
+    """Extrema and change counters per pixel column, in column order.
+
+    Files of any size are read by several tasks. Extrema start at ``initial``,
+    or at the first record of a file if it is None, which gives the true minimum.
+    """
+    records = read_records(spark, paths, record_length, signed_shift=signed_shift)
+    return column_extrema(records, initial=initial).orderBy("col")
 
 
 def most_frequent_value(spark: SparkSession, paths: Paths, **options) -> DataFrame:
@@ -66,18 +73,15 @@ def least_frequent_value(spark: SparkSession, paths: Paths, **options) -> DataFr
 
 def normalise_files(
     spark: SparkSession, paths: Paths, out: str, record_length: int = RECORD_LENGTH,
-    *, signed_shift: bool = False,
+    *, signed_shift: bool = False, rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Binary image files to Parquet of 0-1 floats, one folder per class.
 
-    Rows move to their class as small integers and are normalised after.
+    Rows move to their class as bytes, one per pixel, and are normalised after.
     """
-    records = read_records(
-        spark, paths, record_length, signed_shift=signed_shift, pixels="array"
-    )
-    pixels = min_max("pixels").cast("array<float>").alias("pixels")
-    placed = place_by_class(records).select("path", "rec", "label", pixels)
-    write_by_class(placed, out, placed=True)
+    records = read_records(spark, paths, record_length, signed_shift=signed_shift)
+    placed = place_by_class(records).select("path", "rec", "label", unit_bytes("pixels").alias("pixels"))
+    write_by_class(placed, out, placed=True, rows_per_file=rows_per_file)
 
 
 def convert_to_csv(

@@ -106,12 +106,11 @@ def vector_rows(spark, sf_dir):
 
 
 def vector_texts(spark, sf_dir):
-    """Texts of vectors that keep entries above 0.4 only, most of them empty."""
+    """Texts of vectors that keep entries above 0.4 only, some of them empty."""
     sparse = vectors.from_arrays(
         table(spark, sf_dir, "embeddings"), "vec_id", "embedding", above=0.4, headers=True
     )
-    ones = sparse.withColumn("value", F.when(F.col("idx").isNotNull(), 1.0))
-    return vectors.vector_text(vectors.to_rows(ones))
+    return vectors.vector_text(vectors.to_rows(sparse))
 
 
 def empty_vector_texts(spark, sf_dir):
@@ -174,8 +173,9 @@ def row_dense_values(spark, sf_dir):
 def operand_mismatches(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     a = vectors.from_arrays(rows, "vec_id", "embedding")
-    cut = rows.withColumn("embedding", F.slice("embedding", F.lit(1), 60 + F.col("label")))
-    return validate.operand_mismatches(a, vectors.from_arrays(cut, "vec_id", "embedding"))
+    more = F.array_repeat(F.lit(1).cast("float"), F.col("label").cast("int"))
+    longer = rows.withColumn("embedding", F.concat("embedding", more))
+    return validate.operand_mismatches(a, vectors.from_arrays(longer, "vec_id", "embedding"))
 
 
 QUERIES = {
@@ -280,11 +280,12 @@ FROM summed GROUP BY id""",
     "vector_texts": f"""WITH {CELLS_SQL}
 SELECT vec_id AS id, '(64,['
   || coalesce(string_agg(CAST(col AS VARCHAR), ',' ORDER BY col) FILTER (WHERE abs(x) > 0.4), '') || '],['
-  || coalesce(string_agg('1.0', ',') FILTER (WHERE abs(x) > 0.4), '') || '])' AS text
+  || coalesce(string_agg(CAST(x AS VARCHAR), ',' ORDER BY col) FILTER (WHERE abs(x) > 0.4), '') || '])' AS text
 FROM cells GROUP BY vec_id""",
     "empty_vector_texts": "SELECT p_partkey, '(' || CAST(p_size AS VARCHAR) || ',[],[])' AS text FROM part",
     "index_union": f"WITH {_PAIRS} SELECT id, idx FROM a UNION SELECT id, idx FROM b",
     "index_intersection": f"WITH {_PAIRS} SELECT id, idx FROM a INTERSECT SELECT id, idx FROM b",
-    "operand_mismatches": """SELECT vec_id AS id, 64 AS size_a, CAST(60 + label AS INTEGER) AS size_b
-FROM embeddings WHERE 60 + label < 64""",
+    "operand_mismatches": """SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS size_a,
+  CAST(len(embedding) + label AS INTEGER) AS size_b
+FROM embeddings WHERE label > 0""",
 }

@@ -27,7 +27,17 @@ def _examples(spark, sf_dir):
 
 
 def _width(examples):
-    return examples.select(F.size("features").alias("w")).first()["w"]
+    """The width that all rows have."""
+    least, most = examples.agg(F.min(F.size("features")), F.max(F.size("features"))).first()
+    if least != most:
+        raise ValueError(f"features of {least} to {most} values")
+    return most
+
+
+def _rule(rows, columns):
+    """Weights set by a rule, which the SQL twins follow."""
+    i, j = np.indices((rows, columns))
+    return ((i * 7 + j * 5) % 13 - 6) / 12.0
 
 
 def softmax_gradient(spark, sf_dir):
@@ -49,18 +59,18 @@ def _gradient_frame(spark, grads):
     return frame.select("param", "row", "class", rounded("value"))
 
 
+def _rule_network(width):
+    return {
+        "w1": _rule(width, HIDDEN), "b1": _rule(HIDDEN, 2)[:, 1],
+        "w2": _rule(HIDDEN, CLASSES), "b2": _rule(CLASSES, 3)[:, 2],
+    }
+
+
 def hidden_layer_gradient(spark, sf_dir):
     """Mean gradient of the one-hidden-layer network at weights set by a rule."""
     examples = _examples(spark, sf_dir).select("features", "label")
 
-    def weights(rows, columns):
-        i, j = np.indices((rows, columns))
-        return ((i * 7 + j * 5) % 13 - 6) / 12.0
-
-    model = {
-        "w1": weights(_width(examples), HIDDEN), "b1": weights(HIDDEN, 2)[:, 1],
-        "w2": weights(HIDDEN, CLASSES), "b2": weights(CLASSES, 3)[:, 2],
-    }
+    model = _rule_network(_width(examples))
     _, grads, _ = gradient.loss_and_gradient(examples, model, networks.hidden_layer_gradient())
     rows = [
         (name, int(at[0]), int(at[1]), float(v))
@@ -123,37 +133,29 @@ def softmax_predictions(spark, sf_dir):
     )
 
 
-def _scored_by_first_values(spark, sf_dir):
-    """The first ten vector values taken as class scores."""
-    scores = F.slice("features", 1, CLASSES).cast("array<double>")
-    total = F.aggregate("scores", F.lit(0.0), lambda acc, x: acc + F.exp(x))
-    return _examples(spark, sf_dir).withColumn("scores", scores).withColumn(
-        "logp", F.transform("scores", lambda x: x - F.log(total))
-    )
+def _scored_by_rule(spark, sf_dir):
+    """Class scores of all values of a vector, by weights set by a rule."""
+    examples = _examples(spark, sf_dir)
+    model = {"w": _rule(_width(examples), CLASSES)}
+    return evaluate.predict(examples, model, lambda x, p: networks.log_softmax(x @ p["w"]))
 
 
 def evaluation_report(spark, sf_dir):
-    report = evaluate.score_report(_scored_by_first_values(spark, sf_dir))
+    report = evaluate.score_report(_scored_by_rule(spark, sf_dir))
     return report.select(rounded("loss"), "correct", "total", rounded("accuracy"))
 
 
 def evaluation_text(spark, sf_dir):
-    report = evaluate.score_report(_scored_by_first_values(spark, sf_dir))
+    report = evaluate.score_report(_scored_by_rule(spark, sf_dir))
     return report.select(score_text("loss", "correct", "total", "accuracy").alias("line"))
 
 
 def prediction_accuracy(spark, sf_dir):
-    scored = _scored_by_first_values(spark, sf_dir).withColumn(
-        "prediction", evaluate.row_argmax("logp")
-    )
-    return evaluate.accuracy(scored).select(rounded("accuracy"))
+    return evaluate.accuracy(_scored_by_rule(spark, sf_dir)).select(rounded("accuracy"))
 
 
 def evaluator_precision(spark, sf_dir):
-    scored = _scored_by_first_values(spark, sf_dir).withColumn(
-        "prediction", evaluate.row_argmax("logp")
-    )
-    value = evaluate.precision(scored)
+    value = evaluate.precision(_scored_by_rule(spark, sf_dir))
     return spark.createDataFrame([(float(value),)], "precision double").select(rounded("precision"))
 
 
@@ -305,14 +307,16 @@ SELECT param, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col,
 FROM grads, n"""
 
 
-_FIRST_VALUES = f"""WITH {CELLS_SQL},
-logp AS (
-  SELECT vec_id, label, col, x, x - ln(sum(exp(x)) OVER (PARTITION BY vec_id)) AS logp
-  FROM cells WHERE col < {CLASSES}
+_RULE_SCORES = f"""WITH {CELLS_SQL},
+classes AS (SELECT CAST(unnest(range({CLASSES})) AS INTEGER) AS k),
+scores AS (
+  SELECT vec_id, label, k, sum(x * {_WEIGHT.format(i="col", j="k")}) AS s
+  FROM cells, classes GROUP BY vec_id, label, k
 ),
+logp AS (SELECT vec_id, label, k, s - ln(sum(exp(s)) OVER (PARTITION BY vec_id)) AS logp FROM scores),
 scored AS (
-  SELECT vec_id, label, max(CASE WHEN col = label THEN logp END) AS own,
-         list_position(list(x ORDER BY col), max(x)) - 1 AS prediction
+  SELECT vec_id, label, max(CASE WHEN k = label THEN logp END) AS own,
+         arg_max(k, logp) AS prediction
   FROM logp GROUP BY vec_id, label
 )"""
 
@@ -330,14 +334,14 @@ SELECT vec_id, CAST(arg_max(k, logp) AS INTEGER) AS prediction,
        arg_max(k, logp) = any_value(label) AS correct,
        round(max(CASE WHEN k = label THEN logp END), 6) + 0.0 AS logp
 FROM logp1 GROUP BY vec_id""",
-    "evaluation_report": f"""{_FIRST_VALUES}
+    "evaluation_report": f"""{_RULE_SCORES}
 SELECT round(avg(-own), 6) + 0.0 AS loss,
        CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
        count(*) AS total,
        round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 6)
        + 0.0 AS accuracy
 FROM scored""",
-    "evaluation_text": f"""{_FIRST_VALUES},
+    "evaluation_text": f"""{_RULE_SCORES},
 report AS (
   SELECT avg(-own) AS loss, count(*) AS total,
          CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct
@@ -345,10 +349,10 @@ report AS (
 )
 SELECT printf('Test set: Average loss: %.4f, Accuracy: %d/%d (%.0f%%)', loss, correct, total,
               correct * 100.0::DOUBLE / total) AS line FROM report""",
-    "prediction_accuracy": f"""{_FIRST_VALUES}
+    "prediction_accuracy": f"""{_RULE_SCORES}
 SELECT round(avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS accuracy
 FROM scored""",
-    "evaluator_precision": f"""{_FIRST_VALUES}
+    "evaluator_precision": f"""{_RULE_SCORES}
 SELECT round(avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS precision
 FROM scored""",
 }

@@ -355,7 +355,7 @@ FROM (SELECT event_id, value * 10 AS s FROM events)""",
     "row_shape_violations": """SELECT vec_id, label, CASE WHEN w AND b THEN 'width,label'
   WHEN w THEN 'width' ELSE 'label' END AS faults
 FROM (SELECT vec_id, label * 2 - 1 AS label,
-        len(embedding[1:60 + label]) <> 64 AS w,
+        len(embedding) + greatest(0, 4 - label) <> 64 AS w,
         label * 2 - 1 NOT BETWEEN 0 AND 9 AS b FROM embeddings)
 WHERE w OR b""",
 }

@@ -47,12 +47,17 @@ def write_by_class(
     *,
     one_file_per_class: bool = False,
     placed: bool = False,
+    rows_per_file: int | None = None,
     mode: str = "error",
 ) -> None:
     """Parquet with one folder per class, placed by :func:`place_by_class`
-    unless the rows are ``placed`` already."""
+    unless the rows are ``placed`` already; files of ``rows_per_file`` rows at
+    most."""
     rows = df if placed else place_by_class(df, label, one_file_per_class=one_file_per_class)
-    rows.write.mode(mode).partitionBy(label).parquet(path)
+    writer = rows.write.mode(mode).partitionBy(label)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
 
 
 def labelled_line(label: Column | str, values: Column | str) -> Column:

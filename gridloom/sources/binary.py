@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 RECORD_LENGTH = 3073
 RECORDS_PER_FILE = 10000
 
-# Above this, a file is read in record ranges by several tasks.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+# File sets without a larger file are read whole files at a time, several per
+# task; others in record ranges, several tasks per file. The rows are the same.
+SMALL_FILE = 8 * 1024 * 1024
+
+# A column value holds no more bytes, so neither does a file read as one row.
+LARGEST_ROW = 2**31 - 1
+
+# Within a partition, rows are numbered in these bits.
+_ROW_MASK = (1 << 33) - 1
 
 # Bytes of decoded pixels handed to Spark per Arrow batch.
 _BATCH_BYTES = 4 * 1024 * 1024
@@ -161,33 +168,103 @@ def read_record_ranges(
     record_length: int = RECORD_LENGTH,
     *,
     signed_shift: bool = False,
+    on_partial: str = "error",
     pixels: str = "binary",
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """The same rows as :func:`split_records`, with files split between tasks.
 
-    Spark's fixed-length input format cuts files on record edges and numbers
-    the records from the start of their file, so size is no limit. A trailing
-    partial record fails the read.
+    Spark's fixed-length input cuts files on record edges into blocks of about
+    ``split_bytes``, by default as the file system does, so size is no limit.
+    A record's number follows from its block's start and its place in it.
+    Unless pixels are wanted as arrays or shifted, no row leaves the JVM.
+
+    Trailing bytes are found from the file lengths when the plan is built:
+    they raise, or with ``on_partial="drop"`` the files that have some are read
+    whole, without them.
     """
-    schema = _record_schema(pixels)
-    joined = paths if isinstance(paths, str) else ",".join(paths)
-    pairs = spark.sparkContext.newAPIHadoopFile(
-        joined,
-        "org.apache.spark.input.FixedLengthBinaryInputFormat",
-        "org.apache.hadoop.io.LongWritable",
-        "org.apache.hadoop.io.BytesWritable",
-        conf={
-            "org.apache.spark.input.FixedLengthBinaryInputFormat.recordLength": str(
-                record_length
-            ),
-        },
+    _record_schema(pixels)
+    whole, partial = _by_trailing_bytes(scan_files(spark, paths), paths, record_length, on_partial)
+    options = {"signed_shift": signed_shift, "pixels": pixels}
+    parts = []
+    if whole:
+        parts.append(_ranges(spark, whole, record_length, split_bytes=split_bytes, **options))
+    if partial:
+        parts.append(split_records(scan_files(spark, partial), record_length, on_partial="drop", **options))
+    if not parts:
+        return spark.createDataFrame([], _record_schema(pixels))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _by_trailing_bytes(
+    files: DataFrame, paths: Paths, record_length: int, on_partial: str
+) -> tuple[Paths, list[str]]:
+    """What to read in ranges, and the files to read whole for their trailing bytes.
+
+    Reads lengths only. File names come to the driver where some file has
+    trailing bytes and they are to be dropped; otherwise ``paths`` stand.
+    """
+    if on_partial not in ("error", "drop"):
+        raise ValueError("on_partial is 'error' or 'drop'")
+    trailing = files.where(F.col("length") % record_length != 0).select("path", "length")
+    first = trailing.first()
+    if first is None:
+        return paths, []
+    if on_partial == "error":
+        records, extra = divmod(first["length"], record_length)
+        raise ValueError(f"{first['path']}: {extra} bytes after {records} records of {record_length}")
+    partial = trailing.collect()
+    too_long = [r["path"] for r in partial if r["length"] > LARGEST_ROW]
+    if too_long:
+        raise ValueError(f"{too_long[0]}: trailing bytes of a file above {LARGEST_ROW} bytes cannot be dropped")
+    whole = files.where(F.col("length") % record_length == 0).select("path").collect()
+    return [r["path"] for r in whole], [r["path"] for r in partial]
+
+
+def _ranges(
+    spark: SparkSession,
+    paths: Paths,
+    record_length: int,
+    *,
+    signed_shift: bool,
+    pixels: str,
+    split_bytes: int | None,
+) -> DataFrame:
+    rows = _fixed_length_rows(spark, paths, record_length, split_bytes).select(
+        F.input_file_name().alias("path"),
+        (
+            F.expr(f"input_file_block_start() div {record_length}")
+            + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
+        ).alias("rec"),
+        F.col("value").alias("record"),
     )
-    rows = spark.createDataFrame(
-        pairs.map(lambda pair: (pair[0], bytes(pair[1]))),
-        "rec long, record binary",
-        verifySchema=False,
-    ).select(F.input_file_name().alias("path"), "rec", "record")
+    if pixels == "array" or (signed_shift and pixels == "binary"):
+        return _decoded(rows, record_length, signed_shift, pixels)
+    label = F.conv(F.hex(F.substring("record", 1, 1)), 16, 10).cast("int").alias("label")
+    own = [F.substring("record", 2, record_length - 1).alias("pixels")] if pixels == "binary" else []
+    return rows.select("path", "rec", label, *own)
+
 
+def _fixed_length_rows(
+    spark: SparkSession, paths: Paths, record_length: int, split_bytes: int | None
+) -> DataFrame:
+    """``value``: the records as bytes, one partition per block of a file."""
+    sc = spark.sparkContext
+    joined = paths if isinstance(paths, str) else ",".join(paths)
+    conf, name = sc._jsc.hadoopConfiguration(), "mapreduce.input.fileinputformat.split.maxsize"
+    before = conf.get(name)
+    if split_bytes:
+        conf.set(name, str(split_bytes))
+    try:  # the settings are copied when the input is named
+        records = sc._jsc.binaryRecords(joined, record_length).rdd()
+    finally:
+        if split_bytes:
+            conf.set(name, before) if before is not None else conf.unset(name)
+    as_bytes = sc._jvm.org.apache.spark.sql.Encoders.BINARY()
+    return DataFrame(spark._jsparkSession.createDataset(records, as_bytes).toDF(), spark)
+
+
+def _decoded(rows: DataFrame, record_length: int, signed_shift: bool, pixels: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -198,7 +275,7 @@ def read_record_ranges(
                 batch.column("path"), batch.column("rec"), block, pixels, signed_shift
             )
 
-    return rows.mapInArrow(decode, schema)
+    return rows.mapInArrow(decode, _record_schema(pixels))
 
 
 def read_records(
@@ -210,21 +287,14 @@ def read_records(
     on_partial: str = "error",
     pixels: str = "binary",
 ) -> DataFrame:
-    """Labelled records of binary files.
+    """Labelled records of binary files of any size.
 
-    Looks at the file lengths first (no content is read): ordinary files are
-    decoded whole, one row each; if any file exceeds ``WHOLE_FILE_LIMIT`` the
-    set is read in record ranges.
+    Looks at the file lengths first (no content is read). Sets of small files
+    are read several files per task, sets with a larger one in record ranges,
+    see :func:`read_record_ranges`; both treat trailing bytes alike.
     """
     files = scan_files(spark, paths)
-    oversized = files.where(F.col("length") > WHOLE_FILE_LIMIT).select("path")
-    if oversized.isEmpty():
-        return split_records(
-            files, record_length, signed_shift=signed_shift,
-            on_partial=on_partial, pixels=pixels,
-        )
-    if on_partial == "drop":
-        raise ValueError("record ranges need files of whole records")
-    return read_record_ranges(
-        spark, paths, record_length, signed_shift=signed_shift, pixels=pixels
-    )
+    options = {"signed_shift": signed_shift, "on_partial": on_partial, "pixels": pixels}
+    if files.where(F.col("length") > SMALL_FILE).select("path").isEmpty():
+        return split_records(files, record_length, **options)
+    return read_record_ranges(spark, paths, record_length, **options)

@@ -63,24 +63,6 @@ def test_empty_file(spark, tmp_path):
     assert binary.read_records(spark, str(tmp_path), 5).count() == 1
 
 
-def test_record_ranges_give_the_same_rows(spark, tmp_path, monkeypatch):
-    rng = np.random.default_rng(4)
-    for i in range(2):
-        write_records(
-            tmp_path / f"b{i}.bin", rng.integers(0, 10, 3000), rng.integers(0, 256, (3000, 12))
-        )
-    whole = binary.read_records(spark, str(tmp_path), 13)
-    monkeypatch.setattr(binary, "WHOLE_FILE_LIMIT", 1000)
-    ranges = binary.read_records(spark, str(tmp_path), 13)
-    assert "binaryFile" not in ranges._jdf.queryExecution().toString()
-    same = whole.withColumn("pixels", F.hex("pixels"))
-    other = ranges.withColumn("pixels", F.hex("pixels"))
-    assert other.count() == 6000
-    assert same.exceptAll(other).isEmpty()
-    with pytest.raises(ValueError):
-        binary.read_records(spark, str(tmp_path), 13, on_partial="drop")
-
-
 def test_size_scan_reads_no_content(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(bytes(10))
     plan = binary.scan_files(spark, str(tmp_path)).select("path", "length")
