@@ -119,11 +119,16 @@ def operand_mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
     return sizes.where(uneven).select("id", "size_a", "size_b")
 
 
+def require_vector_columns(side: DataFrame) -> None:
+    """Raise unless a table has the columns of a vector table."""
+    missing = {"id", "size", "idx", "value"} - set(side.columns)
+    if missing:
+        raise TypeError(f"not a vector table, lacks {sorted(missing)}")
+
+
 def require_same_sizes(a: DataFrame, b: DataFrame) -> None:
-    """Raise unless both operands have the vector columns and equal sizes."""
+    """Raise unless both operands have the vector columns and equal sizes; a job."""
     for side in (a, b):
-        missing = {"id", "size", "idx", "value"} - set(side.columns)
-        if missing:
-            raise TypeError(f"not a vector table, lacks {sorted(missing)}")
+        require_vector_columns(side)
     if not operand_mismatches(a, b).isEmpty():
         raise ValueError("vectors are not of the same size")

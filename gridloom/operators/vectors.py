@@ -8,11 +8,12 @@ operators keep headers. Explicit zeros are entries like any other.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.functions.texts import empty_vector_text
-from gridloom.operators.validate import require_same_sizes
+from gridloom.operators.index import BROADCAST_BYTES, ENTRY_BYTES, HOT_SHARE, join_around_hot_keys
+from gridloom.operators.validate import require_vector_columns
+from gridloom.session import materialise
 from gridloom.sources.text import concatenate
 
 
@@ -44,32 +45,50 @@ def add(a: DataFrame, b: DataFrame, *, strict: bool = True) -> DataFrame:
     """Entry-wise sum over the union of the indices.
 
     One aggregation over both tables, summed in each task first; a vector on
-    one side only is added to an empty one. ``strict`` looks for size
-    mismatches before and raises.
+    one side only is added to an empty one. With ``strict`` vectors of
+    different sizes stop the job that evaluates the result.
     """
-    if strict:
-        require_same_sizes(a, b)
-    return (
-        a.select("id", "size", "idx", "value")
-        .unionByName(b.select("id", "size", "idx", "value"))
-        .groupBy("id", "idx")
-        .agg(F.max("size").alias("size"), F.sum("value").alias("value"))
-        .select("id", "size", "idx", "value")
+    return _by_entry(a, b, strict).select(
+        "id", "size", "idx", F.coalesce(F.col("x") + F.col("y"), "x", "y").alias("value")
     )
 
 
 def multiply(a: DataFrame, b: DataFrame, *, strict: bool = True) -> DataFrame:
     """Entry-wise product over the intersection of the indices.
 
-    The join key is vector and index, so a vector with many entries spreads.
+    An aggregation like :func:`add`, by vector and index, so a vector with many
+    entries spreads.
     """
-    if strict:
-        require_same_sizes(a, b)
-    x, y = a.alias("x"), b.alias("y")
-    same = (F.col("x.id") == F.col("y.id")) & F.col("x.idx").eqNullSafe(F.col("y.idx"))
-    return x.join(y, same).select(
-        "x.id", "x.size", "x.idx", (F.col("x.value") * F.col("y.value")).alias("value")
-    )
+    both = _by_entry(a, b, strict).where((F.col("in_a") > 0) & (F.col("in_b") > 0))
+    return both.select("id", "size", "idx", (F.col("x") * F.col("y")).alias("value"))
+
+
+def _by_entry(a: DataFrame, b: DataFrame, strict: bool) -> DataFrame:
+    """``(id, size, idx, x, y, in_a, in_b)``: values of either side per entry.
+
+    Where sizes are looked after, every task also sends one row per vector with
+    the least and largest size it met; a vector whose two differ raises where
+    the others are let through. That happens inside the one aggregation: the
+    tables are read once and no job runs before the result is asked for.
+    """
+    for side in (a, b):
+        require_vector_columns(side)
+    columns = ("id", "size", "idx", "value")
+    both = a.select(*columns, F.lit(True).alias("left")).unionByName(b.select(*columns, F.lit(False).alias("left")))
+    on_left = F.col("left")
+    measures = [
+        F.max("size").alias("size"), F.min("size").alias("least"),
+        F.sum(F.when(on_left, F.col("value"))).alias("x"), F.sum(F.when(~on_left, F.col("value"))).alias("y"),
+        F.count_if(on_left).alias("in_a"), F.count_if(~on_left).alias("in_b"),
+    ]
+    if not strict:
+        return both.groupBy("id", "idx").agg(*measures).drop("least")
+    rows = both.groupingSets([["id", "idx"], ["id"]], "id", "idx").agg(*measures, F.grouping_id().alias("level"))
+    differ = F.concat(F.lit("vectors are not of the same size: "), F.col("id").cast("string"))
+    fits = F.when(F.col("level") == 0, F.lit(True)).when(
+        F.col("least") != F.col("size"), F.raise_error(differ).cast("boolean")
+    ).otherwise(F.lit(False))
+    return rows.where(fits).drop("least", "level")
 
 
 def shift(v: DataFrame, offset: int, size: int) -> DataFrame:
@@ -94,7 +113,10 @@ def concat(parts: list[DataFrame], sizes: list[int] | None = None) -> DataFrame:
 
     With ``sizes`` (one per part) the offsets are constants and no entry is
     shuffled. Without, a part's size is looked up for each id, so sizes may
-    differ between ids; an id absent from a part has size 0 there.
+    differ between ids; an id absent from a part has size 0 there. The starts
+    of all parts are one row per id, written out when the plan is built. Few
+    ids are broadcast; of many, entries of hot ids are joined in place and the
+    others shuffled once.
     """
     if sizes is not None:
         total = sum(sizes)
@@ -106,12 +128,20 @@ def concat(parts: list[DataFrame], sizes: list[int] | None = None) -> DataFrame:
     tagged = concatenate(
         [p.select("id", "size", "idx", "value").withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
     )
-    placed = offsets_by_id(tagged)
-    moved = tagged.drop("size").join(placed, ["id", "part"]).select(
-        "id", F.col("total").alias("size"),
-        (F.col("idx") + F.col("start")).alias("idx"), "value",
+    placed = materialise(_placed_ids(tagged, len(parts)), "offsets")
+    size = placed.agg(F.count("*").alias("ids"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    unique = placed.drop("rows")
+    if size["ids"] * (ENTRY_BYTES + 4 * len(parts)) <= BROADCAST_BYTES:
+        moved = tagged.drop("size").join(F.broadcast(unique), "id")
+    else:
+        hot = placed.where(F.col("rows") > F.lit(HOT_SHARE * size["rows"])).drop("rows")
+        moved = join_around_hot_keys(tagged.drop("size"), unique, hot, "id")
+    # A vector's header stays where its first part has one.
+    kept = F.col("idx").isNotNull() | (F.col("part") == F.col("header"))
+    return moved.where(kept).select(
+        "id", F.element_at("starts", -1).alias("size"),
+        (F.col("idx") + F.get("starts", F.col("part"))).alias("idx"), "value",
     )
-    return _one_header(moved)
 
 
 def _one_header(v: DataFrame) -> DataFrame:
@@ -120,16 +150,43 @@ def _one_header(v: DataFrame) -> DataFrame:
     return v.where(F.col("idx").isNotNull()).unionByName(headers)
 
 
+def _placed_ids(tagged: DataFrame, parts: int) -> DataFrame:
+    """``(id, starts, header, rows)``: one row per id, with the start of each part
+    and the total size in one array, the first part that has a header, and the
+    number of rows. Only ids, sizes and indices are read, and each task sends
+    one row per id."""
+    sizes = tagged.groupBy("id").agg(
+        *(F.max(F.when(F.col("part") == i, F.col("size"))).alias(f"size{i}") for i in range(parts)),
+        F.min(F.when(F.col("idx").isNull(), F.col("part"))).alias("header"),
+        F.count("*").alias("rows"),
+    )
+    starts, at = [F.lit(0)], F.lit(0)
+    for i in range(parts):
+        at = at + F.coalesce(F.col(f"size{i}"), F.lit(0))
+        starts.append(at)
+    return sizes.select("id", F.array(*starts).cast("array<int>").alias("starts"), "header", "rows")
+
+
 def offsets_by_id(tagged: DataFrame) -> DataFrame:
-    """``(id, part, start, total)``: running sum of the part sizes per id."""
+    """``(id, part, start, total)``: running sum of the part sizes per id.
+
+    For parts that are rows of a table. The parts of an id are gathered in one
+    array, so a task holds one number per part of an id.
+    """
     sizes = tagged.groupBy("id", "part").agg(F.max("size").alias("size"))
-    in_order = W.partitionBy("id").orderBy("part")
-    before = in_order.rowsBetween(W.unboundedPreceding, -1)
-    whole = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return sizes.select(
-        "id", "part",
-        F.coalesce(F.sum("size").over(before), F.lit(0)).cast("int").alias("start"),
-        F.sum("size").over(whole).cast("int").alias("total"),
+    rows = sizes.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("part", "size"))).alias("parts"))
+    held = F.aggregate(
+        "parts",
+        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<part:int,start:int>>").alias("starts")),
+        lambda acc, p: F.struct(
+            (acc["at"] + p["size"]).alias("at"),
+            F.concat(acc["starts"], F.array(F.struct(p["part"].cast("int").alias("part"), acc["at"].cast("int").alias("start"))))
+            .alias("starts"),
+        ),
+    )
+    placed = rows.select("id", held.alias("held"))
+    return placed.select("id", F.col("held.at").cast("int").alias("total"), F.inline("held.starts")).select(
+        "id", "part", "start", "total"
     )
 
 

@@ -314,7 +314,7 @@ WITH placed AS (
 )
 SELECT o_orderkey, o_orderpriority, position, position // 64 AS batch FROM placed""",
     "hashed_batches": f"""SELECT o_orderkey,
-  CAST('0x' || substr({_shuffle_hash_sql("o_orderkey", 1, 2)}, 1, 8) AS BIGINT) % 100 AS batch
+  CAST('0x' || substr({_shuffle_hash_sql("o_orderkey", 1, 2)}, 1, 15) AS BIGINT) % 100 AS batch
 FROM orders""",
     "concatenated_names": """SELECT c_name AS name, c_nationkey AS nation FROM customer
 UNION ALL SELECT s_name, s_nationkey FROM supplier""",

@@ -18,6 +18,7 @@ HIDDEN = 6
 BATCHES = 4
 LEARNING_RATE = 0.5
 MOMENTUM = 0.5
+TEST_SHARE = 5  # one row in so many is a test row
 
 
 def _examples(spark, sf_dir):
@@ -159,89 +160,146 @@ def evaluator_precision(spark, sf_dir):
     return spark.createDataFrame([(float(value),)], "precision double").select(rounded("precision"))
 
 
+def _batched(examples, model, grad, desc, **options):
+    """Epochs of four batches each, logged batch by batch."""
+    return training.train_epochs(
+        examples, model, grad, desc, batch_size=math.ceil(examples.count() / BATCHES), key=["vec_id"], log_interval=1,
+        **options,
+    )
+
+
 def hidden_layer_history(spark, sf_dir):
     examples = _examples(spark, sf_dir)
-    run = training.train_epochs(
-        examples, networks.hidden_layer_model(_width(examples), 32),
-        networks.hidden_layer_gradient(), gradient.Momentum(),
-        epochs=1, batch_size=128, key=["vec_id"], log_interval=1,
-    )
-    return run.history_frame(spark).select("epoch", "batch", "rows_seen", "percent", "loss")
+    run = _batched(examples, _rule_network(_width(examples)), networks.hidden_layer_gradient(),
+                   gradient.Momentum(LEARNING_RATE, MOMENTUM), epochs=1)
+    return run.history_frame(spark).select("epoch", "batch", "rows_seen", "percent", rounded("loss"))
 
 
 def hidden_layer_full_batch(spark, sf_dir):
     examples = persist(_examples(spark, sf_dir).select("features", "label"))
     try:
         run = training.train_epochs(
-            examples, networks.hidden_layer_model(_width(examples), 32),
-            networks.hidden_layer_gradient(), gradient.Momentum(0.5, 0.5), epochs=3,
+            examples, _rule_network(_width(examples)), networks.hidden_layer_gradient(),
+            gradient.Momentum(LEARNING_RATE, MOMENTUM), epochs=3,
         )
     finally:
         examples.unpersist()
-    return run.history_frame(spark).select("epoch", "rows_seen", "loss")
+    return run.history_frame(spark).select("epoch", "rows_seen", rounded("loss"))
+
+
+def _linear_scores(x, params):
+    return networks.log_softmax(x @ params["w"] + params["b"])
+
+
+def _two_epochs(spark, sf_dir):
+    """Two epochs on four fifths of the rows, each tested on the others."""
+    examples, other = _examples(spark, sf_dir), F.col("vec_id") % TEST_SHARE == 0
+    return _batched(
+        examples.where(~other), networks.softmax_model(_width(examples)), networks.softmax_gradient(),
+        gradient.Momentum(LEARNING_RATE, MOMENTUM), epochs=2, test=examples.where(other), scores=_linear_scores,
+    )
+
+
+def epoch_reports(spark, sf_dir):
+    report = _two_epochs(spark, sf_dir).report_frame(spark)
+    return report.select("epoch", rounded("loss"), "correct", "total", rounded("accuracy"))
+
+
+def training_log_lines(spark, sf_dir):
+    return _two_epochs(spark, sf_dir).log_lines(spark)
 
 
 def perceptron_predictions(spark, sf_dir):
+    """The perceptron on features that tell the classes apart: what it must predict is known."""
+    marks = F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.when(k == F.col("label"), 5.0).otherwise(0.0))
     examples = _examples(spark, sf_dir).select(
         "vec_id", F.col("label").cast("double").alias("label"),
-        array_to_vector(F.col("features").cast("array<double>")).alias("features"),
+        array_to_vector(F.concat(F.col("features").cast("array<double>"), marks)).alias("features"),
     )
     train = persist(examples)
     try:
-        model = training.fit_perceptron(train, [_embedding_width(spark, sf_dir), 16, CLASSES], max_iter=10)
+        width = _width(_examples(spark, sf_dir)) + CLASSES
+        model = training.fit_perceptron(train, [width, 16, CLASSES], max_iter=60)
     finally:
         train.unpersist()
     return model.transform(examples).select("vec_id", "label", "prediction")
 
 
-def _embedding_width(spark, sf_dir):
-    return _width(_examples(spark, sf_dir))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         softmax_gradient, hidden_layer_gradient, mini_batch_losses, softmax_losses, momentum_losses, softmax_predictions,
         evaluation_report, evaluation_text, prediction_accuracy, evaluator_precision, hidden_layer_history,
-        hidden_layer_full_batch, perceptron_predictions,
+        hidden_layer_full_batch, epoch_reports, training_log_lines, perceptron_predictions,
     )
 }
 
 
-def _descent_sql(steps: int, rate: float, momentum: float, *, batched: bool = False) -> str:
-    """Common tables ``loss<i>``, ``grad<i>`` and ``model<i>`` of softmax descent.
+_WEIGHT = "(({i} * 7 + {j} * 5) % 13 - 6) / 12.0::DOUBLE"
+
+
+def _inputs_sql(train: str, epochs: int) -> list[str]:
+    """Common tables ``inputs`` and ``batches``.
 
     Weights and biases are one table: the bias is the weight of a cell that is
-    always 1, in row -1. With ``batched`` step ``i`` sees batch ``i`` only.
+    always 1, in row -1. Batches are those of the rows that are trained on.
     """
-    parts = [
+    orders = "\nUNION ALL ".join(
+        f"""SELECT vec_id, {e} AS epoch,
+  row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || ':1:{e}')) - 1 AS position
+  FROM embeddings WHERE {train}"""
+        for e in range(1, epochs + 1)
+    )
+    return [
         CELLS_SQL,
         f"""classes AS (SELECT CAST(unnest(range({CLASSES})) AS INTEGER) AS k)""",
-        f"""placed AS (
-  SELECT vec_id, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || ':1:1')) - 1 AS position
-  FROM embeddings
-)""",
+        f"""placed AS ({orders})""",
         f"""batches AS (
-  SELECT vec_id, position // CAST(ceil((SELECT count(*) FROM embeddings) / {BATCHES}.0) AS BIGINT) AS batch
+  SELECT vec_id, epoch, position // CAST(ceil((SELECT count(*) FROM embeddings WHERE {train}) / {BATCHES}.0) AS BIGINT) AS batch
   FROM placed
 )""",
         """inputs AS (
-  SELECT vec_id, label, batch, col, x FROM cells JOIN batches USING (vec_id)
-  UNION ALL SELECT vec_id, label, batch, -1, 1.0 FROM embeddings JOIN batches USING (vec_id)
+  SELECT vec_id, label, col, x FROM cells
+  UNION ALL SELECT vec_id, label, -1, 1.0 FROM embeddings
 )""",
+    ]
+
+
+def _step_inputs(i: int, batched: bool) -> str:
+    if not batched:
+        return f"inputs{i} AS (SELECT * FROM inputs)"
+    return f"""inputs{i} AS (SELECT inputs.* FROM inputs JOIN batches USING (vec_id)
+  WHERE epoch = {i // BATCHES + 1} AND batch = {i % BATCHES})"""
+
+
+def _loss_parts(i: int) -> list[str]:
+    """``logp<i>`` and ``loss<i>`` from ``scores<i>``."""
+    return [
+        f"""logp{i} AS (SELECT vec_id, label, k, s - ln(sum(exp(s)) OVER (PARTITION BY vec_id)) AS logp
+  FROM scores{i})""",
+        f"""loss{i} AS (SELECT {i} AS step, avg(-logp) AS loss, count(*) AS rows_in_step
+  FROM logp{i} WHERE k = label)""",
+    ]
+
+
+def _descent_sql(
+    steps: int, rate: float, momentum: float, *, batched: bool = False, epochs: int = 1, train: str = "TRUE"
+) -> str:
+    """Common tables ``loss<i>``, ``grad<i>`` and ``model<i>`` of softmax descent.
+
+    With ``batched`` step ``i`` sees one batch only, four to an epoch.
+    """
+    parts = [
+        *_inputs_sql(train, epochs),
         """model0 AS (SELECT col, k, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v
   FROM (SELECT DISTINCT col FROM inputs), classes)""",
     ]
     for i in range(steps):
-        own = f"WHERE batch = {i}" if batched else ""
         parts += [
-            f"inputs{i} AS (SELECT * FROM inputs {own})",
+            _step_inputs(i, batched),
             f"""scores{i} AS (SELECT vec_id, label, k, sum(x * w) AS s
   FROM inputs{i} JOIN model{i} USING (col) GROUP BY vec_id, label, k)""",
-            f"""logp{i} AS (SELECT vec_id, label, k, s - ln(sum(exp(s)) OVER (PARTITION BY vec_id)) AS logp
-  FROM scores{i})""",
-            f"""loss{i} AS (SELECT {i} AS step, avg(-logp) AS loss, count(*) AS rows_in_step
-  FROM logp{i} WHERE k = label)""",
+            *_loss_parts(i),
             f"""grad{i} AS (SELECT col, k,
   sum(x * (exp(logp) - CASE WHEN k = p.label THEN 1 ELSE 0 END))
   / (SELECT rows_in_step FROM loss{i}) AS g
@@ -252,6 +310,44 @@ def _descent_sql(steps: int, rate: float, momentum: float, *, batched: bool = Fa
     return "WITH " + ",\n".join(parts)
 
 
+def _hidden_descent_sql(steps: int, *, batched: bool) -> str:
+    """Common tables ``loss<i>`` of descent with one hidden layer from the rule's weights.
+
+    The layer's biases are the weights of row -1, in which every input is 1.
+    """
+    parts = [
+        *_inputs_sql("TRUE", 1),
+        f"""units AS (SELECT CAST(unnest(range({HIDDEN})) AS INTEGER) AS j)""",
+        f"""first0 AS (SELECT col, j, CASE WHEN col < 0 THEN {_WEIGHT.format(i="j", j="1")}
+  ELSE {_WEIGHT.format(i="col", j="j")} END AS w, 0.0::DOUBLE AS v
+  FROM (SELECT DISTINCT col FROM inputs), units)""",
+        f"""second0 AS (SELECT j, k, CASE WHEN j < 0 THEN {_WEIGHT.format(i="k", j="2")}
+  ELSE {_WEIGHT.format(i="j", j="k")} END AS w, 0.0::DOUBLE AS v
+  FROM (SELECT j FROM units UNION ALL SELECT -1), classes)""",
+    ]
+    for i in range(steps):
+        update = f"w - {LEARNING_RATE} * (g + {MOMENTUM} * v) AS w, g + {MOMENTUM} * v AS v"
+        parts += [
+            _step_inputs(i, batched),
+            f"""hidden{i} AS (SELECT vec_id, label, j, sum(x * w) AS a, greatest(sum(x * w), 0) AS h
+  FROM inputs{i} JOIN first{i} USING (col) GROUP BY vec_id, label, j
+  UNION ALL SELECT DISTINCT vec_id, label, -1, 0.0, 1.0 FROM inputs{i})""",
+            f"""scores{i} AS (SELECT vec_id, label, k, sum(h * w) AS s
+  FROM hidden{i} JOIN second{i} USING (j) GROUP BY vec_id, label, k)""",
+            *_loss_parts(i),
+            f"""errors{i} AS (SELECT vec_id, k, exp(logp) - CASE WHEN k = label THEN 1 ELSE 0 END AS e FROM logp{i})""",
+            f"""back{i} AS (SELECT vec_id, j, CASE WHEN any_value(a) > 0 THEN sum(e * w) ELSE 0 END AS d
+  FROM hidden{i} JOIN errors{i} USING (vec_id) JOIN second{i} USING (j, k) WHERE j >= 0 GROUP BY vec_id, j)""",
+            f"""first{i + 1} AS (SELECT col, j, {update} FROM first{i} JOIN (
+  SELECT col, j, sum(x * d) / (SELECT rows_in_step FROM loss{i}) AS g
+  FROM inputs{i} JOIN back{i} USING (vec_id) GROUP BY col, j) USING (col, j))""",
+            f"""second{i + 1} AS (SELECT j, k, {update} FROM second{i} JOIN (
+  SELECT j, k, sum(h * e) / (SELECT rows_in_step FROM loss{i}) AS g
+  FROM hidden{i} JOIN errors{i} USING (vec_id) GROUP BY j, k) USING (j, k))""",
+        ]
+    return "WITH " + ",\n".join(parts)
+
+
 def _losses_sql(steps: int, momentum: float) -> str:
     union = "\nUNION ALL ".join(
         f"SELECT CAST(step AS INTEGER) AS step, round(loss, 6) + 0.0 AS loss FROM loss{i}"
@@ -260,19 +356,42 @@ def _losses_sql(steps: int, momentum: float) -> str:
     return f"{_descent_sql(steps, LEARNING_RATE, momentum)}\n{union}"
 
 
-def _batch_losses_sql() -> str:
+def _steps_sql(steps: int) -> str:
+    """``(epoch, batch, rows_seen, loss, step)`` of all steps, four to an epoch."""
+    union = "\nUNION ALL ".join(f"SELECT * FROM loss{i}" for i in range(steps))
+    return f"""(SELECT step, CAST(step // {BATCHES} + 1 AS INTEGER) AS epoch, CAST(step % {BATCHES} AS INTEGER) AS batch, loss,
+  CAST(coalesce(sum(rows_in_step) OVER (PARTITION BY step // {BATCHES} ORDER BY step
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rows_seen
+FROM ({union}))"""
+
+
+_TRAINED = f"vec_id % {TEST_SHARE} <> 0"
+
+
+def _reports_sql() -> str:
     union = "\nUNION ALL ".join(
-        f"SELECT * FROM loss{i}" for i in range(BATCHES)
+        f"""SELECT {e} AS epoch, avg(-own) AS loss, count(*) AS total,
+  CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct
+FROM (SELECT vec_id, label, max(CASE WHEN k = label THEN logp END) AS own, arg_max(k, logp) AS prediction
+  FROM (SELECT vec_id, label, k, s - ln(sum(exp(s)) OVER (PARTITION BY vec_id)) AS logp
+    FROM (SELECT vec_id, label, k, sum(x * w) AS s FROM inputs JOIN model{e * BATCHES} USING (col)
+      WHERE NOT ({_TRAINED}) GROUP BY vec_id, label, k))
+  GROUP BY vec_id, label)"""
+        for e in (1, 2)
     )
-    return f"""{_descent_sql(BATCHES, LEARNING_RATE, MOMENTUM, batched=True)}
-SELECT 1 AS epoch, CAST(step AS INTEGER) AS batch,
-       CAST(coalesce(sum(rows_in_step) OVER (ORDER BY step
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rows_seen,
-       round(loss, 6) + 0.0 AS loss
-FROM ({union})"""
+    descent = _descent_sql(2 * BATCHES, LEARNING_RATE, MOMENTUM, batched=True, epochs=2, train=_TRAINED)
+    return f"""{descent}
+SELECT CAST(epoch AS INTEGER) AS epoch, round(loss, 6) + 0.0 AS loss, correct, total,
+       round(correct * 100.0::DOUBLE / total, 6) + 0.0 AS accuracy FROM ({union})"""
 
 
-_WEIGHT = "(({i} * 7 + {j} * 5) % 13 - 6) / 12.0::DOUBLE"
+def _log_lines_sql() -> str:
+    descent = _descent_sql(2 * BATCHES, LEARNING_RATE, MOMENTUM, batched=True, epochs=2, train=_TRAINED)
+    return f"""{descent}
+SELECT epoch, batch, printf('Train Epoch: %d [%d/%d (%.0f%%)]' || chr(9) || 'Loss: %.6f', epoch, rows_seen,
+  (SELECT count(*) FROM embeddings WHERE {_TRAINED}), batch * 100.0::DOUBLE / {BATCHES}, loss) AS line
+FROM {_steps_sql(2 * BATCHES)}"""
+
 
 _HIDDEN_SQL = f"""WITH {CELLS_SQL},
 units AS (SELECT CAST(unnest(range({HIDDEN})) AS INTEGER) AS j),
@@ -326,7 +445,18 @@ SELECT CASE WHEN col < 0 THEN 'b' ELSE 'w' END AS param, CAST(greatest(col, 0) A
        k AS class, round(g, 6) + 0.0 AS value
 FROM grad0""",
     "hidden_layer_gradient": _HIDDEN_SQL,
-    "mini_batch_losses": _batch_losses_sql(),
+    "mini_batch_losses": f"""{_descent_sql(BATCHES, LEARNING_RATE, MOMENTUM, batched=True)}
+SELECT epoch, batch, rows_seen, round(loss, 6) + 0.0 AS loss FROM {_steps_sql(BATCHES)}""",
+    "hidden_layer_history": f"""{_hidden_descent_sql(BATCHES, batched=True)}
+SELECT epoch, batch, rows_seen, batch * 100.0::DOUBLE / {BATCHES} AS percent, round(loss, 6) + 0.0 AS loss
+FROM {_steps_sql(BATCHES)}""",
+    "hidden_layer_full_batch": f"""{_hidden_descent_sql(3, batched=False)}
+SELECT CAST(step + 1 AS INTEGER) AS epoch, rows_in_step AS rows_seen, round(loss, 6) + 0.0 AS loss
+FROM (SELECT * FROM loss0 UNION ALL SELECT * FROM loss1 UNION ALL SELECT * FROM loss2)""",
+    "epoch_reports": _reports_sql(),
+    "training_log_lines": _log_lines_sql(),
+    "perceptron_predictions": """SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(label AS DOUBLE) AS prediction
+FROM embeddings""",
     "softmax_losses": _losses_sql(3, 0.0),
     "momentum_losses": _losses_sql(4, MOMENTUM),
     "softmax_predictions": f"""{_descent_sql(2, LEARNING_RATE, 0.0)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from gridloom.functions.labels import class_name
@@ -9,6 +11,7 @@ from gridloom.functions.texts import (
     class_count_text, column_name, elapsed_text, join_tabs, split_tabs,
 )
 from gridloom.operators import profile, validate
+from gridloom.operators.combine import aggregate_by_key
 from gridloom.plans.tables import (
     CELLS_SQL, FILE_RECORD_LENGTH, FILE_RECORDS, LINES_SQL, PIXELS_SQL, image_files, image_lines,
     image_rows, rounded, table,
@@ -213,10 +216,34 @@ def row_shape_violations(spark, sf_dir):
     return bad.select("vec_id", "label", F.array_join("faults", ",").alias("faults"))
 
 
+def highest_prices(spark, sf_dir):
+    """Per priority the three highest distinct prices and how many orders have each."""
+
+    def best(counts):
+        return [{"price": p, "n": counts[p]} for p in sorted(counts, reverse=True)[:3]]
+
+    def create(columns):
+        return best(Counter(columns["o_totalprice"].drop_null().to_pylist()))
+
+    def merge(a, b):
+        counts = Counter()
+        for entry in (*a, *b):
+            counts[entry["price"]] += entry["n"]
+        return best(counts)
+
+    kept = "array<struct<price:double,n:long>>"
+    rows = aggregate_by_key(
+        table(spark, sf_dir, "orders"), ["o_orderpriority"], ["o_totalprice"],
+        create=create, merge=merge, state=kept, result=kept,
+    )
+    placed = rows.select("o_orderpriority", F.posexplode("result").alias("place", "entry"))
+    return placed.select("o_orderpriority", (F.col("place") + 1).alias("rank"), "entry.price", "entry.n")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        class_profile, class_profile_of_unknown_codes, class_names_per_line, class_count_check,
+        highest_prices, class_profile, class_profile_of_unknown_codes, class_names_per_line, class_count_check,
         class_count_texts, table_row_counts, distinct_counts, distinct_counts_with_null,
         distinct_event_types, document_token_counts, page_token_counts,
         conversation_token_counts, most_frequent_token, least_frequent_token, top_tokens,
@@ -290,6 +317,9 @@ def _union_counts(pairs: list[tuple[str, str]], template: str) -> str:
 
 
 SQL = {
+    "highest_prices": """SELECT o_orderpriority, CAST(dense_rank() OVER w AS INTEGER) AS rank, o_totalprice AS price, count(*) AS n
+FROM orders WHERE o_totalprice IS NOT NULL GROUP BY o_orderpriority, o_totalprice
+WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) QUALIFY dense_rank() OVER w <= 3""",
     "class_profile": _class_counts_sql("label", "embeddings") + " ORDER BY 1",
     "class_profile_of_unknown_codes": _class_counts_sql(
         "label", "(SELECT l_linenumber * 2 AS label FROM lineitem)"

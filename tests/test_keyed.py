@@ -1,12 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridloom.operators import index, vectors
-from gridloom.operators.validate import operand_mismatches
+from gridloom.operators.validate import operand_mismatches, require_same_sizes
 
 VECTOR = "id int, size int, idx int, value double"
 
@@ -107,13 +108,46 @@ def test_a_missing_side_is_an_empty_vector(spark):
 def test_sizes_must_agree(spark):
     a, b = table(spark, {1: (4, {0: 1.0})}), table(spark, {1: (5, {2: 1.0})})
     assert [tuple(r) for r in operand_mismatches(a, b).collect()] == [(1, 4, 5)]
+    with pytest.raises(ValueError):
+        require_same_sizes(a, b)
+    other = table(spark, {2: (7, {0: 3.0})})
     for op in (vectors.add, vectors.multiply):
-        with pytest.raises(ValueError):
-            op(a, b)
+        with pytest.raises(Exception, match="not of the same size: 1"):
+            op(a.unionByName(other), b.unionByName(other)).collect()
+        assert op(a.unionByName(other), b.unionByName(other), strict=False).count() >= 1
         with pytest.raises(TypeError):
             op(a, spark.range(3))
 
 
+def test_sizes_are_compared_inside_the_one_aggregation(spark):
+    a, b = table(spark, {1: (4, {0: 1.0})}), table(spark, {1: (5, {2: 1.0})})
+    group = "sizes-are-lazy"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        results = [op(a, b) for op in (vectors.add, vectors.multiply)]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for result in results:
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Expand") == 1
+        assert "partial_min(size" in plan and plan.count("Scan ExistingRDD") == plan.count("Union") * 2
+
+
+def test_concat_of_many_ids_joins_hot_ones_in_place(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    wide = {0: (9000, {int(i): float(i) for i in range(9000)})}  # an id with most entries
+    few = [{i: (int(rng.integers(1, 5)), {0: float(i)}) for i in rng.choice(200, 120, replace=False).tolist()} for _ in range(3)]
+    parts = [table(spark, {**own, **(wide if k == 1 else {})}).repartition(6) for k, own in enumerate(few)]
+    plain = as_dict(vectors.concat(parts))
+    monkeypatch.setattr(vectors, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(vectors, "HOT_SHARE", 0.05)
+    joined = vectors.concat(parts)
+    assert as_dict(joined) == plain
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" in plan and "Window" not in plan
+
+
 def test_concat_with_constant_and_looked_up_sizes(spark):
     parts = [
         table(spark, {1: (2, {0: 1.0}), 2: (2, {})}),

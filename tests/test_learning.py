@@ -1,10 +1,12 @@
 import math
+import os
 
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
-from gridloom.operators import evaluate, gradient, networks, training
+from gridloom.operators import batches, evaluate, gradient, networks, training
 from gridloom.plans import flows
 
 
@@ -189,3 +191,44 @@ def test_train_and_evaluate_from_csv(spark, tmp_path):
     )
     assert fitted.precision > 0.95
     assert fitted.predictions.columns == ["prediction", "label"]
+
+
+def test_batches_of_a_written_epoch(spark, tmp_path):
+    rows = spark.range(1003).select("id", (F.col("id") % 7).alias("k")).repartition(5)
+    folder = str(tmp_path / "epoch")
+    written = batches.WrittenEpoch(rows, ["k"], 100, folder, seed=2, epoch=3)
+    assert (written.total, written.n_batches) == (1003, 11)
+    exact = batches.exact_batches(rows, ["k"], 100, seed=2, epoch=3)
+    wanted = {}
+    for r in exact.collect():
+        wanted.setdefault(r["batch"], set()).add(r["id"])
+    for b in range(11):
+        own = written.batch(b)
+        assert own.columns == rows.columns
+        assert sorted(r["id"] for r in own.collect()) == sorted(wanted[b])
+    plan = written.batch(4)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(__mark" in plan and "LessThanOrEqual(__mark" in plan
+    assert batches.WrittenEpoch(rows.limit(0), ["k"], 100, str(tmp_path / "none")).n_batches == 0
+
+
+def test_epochs_are_written_once_and_tested(spark, examples, monkeypatch):
+    writes = []
+    made = training.new_work_folder
+    monkeypatch.setattr(training, "new_work_folder", lambda *a: writes.append(made(*a)) or writes[-1])
+    train, test = examples.where("i % 4 <> 0"), examples.where("i % 4 = 0")
+    run = training.train_epochs(
+        train, networks.hidden_layer_model(6, 8, 4, seed=2), networks.hidden_layer_gradient(), gradient.Momentum(0.1, 0.5),
+        epochs=3, batch_size=50, key=["i"], log_interval=1, test=test, scores=networks.hidden_layer_scores,
+    )
+    assert len(writes) == 3 and not any(os.path.exists(w) for w in writes)
+    reports = run.report_frame(spark).collect()
+    assert [r["epoch"] for r in reports] == [1, 2, 3] and {r["total"] for r in reports} == {60}
+    last = training.evaluate_epoch(test, run.model, networks.hidden_layer_scores).first()
+    assert tuple(reports[-1])[1:] == pytest.approx(tuple(last))
+    lines = [r["line"] for r in run.log_lines(spark).orderBy("epoch", "batch").collect()]
+    assert lines[1].startswith("Train Epoch: 1 [50/180 (25%)]\tLoss: ") and len(lines) == 12
+    full = training.train_epochs(train, networks.softmax_model(6, 4), networks.softmax_gradient(), gradient.gradient_descent(0.1),
+                                 epochs=2, test=test, scores=lambda x, p: networks.log_softmax(x @ p["w"] + p["b"]))
+    assert len(full.reports) == 2 and full.total == 180
+    with pytest.raises(ValueError):
+        training.train_epochs(train, run.model, networks.hidden_layer_gradient(), gradient.Momentum(), test=test)
