@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.session import resolve_path
 from gridloom.sinks.files import labelled_line
 
 # Derived binary files hold this many records of one label and 64 value bytes.
@@ -13,7 +14,7 @@ FILE_RECORD_LENGTH = 65
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(resolve_path(f"{name}.parquet", sf_dir))
 
 
 def quantised(values: str = "embedding") -> Column:
