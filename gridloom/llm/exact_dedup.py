@@ -1,11 +1,13 @@
 """Exact duplicates by counting quotient filters and byte verification.
 
 A 64-bit fingerprint splits into a block number (the highest bits), a quotient
-(the next 12) and a remainder (the rest). Each task builds one filter per block
-over its own rows: the quotients as run lengths of 4096 slots, the remainders
-sorted inside their runs, a count for each. Filters of a block merge without
-loss by sorting the remainders of all tasks together and adding counts.
-Fingerprints with a count above one are the only ones whose texts are compared.
+(the next 16) and a remainder (the rest). Each task builds one filter per block
+over its own rows: the occupied quotients with their run lengths, the remainders
+sorted inside their runs, a count for each. Only what is occupied is written, so
+a filter is in proportion to its fingerprints however many tasks and blocks
+there are. Filters of a block merge without loss by sorting the remainders of
+all tasks together and adding counts. Fingerprints with a count above one are
+the only ones whose texts are compared.
 """
 
 from __future__ import annotations
@@ -20,35 +22,56 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import arrow_rows, measured, sorted_groups
 from gridloom.session import materialise
 
-QUOTIENT_BITS = 12
-BLOCK_ROWS = 8192  # rows of the table for each block of fingerprints
+QUOTIENT_BITS = 16
+BLOCK_ROWS = 65_536  # rows of the table for each block of fingerprints
 
-_FILTERS = pa.schema([("block", pa.int64()), ("runs", pa.binary()), ("remainders", pa.binary()),
-                      ("counts", pa.binary())])
+_FILTERS = pa.schema([("block", pa.int64()), ("quotients", pa.binary()), ("runs", pa.binary()),
+                      ("remainders", pa.binary()), ("counts", pa.binary())])
 _REPEATED = pa.schema([("fp", pa.int64()), ("n", pa.int64())])
 _TEXTS = pa.schema([("fp", pa.int64()), ("sha", pa.string()), ("text", pa.string())])
 
 
-def encode_filter(fingerprints: np.ndarray, counts: np.ndarray, rest_bits: int) -> tuple[bytes, bytes, bytes]:
-    """Run lengths, remainders and counts of sorted fingerprints of one block.
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each value."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    """Inverse of :func:`_packed`, whose width follows from the number of values."""
+    whole = np.zeros((n, 8), np.uint8)
+    if n:
+        own = np.frombuffer(packed, np.uint8).reshape(n, -1)
+        whole[:, :own.shape[1]] = own
+    return whole.reshape(-1).view("<u8").astype(np.uint64)
+
+
+def _width(values: np.ndarray) -> int:
+    return max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+
+
+def encode_filter(fingerprints: np.ndarray, counts: np.ndarray, rest_bits: int) -> tuple[bytes, bytes, bytes, bytes]:
+    """Occupied quotients, run lengths, remainders and counts of the sorted
+    fingerprints of one block, in as few bytes each as they need.
 
     ``rest_bits``: bits below the block number.
     """
-    bits = np.uint64(rest_bits - QUOTIENT_BITS)
-    quotients = (fingerprints >> bits) & np.uint64((1 << QUOTIENT_BITS) - 1)
-    runs = np.bincount(quotients.astype(np.int64), minlength=1 << QUOTIENT_BITS)
-    remainders = fingerprints & np.uint64((1 << int(bits)) - 1)
-    return runs.astype("<u4").tobytes(), remainders.astype("<u8").tobytes(), counts.astype("<u8").tobytes()
+    bits = rest_bits - QUOTIENT_BITS
+    quotients = (fingerprints >> np.uint64(bits)) & np.uint64((1 << QUOTIENT_BITS) - 1)
+    occupied, runs = np.unique(quotients, return_counts=True)
+    remainders = fingerprints & np.uint64((1 << bits) - 1)
+    return (_packed(occupied, QUOTIENT_BITS // 8), _packed(runs, _width(runs)), _packed(remainders, (bits + 7) // 8),
+            _packed(counts, _width(counts)))
 
 
-def decode_filter(block: int, runs: bytes, remainders: bytes, counts: bytes, rest_bits: int):
+def decode_filter(block: int, quotients: bytes, runs: bytes, remainders: bytes, counts: bytes, rest_bits: int):
     """Fingerprints and counts, ascending; inverse of :func:`encode_filter`."""
-    bits = np.uint64(rest_bits - QUOTIENT_BITS)
-    lengths = np.frombuffer(runs, "<u4").astype(np.int64)
-    quotients = np.repeat(np.arange(1 << QUOTIENT_BITS, dtype=np.uint64), lengths)
+    bits = rest_bits - QUOTIENT_BITS
+    occupied = _unpacked(quotients, len(quotients) * 8 // QUOTIENT_BITS)
+    lengths = _unpacked(runs, len(occupied)).astype(np.int64)
+    n = int(lengths.sum())
     high = np.uint64(block) << np.uint64(rest_bits) if rest_bits < 64 else np.uint64(0)
-    fingerprints = high | (quotients << bits) | np.frombuffer(remainders, "<u8")
-    return fingerprints, np.frombuffer(counts, "<u8")
+    fingerprints = high | (np.repeat(occupied, lengths) << np.uint64(bits)) | _unpacked(remainders, n)
+    return fingerprints, _unpacked(counts, n)
 
 
 def _add_up(fingerprints: np.ndarray, counts: np.ndarray):
@@ -84,7 +107,7 @@ def _merge(rest_bits: int):
     def merge(batches):
         for block, group in sorted_groups(batches, "block"):
             parts = [decode_filter(block, *filter_, rest_bits)
-                     for filter_ in zip(group["runs"], group["remainders"], group["counts"])]
+                     for filter_ in zip(*(group[name] for name in _FILTERS.names[1:]))]
             fingerprints, counts = _add_up(np.concatenate([p[0] for p in parts]),
                                            np.concatenate([p[1] for p in parts]))
             often = counts > 1
@@ -99,7 +122,7 @@ def repeated_fingerprints(slim: DataFrame, fingerprint: str) -> DataFrame:
     blocks = max(0, (slim.count() // BLOCK_ROWS).bit_length())
     rest_bits = 64 - blocks
     filters = slim.select(fingerprint).mapInArrow(
-        _build(rest_bits), "block long, runs binary, remainders binary, counts binary"
+        _build(rest_bits), "block long, quotients binary, runs binary, remainders binary, counts binary"
     )
     return (
         filters.repartition("block").sortWithinPartitions("block")
@@ -134,9 +157,10 @@ def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     ``keep_id`` and keeps one row. Other columns are ignored; an empty table
     gives an empty result.
 
-    Texts move only for repeated fingerprints, one per task and text. Rows of a
-    hot text are counted in their own task first; the final join is one that
-    adaptive execution splits. Should two texts share a SHA-256 digest the
+    Only texts with a repeated fingerprint are looked at again, and one per task
+    and text moves. Rows of a hot text are counted in their own task first; the
+    final join is one that adaptive execution splits. Long texts are hashed and
+    compared whole. Should two texts share a SHA-256 digest the
     query fails rather than merge them.
     """
     content = F.coalesce(F.col(text), F.lit(""))
@@ -152,14 +176,14 @@ def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     repeated = materialise(repeated_fingerprints(slim, "fp"), "repeated")
     verified = (
         docs.select(F.xxhash64(content).alias("fp"), content.alias("text"))
+        .join(measured(repeated), "fp", "left_semi")
         .mapInArrow(_distinct_texts, "fp long, sha string, text string")
-        .join(repeated, "fp", "left_semi")
         .groupBy("fp", "sha")
         .agg(F.min("text").alias("low"), F.max("text").alias("high"))
         .select("fp", "sha", (F.col("low") == F.col("high")).alias("same"))
     )
     groups = (
-        slim.join(repeated, "fp", "left_semi")
+        slim.join(measured(repeated), "fp", "left_semi")
         .groupBy("fp", "sha")
         .agg(F.count("*").alias("size"), F.max(F.struct("key", "row")).alias("last"))
         .join(verified, ["fp", "sha"])
@@ -180,14 +204,24 @@ def without_exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str
     """One row, with all its columns, of each group of equal texts: that with the
     largest key. Of rows that repeat both key and text any one stays."""
     decided = exact_duplicates(docs, key=key, text=text)
+    # Names of our own that no column of the table has.
+    own_key, sha = (_free_name(docs, name) for name in ("key", "sha"))
     dropped = materialise(
         decided.where(~F.col("kept") & ~F.col(key).eqNullSafe(F.col("keep_id")))
-        .select(F.col(key).alias("__key"), F.col("text_sha256").alias("__sha")),
+        .select(F.col(key).alias(own_key), F.col("text_sha256").alias(sha)),
         "dropped",
     )
-    sha = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    left = docs.join(measured(dropped, 96), F.col(key).eqNullSafe(F.col("__key")) & (sha == F.col("__sha")), "left_anti")
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    same = F.col(key).eqNullSafe(F.col(own_key)) & (digest == F.col(sha))
+    left = docs.join(measured(dropped, 96), same, "left_anti")
     repeated = decided.where(~F.col("kept") & F.col(key).eqNullSafe(F.col("keep_id")))
     if repeated.isEmpty():
         return left
-    return left.withColumn("__sha", sha).dropDuplicates([key, "__sha"]).drop("__sha")
+    return left.withColumn(sha, digest).dropDuplicates([key, sha]).select(*docs.columns)
+
+
+def _free_name(docs: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
