@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import arrow_rows, texts_of
+from gridloom.llm.common import BROADCAST_BYTES, arrow_rows, texts_of
 from gridloom.session import materialise
 
 SHARE = 0.5  # of a host's pages on which a subtree is template
@@ -103,15 +104,24 @@ def by_name(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 class _Open:
-    __slots__ = ("tag", "start", "drops", "pieces", "article", "before", "texts")
+    __slots__ = ("tag", "hash", "drops", "pieces", "article", "before", "texts")
 
-    def __init__(self, tag: str, start: int, drops: bool, pieces: int, article: bool, before: int, texts: int):
-        self.tag, self.start, self.drops, self.pieces = tag, start, drops, pieces
+    def __init__(self, tag: str, markup: str, drops: bool, pieces: int, article: bool, before: int, texts: int):
+        self.tag, self.hash, self.drops, self.pieces = tag, xxhash.xxh3_64(_bytes(markup)), drops, pieces
         self.article, self.before, self.texts = article, before, texts
 
 
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
 class Page:
-    """One walk over the markup: text pieces, block borders and subtrees."""
+    """One walk over the markup: text pieces, block borders and subtrees.
+
+    An element's hash is taken over its own markup and text and the hashes of
+    its children, so a page takes time in proportion to its length however
+    deep its elements stand in each other.
+    """
 
     def __init__(self, source: str, template: frozenset[int] = frozenset(), *, subtrees: bool = False):
         self.source, self.template, self.want = source, template, subtrees
@@ -120,6 +130,7 @@ class Page:
         self.marked = False  # whether there is any such piece, deleted ones included
         self.subtrees: dict[int, tuple[int, int]] = {}  # the pieces of each
         self.stack: list[_Open] = []
+        self.standing: Counter = Counter()  # open elements by tag
         self.dropping = self.articles = self.opened = self.texts = 0
         self._walk()
 
@@ -130,42 +141,53 @@ class Page:
             self.marked |= self.articles > 0
             self.texts += piece is not None and not piece.isspace()
 
-    def _open(self, tag: str, attributes: str, start: int) -> None:
+    def _hashed(self, text: str) -> None:
+        if self.stack:
+            self.stack[-1].hash.update(_bytes(text))
+
+    def _open(self, tag: str, attributes: str, markup: str) -> None:
         if tag in CLOSES_PARAGRAPH:
-            self._close_open({"p"}, start, {"table", "td", "article", "section", "div"})
+            self._close_open({"p"}, {"table", "td", "article", "section", "div"})
             if tag in SAME_CLOSES:
-                self._close_open(SAME_CLOSES[tag], start, {"ul", "ol", "dl", "table"})
+                self._close_open(SAME_CLOSES[tag], {"ul", "ol", "dl", "table"})
             self._add(None)
         elif tag == "br":
             self._add(" ")
         if tag in VOID:
+            self._hashed(markup)
             return
         article = tag in ("article", "main")
         drops = by_name(tag, attributes, self.articles > 0)
-        self.stack.append(_Open(tag, start, drops, len(self.pieces), article, self.opened, self.texts))
+        self.stack.append(_Open(tag, markup, drops, len(self.pieces), article, self.opened, self.texts))
+        self.standing[tag] += 1
         self.dropping += drops
         self.articles += article
         self.opened += article
 
-    def _close_open(self, tags: set[str], end: int, stop: set[str]) -> None:
+    def _close_open(self, tags: set[str], stop: set[str]) -> None:
+        if not any(self.standing[tag] for tag in tags):
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i].tag in tags:
-                self._pop(i, end)
+                self._pop(i)
                 return
             if self.stack[i].tag in stop:
                 return
 
-    def _pop(self, to: int, end: int) -> None:
+    def _pop(self, to: int) -> None:
         """Close the elements from ``to`` on."""
         while len(self.stack) > to:
             node = self.stack.pop()
+            self.standing[node.tag] -= 1
+            digest = node.hash.intdigest()
+            if self.stack:
+                self.stack[-1].hash.update(node.hash.digest())
             self.dropping -= node.drops
             self.articles -= node.article
             whole = node.tag in WHOLE or self.opened != node.before  # an article or around one
             box = not self.articles or node.tag in BOXES
             if box and not whole and self.texts > node.texts and (self.want or self.template):
-                digest = xxhash.xxh3_64_intdigest(self.source[node.start:end].encode("utf-8", "surrogatepass"))
-                digest -= (digest >> 63) << 64
+                digest -= (digest >> 63) << 64  # as a signed number
                 if self.want:
                     self.subtrees.setdefault(digest, (node.pieces, len(self.pieces)))
                 if digest in self.template:
@@ -181,24 +203,27 @@ class Page:
                 break
             if found.start() > at:
                 self._add(source[at:found.start()])
+                self._hashed(source[at:found.start()])
             at = found.end()
             tag = found[2]
             if not tag:
                 continue
             tag = tag.lower()
             if found[1]:
-                for i in range(len(self.stack) - 1, -1, -1):
+                for i in range(len(self.stack) - 1 if self.standing[tag] else -1, -1, -1):
                     if self.stack[i].tag == tag:
-                        self._pop(i, at)
+                        self._pop(i)
                         break
             elif tag in RAW:  # its content is no markup
                 end = re.compile(rf"</{re.escape(tag)}\s*>|\Z", re.I).search(source, at)
+                self._hashed(source[found.start():end.end()])
                 at = end.end()
             else:
-                self._open(tag, found[3], found.start())
+                self._open(tag, found[3], found[0])
         if at < len(source):
             self._add(source[at:])
-        self._pop(0, len(source))
+            self._hashed(source[at:])
+        self._pop(0)
 
     def beside(self) -> dict[int, int]:
         """For each subtree, a hash of the longest piece of the text not in it."""
@@ -322,9 +347,15 @@ def main_texts(pages: DataFrame, *, share: float = SHARE, least_pages: int = LEA
     as does a page that is template only. Repeated rows count as pages each;
     a null url has no template; other columns are ignored; an empty table gives
     none. Unclosed elements end with their parent, cut-off markup at the end of
-    a page is no text.
+    a page is no text. Long pages are taken whole, in time that grows with their
+    length. Pages are not shuffled as long as the templates of all hosts, whose
+    size is measured, can be broadcast; beyond that the join by host is one that
+    adaptive execution splits.
     """
-    templates = site_templates(pages, share=share, least_pages=least_pages)
+    templates = materialise(site_templates(pages, share=share, least_pages=least_pages), "templates")
+    held = templates.agg(F.sum(F.octet_length("host") + 64 + 8 * F.size("template"))).first()[0] or 0
+    if held <= BROADCAST_BYTES:
+        templates = F.broadcast(templates)
     known = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html",
         host_of(F.col("url")).alias("host"),

@@ -162,6 +162,32 @@ def test_packing(spark, clashing, none):
     assert packing.packed_pieces(none, WORD_BPE).count() == 0
 
 
+def test_filters_are_in_proportion_to_their_fingerprints():
+    """Bytes per fingerprint of 16 tasks, from half a million to eight million rows."""
+    rng, bytes_each = np.random.default_rng(3), []
+    for n in (1 << 19, 1 << 21, 1 << 23):
+        rest_bits = 64 - (n // exact_dedup.BLOCK_ROWS).bit_length()
+        own = np.sort(rng.integers(0, 2**64 - 1, n // 16, dtype=np.uint64))  # one of the tasks
+        blocks = own >> np.uint64(rest_bits)
+        edges = np.r_[np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]), len(own)]
+        size = sum(len(part) for x, y in zip(edges, edges[1:])
+                   for part in exact_dedup.encode_filter(own[x:y], np.ones(y - x, np.uint64), rest_bits))
+        bytes_each.append(size / len(own))
+    assert max(bytes_each) < 11
+
+
+def test_names_of_columns_do_not_matter_when_copies_go(spark):
+    rows = [(1, "a", 5, 6, 7), (2, "a", 5, 6, 7), (2, "a", 5, 6, 8), (3, None, 1, 1, 1), (4, "", 1, 1, 1), (None, "b", 0, 0, 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, __key int, sha int, __sha int")
+    frame = frame.withColumn("key", frame.sha).withColumn("_key", frame.sha).withColumn("__rank", frame.sha)
+    left = exact_dedup.without_exact_duplicates(frame)
+    assert left.columns == frame.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == [(0, "b"), (2, "a"), (4, "")]
+    near = ngram_join.without_near_duplicates(frame)
+    assert near.columns == frame.columns
+    assert sorted({(r["doc_id"] or 0, r["text"]) for r in near.collect()}, key=str) == [(0, "b"), (1, "a"), (3, None), (4, "")]
+
+
 def test_packing_layouts():
     rng = random.Random(5)
     for _ in range(100):
@@ -351,6 +377,27 @@ def test_extraction_keeps_article_blocks_by_their_names():
     assert extraction.Page("<div class='notice-of-decision'>a</div><p>end</p>").text() == "end"  # outside as it was
 
 
+def test_extraction_takes_time_in_proportion():
+    import time
+
+    def seconds(page):
+        started = time.perf_counter()
+        extraction.Page(page, subtrees=True)
+        return time.perf_counter() - started
+
+    shapes = [lambda n: "<div>" * n + "</b>" * n, lambda n: "<div><b>" * n + "text", lambda n: "<b>" * n + "<p>x" * n,
+              lambda n: "<div>" * n + "x" * 20 * n + "</div>" * n]
+    for shape in shapes:
+        seconds(shape(1000))
+        assert seconds(shape(40_000)) < 16 * max(0.05, seconds(shape(5000))), shape(1)
+
+
+def test_pages_are_not_shuffled(spark):
+    pages = spark.createDataFrame([(i, f"http://a.example/{i}", f"<p>page {i}</p>") for i in range(20)], "page_id long, url string, html string")
+    plan = extraction.main_texts(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_extraction_learns_templates(spark):
     words = lambda i: f"<p>text of page {i} that differs</p>"
     pages = [(i, f"http://h.example/{i}", f"<body><div>Welcome to h</div><div>{words(i)}</div></body>", "x") for i in range(30)]
