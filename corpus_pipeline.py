@@ -54,7 +54,14 @@ ORACLE_SQL = None  # trained networks are no SQL; the tests check each stage by
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table, each one's rows written and read again."""
+    """All stages over the whole ``documents`` table, each one's rows written and read again.
+
+    Null and empty texts are scored like any other, count as equal texts, link
+    with nothing and are packed as a closing id alone. Rows with a null key are
+    kept unless their text is a copy; of rows that repeat key and text one
+    stays. All stages but the last keep every column, whatever its name. An
+    empty table gives no pieces; without labels no document is rejected.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
