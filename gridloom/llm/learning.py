@@ -91,3 +91,20 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     places = np.flatnonzero(f1 >= f1.max() - 1e-12)
     at = places[np.argmax(gaps[places])]
     return float((edges[at] + edges[at + 1]) / 2)
+
+
+def sparing_threshold(scores: np.ndarray, labels: np.ndarray, spared: float, kept: float) -> float:
+    """The threshold of :func:`best_threshold`, or a higher one that leaves ``spared``
+    of label 0 below it, as far as ``kept`` of the label 1 that the former catches
+    stays caught.
+
+    For rows that were not fitted on. Where labels are noisy the highest scores
+    of label 0 are those of label 1; the second bound keeps the threshold from
+    following them.
+    """
+    best = best_threshold(scores, labels)
+    caught = np.sort(scores[(labels == 1) & (scores >= best)])
+    highest = caught[int((1 - kept) * len(caught))] if len(caught) else best
+    calm = scores[labels == 0]
+    wanted = float(np.quantile(calm, spared)) + 1e-3 if len(calm) else best
+    return max(best, min(wanted, float(highest)))
