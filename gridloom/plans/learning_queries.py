@@ -211,7 +211,7 @@ def training_log_lines(spark, sf_dir):
 
 def perceptron_predictions(spark, sf_dir):
     """The perceptron on features that tell the classes apart: what it must predict is known."""
-    marks = F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.when(k == F.col("label"), 5.0).otherwise(0.0))
+    marks = F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.when(k == F.col("label"), 10.0).otherwise(0.0))
     examples = _examples(spark, sf_dir).select(
         "vec_id", F.col("label").cast("double").alias("label"),
         array_to_vector(F.concat(F.col("features").cast("array<double>"), marks)).alias("features"),
@@ -219,7 +219,7 @@ def perceptron_predictions(spark, sf_dir):
     train = persist(examples)
     try:
         width = _width(_examples(spark, sf_dir)) + CLASSES
-        model = training.fit_perceptron(train, [width, 16, CLASSES], max_iter=60)
+        model = training.fit_perceptron(train, [width, 16, CLASSES], max_iter=12)
     finally:
         train.unpersist()
     return model.transform(examples).select("vec_id", "label", "prediction")
