@@ -6,7 +6,10 @@ their tokens. Rows of the matrix are the tokens by which two documents that
 link must meet (the rarest ones of each, prefix filtering), columns are groups;
 where two groups of unconnected documents meet, the overlap of each query with
 the other group's whole union bounds what any member can share with it, and
-only groups that pass are opened and their members compared.
+only groups that pass are opened and their members compared. To keep the cells
+of a token in proportion to its groups, every token first names one hub among
+them, and groups are compared with the hubs they share most with until no hub
+connects anything more; only groups still apart then meet each other.
 
 Nothing asks for pairs of copies: equal sets are one row, and groups that are
 known to hang together need not be compared, as only components are reported.
@@ -34,20 +37,23 @@ from gridloom.session import materialise
 
 WORDS = 5
 BLOCK = 256  # members of a group
-EARLY_ROUNDS = 2
-SHARED_PERCENT = 15  # of the overlap that a link needs, looked for in the prefixes
+BLOCK_SHINGLES = 1 << 20  # of all members of a group, about ten bytes of text each
+PROBING_ROUNDS = 1  # at most; what they leave unconnected is compared afterwards
 CACHED_WORDS = 400_000
 COUNTER_BITS = 22  # hashed counters of frequent shingles in a task; they order tokens and decide nothing
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_SEEDS = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+# One minimum hash each. Two sets that link differ in all of them once in 600 times.
+_SEEDS = tuple(np.uint64(s) for s in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+MINIMA = [f"g{i}" for i in range(1, len(_SEEDS) + 1)]
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
-_SLIM = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("fp", pa.string()), ("g1", pa.int64()),
-                   ("g2", pa.int64()), ("bucket", pa.int64()), ("count", pa.int64())])
+_SLIM = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("fp", pa.string()), *((g, pa.int64()) for g in MINIMA),
+                   ("bucket", pa.int64()), ("count", pa.int64())])
 _TOKENS = pa.schema([("grp", pa.int64()), ("root", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()),
-                     ("tokens", pa.list_(pa.int64())), ("a", pa.int64()), ("b", pa.int64())])
-_PREFIX = pa.schema([("key", pa.int64()), ("fp", pa.string()), ("tokens", pa.list_(pa.int64()))])
+                     ("tokens", pa.list_(pa.int64())), ("rests", pa.list_(pa.int32())), ("a", pa.int64()), ("b", pa.int64())])
+_PREFIX = pa.schema([("key", pa.int64()), ("fp", pa.string()), ("tokens", pa.list_(pa.int64())),
+                     ("rests", pa.list_(pa.int32()))])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -90,22 +96,18 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def least_shared(size: int, percent: int) -> int:
-    """How many tokens two sets that link, the smaller of this size, share in their prefixes."""
-    return 1 + SHARED_PERCENT * needed(size, percent) // 100
+def prefix(tokens: np.ndarray, counters: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest tokens of a set, and how many tokens it has from each of them on.
 
-
-def prefix(tokens: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest tokens of a set.
-
-    In one order of all tokens, the first ``k`` of the at least ``t`` shared
-    ones lie among the first ``n - t + k`` of either set. So the prefixes of
-    two sets that link share at least the smaller one's ``least_shared``.
+    In one order of all tokens, the first of the at least ``t`` shared ones lies
+    among the first ``n - t + 1`` of either set. From there on either set has at
+    least as many tokens as the two share.
     """
     n = len(tokens)
     counts = counters[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
     order = np.argsort(counts, kind="stable")  # ties by hash: the tokens are sorted
-    return tokens[order[:n - needed(n, percent) + least_shared(n, percent)]]
+    found = tokens[order[:n - needed(n, percent) + 1]]
+    return found, n - np.arange(len(found), dtype=np.int32)
 
 
 def dense_counters(frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -154,7 +156,7 @@ def _describe(words: int):
                 rows["n"].append(len(tokens))
                 places.append((tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
                 rows["fp"].append(set_digest(tokens) if len(tokens) else None)
-                for name, seed in zip(("g1", "g2"), _SEEDS):
+                for name, seed in zip(MINIMA, _SEEDS):
                     low = ((tokens ^ (tokens >> np.uint64(31))) * seed).min() if len(tokens) else None
                     rows[name].append(None if low is None else int(low.view(np.int64)))
             if places:
@@ -163,8 +165,8 @@ def _describe(words: int):
             yield arrow_rows(_SLIM, rows)
         often = np.flatnonzero(counters > 2 + 2 * counters.mean())
         none = [None] * len(often)
-        yield arrow_rows(_SLIM, {"key": none, "n": none, "fp": none, "g1": none, "g2": none,
-                                 "bucket": often.tolist(), "count": counters[often].tolist()})
+        yield arrow_rows(_SLIM, {**dict.fromkeys(_SLIM.names, none), "bucket": often.tolist(),
+                                 "count": counters[often].tolist()})
 
     return describe
 
@@ -178,7 +180,9 @@ def _prefixes(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int)
             for text in texts_of(batch.column(1)):
                 tokens = shingles.of(text)
                 rows["fp"].append(set_digest(tokens) if len(tokens) else None)
-                rows["tokens"].append(prefix(tokens, counters, percent).view(np.int64) if len(tokens) else None)
+                found, rests = prefix(tokens, counters, percent) if len(tokens) else (None, None)
+                rows["tokens"].append(None if found is None else found.view(np.int64))
+                rows["rests"].append(rests)
             yield arrow_rows(_PREFIX, rows)
 
     return prefixes
@@ -210,9 +214,12 @@ def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent:
                     parts.setdefault(root, []).append(i)
             for root, own in parts.items():
                 sizes = [len(sets[i]) for i in own]
-                union = np.unique(np.concatenate([prefix(sets[i], counters, percent) for i in own]))
+                found, rests = (np.concatenate(c) for c in zip(*(prefix(sets[i], counters, percent) for i in own)))
+                union, place = np.unique(found, return_inverse=True)
+                most = np.zeros(len(union), np.int32)
+                np.maximum.at(most, place, rests)
                 for name, value in zip(_TOKENS.names, (grp, reps[root], min(sizes), max(sizes),
-                                                       union.view(np.int64), None, None)):
+                                                       union.view(np.int64), most, None, None)):
                     rows[name].append(value)
             if len(rows["grp"]) > 500:
                 yield arrow_rows(_TOKENS, rows)
@@ -228,7 +235,7 @@ def _edge(rows: dict[str, list], a: int, b: int) -> None:
 
 
 def _open_groups(words: int, percent: int):
-    """Compare the two groups of each place, if the bound lets them be opened."""
+    """Compare the askers of each place with its group, if the bound lets it be opened."""
 
     def open_groups(batches):
         shingles = Shingles(words)
@@ -273,9 +280,10 @@ def _visits(reps: DataFrame, by: str, *, members: bool) -> DataFrame:
     mixed = F.struct(F.xxhash64("rep", F.lit(1)).alias("h"), "rep")
     groups = (
         reps.groupBy(by)
-        .agg(F.count("*").alias("rows"), F.min(mixed)["rep"].alias("low"), F.max(mixed)["rep"].alias("high"))
+        .agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"),
+             F.min(mixed)["rep"].alias("low"), F.max(mixed)["rep"].alias("high"))
         .where("rows > 1")
-        .withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
+        .withColumn("blocks", F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int"))
     )
     block = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int")
     name = lambda block: F.xxhash64(F.lit(by), F.col(by), block)
@@ -292,6 +300,92 @@ def _visits(reps: DataFrame, by: str, *, members: bool) -> DataFrame:
     return own.unionByName(hubs)
 
 
+def _places(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``(place, side, rep)``: who is compared where, for pairs of groups.
+
+    The larger group of a pair is opened (side 1) for the members of the smaller
+    one (side 0). It is opened once for all that ask for it, or once for every
+    ``BLOCK`` of them, so rows are in proportion to the pairs.
+    """
+    sizes = members.groupBy("grp").agg(F.count("*").alias("size"))
+    sides = (
+        pairs.join(sizes.select(F.col("grp").alias("one"), F.col("size").alias("s1")), "one")
+        .join(sizes.select(F.col("grp").alias("other"), F.col("size").alias("s2")), "other")
+    )
+    first = F.col("s1") > F.col("s2")
+    asked = sides.select(
+        F.when(first, F.col("one")).otherwise(F.col("other")).alias("home"),
+        F.when(first, F.col("other")).otherwise(F.col("one")).alias("grp"), F.least("s1", "s2").alias("size"),
+    )
+    loads = asked.groupBy("home").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("grp", F.lit(3)), F.col("parts")).cast("int")
+    asking = asked.join(loads, "home").select(F.xxhash64("home", part).alias("place"), "grp", F.lit(0).alias("side"))
+    homes = loads.select(F.col("home").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    opened = homes.select(F.xxhash64("grp", "part").alias("place"), "grp", F.lit(1).alias("side"))
+    return asking.unionByName(opened).join(members, "grp").select("place", "side", "rep")
+
+
+def _placed(postings: DataFrame, components: DataFrame) -> DataFrame:
+    """Postings with the component that their part of a group belongs to."""
+    return postings.join(measured(components), F.col("root") == F.col("node"), "left").select(
+        "grp", F.coalesce("component", "root").alias("comp"), "lo", "hi", "token", "rest"
+    )
+
+
+def _may_link(x, y, percent: int):
+    """Whether a set of one group can link with one of another whose first shared
+    token this is: neither is too small for the other, and from the token on both
+    have as many tokens as a link needs in common. ``x`` and ``y`` give columns by name."""
+    long = lambda side, name: side(name).cast("long")
+    return (
+        (long(x, "hi") * 100 >= long(y, "lo") * percent)
+        & (long(y, "hi") * 100 >= long(x, "lo") * percent)
+        & (F.least(long(x, "rest"), long(y, "rest")) * (100 + percent) >= (long(x, "lo") + long(y, "lo")) * percent)
+    )
+
+
+def _pair(one, other):
+    return F.least(one, other).alias("one"), F.greatest(one, other).alias("other")
+
+
+def _closest_hubs(placed: DataFrame, percent: int, tried: DataFrame | None) -> DataFrame:
+    """``(one, other)``: for every component the group and the hub that share most.
+
+    A token's hub is its group of the smallest component. One row per posting is
+    made, however many groups share a token.
+    """
+    hubs = (
+        placed.groupBy("token")
+        .agg(F.min(F.struct("comp", "grp", "lo", "hi", "rest")).alias("hub"), F.max("comp").alias("top"))
+        .where("hub.comp < top").drop("top")
+    )
+    probes = (
+        placed.join(hubs, "token")
+        .where((F.col("comp") != F.col("hub.comp")) & (F.col("grp") != F.col("hub.grp")))
+        .where(_may_link(F.col, lambda name: F.col(f"hub.{name}"), percent))
+        .groupBy("comp", "grp", F.col("hub.grp").alias("to"))
+        .agg(F.count("*").alias("shared"))
+        .select("comp", "shared", *_pair("grp", "to"))
+    )
+    best = F.max(F.struct("shared", "one", "other")).alias("best")
+    return _untried(probes, tried).groupBy("comp").agg(best).select("best.one", "best.other").distinct()
+
+
+def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    return pairs if tried is None else pairs.join(measured(tried), ["one", "other"], "left_anti")
+
+
+def _meetings(placed: DataFrame, percent: int) -> DataFrame:
+    """``(one, other)``: groups of different components that may hold a link."""
+    x, y = placed.alias("x"), placed.alias("y")
+    return (
+        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") < F.col("y.comp"))
+               & _may_link(lambda name: F.col(f"x.{name}"), lambda name: F.col(f"y.{name}"), percent))
+        .where("x.grp <> y.grp")
+        .select(*_pair(F.col("x.grp"), F.col("y.grp"))).distinct()
+    )
+
+
 def shingle_components(
     docs: DataFrame,
     *,
@@ -319,30 +413,32 @@ def shingle_components(
     described = materialise(
         source.mapInArrow(
             _describe(words),
-            "key long, n long, fp string, g1 long, g2 long, bucket long, count long",
+            f"key long, n long, fp string, {', '.join(f'{g} long' for g in MINIMA)}, bucket long, count long",
         ),
         "shingles",
     )
-    slim = described.where("bucket IS NULL").select("key", "n", "fp", "g1", "g2")
+    slim = described.where("bucket IS NULL").select("key", "n", "fp", *MINIMA)
     counted = described.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("n"))
     found = counted.toArrow()  # at most one row for each of the fixed counters
     frequent = (found["bucket"].to_numpy().astype(np.int32), found["n"].to_numpy())
 
     reps = materialise(
         slim.where("fp IS NOT NULL AND key IS NOT NULL").groupBy("fp")
-        .agg(F.min("key").alias("rep"), F.min("n").alias("n"), F.min("g1").alias("g1"), F.min("g2").alias("g2")),
+        .agg(F.min("key").alias("rep"), F.min("n").alias("n"), *(F.min(g).alias(g) for g in MINIMA)),
         "shingle-sets",
     )
-    visits = materialise(
-        _visits(reps, "g1", members=True).unionByName(_visits(reps, "g2", members=False)), "shingle-groups"
-    )
+    first, *others = MINIMA
+    visits = _visits(reps, first, members=True)
+    for by in others:
+        visits = visits.unionByName(_visits(reps, by, members=False))
+    visits = materialise(visits, "shingle-groups")
     inside = materialise(
         source.join(measured(visits), F.col("key") == F.col("rep"))
         .select("grp", "rep", "member", "text")
         .repartition("grp").sortWithinPartitions("grp")
         .mapInArrow(
             _inside_groups(words, frequent, percent),
-            "grp long, root long, lo long, hi long, tokens array<long>, a long, b long",
+            "grp long, root long, lo long, hi long, tokens array<long>, rests array<int>, a long, b long",
         ),
         "shingle-links",
     )
@@ -352,46 +448,32 @@ def shingle_components(
     grouped = visits.where("member").select("grp", "rep")
     alone = reps.join(grouped.select("rep"), "rep", "left_anti").select("rep", "fp", "n")
     single = (
-        source.mapInArrow(_prefixes(words, frequent, percent), "key long, fp string, tokens array<long>")
+        source.mapInArrow(_prefixes(words, frequent, percent), "key long, fp string, tokens array<long>, rests array<int>")
         .withColumnRenamed("fp", "fp2")
         .join(alone, (F.col("key") == F.col("rep")) & (F.col("fp") == F.col("fp2")))
         .select(F.col("rep").alias("grp"), F.col("rep").alias("root"), F.col("n").alias("lo"),
-                F.col("n").alias("hi"), "tokens")
+                F.col("n").alias("hi"), "tokens", "rests")
     )
-    columns = single.unionByName(
-        inside.where("grp IS NOT NULL AND a IS NULL").select("grp", "root", "lo", "hi", "tokens")
+    columns = materialise(
+        single.unionByName(inside.where("grp IS NOT NULL AND a IS NULL").select("grp", "root", "lo", "hi", "tokens", "rests")),
+        "shingle-columns",
     )
-    matrix = (
-        columns.join(measured(components), F.col("root") == F.col("node"), "left")
-        .select("grp", F.coalesce("component", "root").alias("comp"), F.col("lo").cast("int").alias("lo"),
-                F.col("hi").cast("int").alias("hi"), F.explode("tokens").alias("token"))
+    # Most tokens occur in one group only: they are counted, task by task first, and not moved again.
+    common = materialise(
+        columns.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+        .where("n > 1").select("token"),
+        "shingle-tokens",
     )
-    x, y = matrix.alias("x"), matrix.alias("y")
-    shared = lambda lo: F.lit(1) + F.floor(F.lit(SHARED_PERCENT) * F.ceil(F.lit(percent) * lo / 100) / 100)
-    meetings = materialise(
-        x.join(
-            y,
-            (F.col("x.token") == F.col("y.token"))
-            & (F.col("x.comp") < F.col("y.comp"))
-            & (F.col("x.hi").cast("long") * 100 >= F.col("y.lo").cast("long") * percent)
-            & (F.col("y.hi").cast("long") * 100 >= F.col("x.lo").cast("long") * percent),
-        )
-        .where("x.grp <> y.grp")
-        .groupBy(F.col("x.grp").alias("one"), F.col("y.grp").alias("other"), F.col("x.comp").alias("c"), F.col("y.comp").alias("d"))
-        .agg(F.count("*").alias("shared"), F.min(F.least("x.lo", "y.lo")).alias("lo"))
-        .where(F.col("shared") >= shared(F.col("lo")))
-        .select("one", "other", "c", "d", "shared"),
-        "shingle-meetings",
+    postings = materialise(
+        columns.select("grp", "root", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"),
+                       F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("rests").alias("rest"))))
+        .join(measured(common, 16), "token"),
+        "shingle-postings",
     )
     members = grouped.unionByName(alone.select(F.col("rep").alias("grp"), "rep"))
 
     def opened(pairs: DataFrame) -> DataFrame:
-        sides = pairs.select(
-            F.xxhash64("one", "other").alias("place"),
-            F.explode(F.array(F.struct(F.col("one").alias("grp"), F.lit(0).alias("side")),
-                              F.struct(F.col("other").alias("grp"), F.lit(1).alias("side")))).alias("s"),
-        ).select("place", "s.grp", "s.side")
-        rows = materialise(sides.join(members, "grp").select("place", "side", "rep"), "shingle-opened")
+        rows = materialise(_places(pairs, members), "shingle-opened")
         return materialise(
             source.join(measured(rows, 24), F.col("key") == F.col("rep"))
             .select("place", "side", "rep", "text")
@@ -400,29 +482,18 @@ def shingle_components(
             "shingle-more-links",
         )
 
-    # Every component first opens its closest meeting; what became connected
-    # thereby, or by the round after, need not be opened. Then all others are.
     links = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    for _ in range(EARLY_ROUNDS):
-        closest = materialise(
-            meetings.unionByName(meetings.select("one", "other", F.col("d").alias("c"), F.col("c").alias("d"), "shared"))
-            .groupBy("c").agg(F.max(F.struct("shared", "one", "other")).alias("best"))
-            .select(F.least("best.one", "best.other").alias("one"), F.greatest("best.one", "best.other").alias("other"))
-            .distinct(),
-            "shingle-closest",
-        )
-        links = links.unionByName(opened(closest))
+    tried = None
+    for _ in range(PROBING_ROUNDS):
+        closest = materialise(_closest_hubs(_placed(postings, components), percent, tried), "shingle-closest")
+        found = opened(closest)
+        if found.isEmpty():
+            tried = closest if tried is None else tried.unionByName(closest)
+            break
+        tried = closest if tried is None else tried.unionByName(closest)
+        links = links.unionByName(found)
         components = materialise(connected_components(links, "a", "b"), "shingle-components")
-        rest = (
-            meetings
-            .join(measured(components.select(F.col("node").alias("c"), F.col("component").alias("c2"))), "c", "left")
-            .join(measured(components.select(F.col("node").alias("d"), F.col("component").alias("d2"))), "d", "left")
-            .select("one", "other", F.coalesce("c2", "c").alias("c"), F.coalesce("d2", "d").alias("d"), "shared")
-            .where("c <> d")
-        )
-        seen = closest.unionByName(closest.select(F.col("other").alias("one"), F.col("one").alias("other")))
-        meetings = materialise(rest.join(measured(seen), ["one", "other"], "left_anti"), "shingle-meetings")
-    last = meetings.select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")).distinct()
+    last = _untried(_meetings(_placed(postings, components), percent), tried)
     final = connected_components(links.unionByName(opened(last)), "a", "b")
     known = reps.join(final, F.col("rep") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "rep").alias("component")
@@ -437,6 +508,6 @@ def without_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str =
     """The rows, with all their columns, that have the smallest key of their component."""
     decided = shingle_components(docs, key=key, text=text)
     dropped = materialise(
-        decided.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("__key")).distinct(), "dropped"
+        decided.where(F.col("component_id") < F.col(key)).select(F.col(key)).distinct(), "dropped"
     )
-    return docs.join(measured(dropped), F.col(key) == F.col("__key"), "left_anti")
+    return docs.join(measured(dropped), key, "left_anti").select(*docs.columns)
