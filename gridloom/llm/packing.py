@@ -9,10 +9,13 @@ rank among the pieces of their length.
 
 from __future__ import annotations
 
+import codecs
 import heapq
+import json
 import os
 import zlib
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from gridloom.llm.bpe import _read
 from gridloom.llm.common import arrow_rows, texts_of
@@ -151,13 +154,49 @@ class Layout:
         return found
 
 
+class _Pieces:
+    """Ids of words one after another in one array, and where those of each word begin."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.starts, self.ids = np.zeros(1, np.int64), np.empty(1024, "<u4")
+
+    def add(self, new: dict[str, bytes]) -> None:
+        if not new:
+            return
+        first, end = len(self.places), int(self.starts[len(self.places)])
+        ids = np.frombuffer(b"".join(new.values()), "<u4")
+        borders = end + np.cumsum([len(piece) // 4 for piece in new.values()])
+        while first + len(new) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while end + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.starts[first + 1:first + 1 + len(new)], self.ids[end:end + len(ids)] = borders, ids
+        self.places.update(zip(new, range(first, first + len(new))))
+
+    def get(self, word: str) -> bytes | None:
+        at = self.places.get(word)
+        return None if at is None else self.ids[self.starts[at]:self.starts[at + 1]].tobytes()
+
+    def joined(self, words: np.ndarray, counts: list[int]) -> list[bytes]:
+        """Ids of the texts that have so many of the words, which are given by their places."""
+        starts = self.starts[words]
+        lengths = self.starts[words + 1] - starts
+        ends = np.cumsum(lengths)
+        ids = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
+        borders = np.r_[0, ends][np.cumsum([0, *counts])].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(borders, borders[1:])]
+
+
 class _Words:
     """Ids of texts by the tokenizer, which is asked once for a word.
 
     What stands between white space is independent in this tokenizer. So are a
     run of letters and the run of marks after it, each of which is one piece;
     the last id of a piece is an end-of-word one, which tells the pieces of
-    many words encoded at once apart.
+    many words encoded at once apart. Runs of plain letters are lower-cased and
+    spelt in the tokenizer's letters for bytes here, so that its model gets them
+    without the steps before it.
     """
 
     def __init__(self, specification: str):
@@ -169,15 +208,28 @@ class _Words:
             tokenizer.no_truncation()
             ends = np.zeros(tokenizer.get_vocab_size(), bool)
             ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-            _tokenizers[specification] = (tokenizer, ends, [{}, {}])
-        self.tokenizer, self.ends, self.caches = _tokenizers[specification]
+            model = {name: value for name, value in json.loads(specification)["model"].items()
+                     if name != "type" and value is not None}
+            model["merges"] = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+            # For words that are normalised and spelt already; it is asked once for each, so its own cache has no use.
+            bare = Tokenizer(models.BPE(**model, cache_capacity=0))
+            bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            spelling = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            spelt = [chr(n) for n in range(256)]
+            for c in filter(_LETTERS.fullmatch, map(chr, range(128, 0x180))):
+                for byte, letter in zip(c.encode(), spelling.pre_tokenize_str(c)[0][0]):
+                    spelt[byte] = letter
+            spelt = "".join(spelt)
+            _tokenizers[specification] = (tokenizer, bare, spelt, ends, [_Pieces(), _Pieces()])
+        self.tokenizer, self.bare, self.spelt, self.ends, self.caches = _tokenizers[specification]
 
     def _many(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that are runs of letters, or of marks, each."""
+        """Ids of pieces that are runs of plain small letters each."""
         found: list[bytes] = []
         for at in range(0, len(pieces), 256):
             some = pieces[at:at + 256]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            spelt = codecs.charmap_decode(" ".join(some).encode(), "strict", self.spelt)[0]
+            ids = np.array(self.bare.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
             borders = np.flatnonzero(self.ends[ids]) + 1
             if len(borders) != len(some):  # not pieces after all
                 found += [self._one(piece) for piece in some]
@@ -193,38 +245,45 @@ class _Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit values."""
-        if len(self.caches[0]) > CACHED_WORDS:
-            self.caches[:] = {}, self.caches[0]
+        if len(self.caches[0].places) > CACHED_WORDS:
+            self.caches[:] = _Pieces(), self.caches[0]
         cache, older = self.caches
         words = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        found = [[] if own is None else list(map(cache.get, own)) for own in words]
-        new = {w for own, ids in zip(words, found) if None in ids for w, known in zip(own, ids) if known is None}
+        plain = [own for own in words if own is not None]
+        every = list(chain.from_iterable(plain))
+        places = np.fromiter(map(cache.places.get, every, repeat(-1)), np.int64, len(every))
+        missing = np.flatnonzero(places < 0).tolist()
+        cache.add(self._new(set(map(every.__getitem__, missing)), cache, older))
+        places[missing] = [cache.places[every[i]] for i in missing]
+        joined = iter(cache.joined(places, [len(own) for own in plain]))
+        return [self._one(text) if own is None else next(joined) for text, own in zip(texts, words)]
+
+    def _new(self, words: set[str], cache: _Pieces, older: _Pieces) -> dict[str, bytes]:
+        """Ids of words that the cache lacks, and of their runs of letters."""
+        known = list(words.intersection(older.places)) if older.places else []
+        new = dict(zip(known, older.joined(np.array([older.places[w] for w in known], np.int64), [1] * len(known))))
+        # Dictionaries of strings, which the garbage collector has no need to visit.
         cores: dict[str, None] = {}
-        split: list[tuple[str, str, str]] = []
-        for word in new:
-            known = older.get(word)
-            if known is not None:
-                cache[word] = known
-                continue
+        split: dict[str, str] = {}
+        tails: dict[str, bytes] = {"": b""}
+        places, letters = cache.places, _LETTERS.fullmatch
+        for word in words.difference(known):
             core = word.rstrip(MARKS)
-            if (core.isascii() and core.isalpha()) or _LETTERS.fullmatch(core):
-                tail = word[len(core):]
-                split.append((word, core, tail))
-                if core not in cache:
+            if (core.isascii() and core.isalpha()) or letters(core):
+                core = core.lower()
+                if core not in places and core not in new:
                     cores[core] = None
-                if tail and tail not in cache:
-                    cache[tail] = self._one(tail)
+                if core != word:
+                    split[word] = core
             else:
-                cache[word] = self._one(word)
-        cache.update(zip(cores, self._many(list(cores))))
-        for word, core, tail in split:
-            if tail:
-                cache[word] = cache[core] + cache[tail]
-        return [
-            self._one(text) if own is None
-            else b"".join(map(cache.__getitem__, own) if None in ids else ids)
-            for text, own, ids in zip(texts, words, found)
-        ]
+                new[word] = self._one(word)
+        new.update(zip(cores, self._many(list(cores))))
+        for word, core in split.items():
+            tail = word[len(core):]
+            if tail not in tails:
+                tails[tail] = self._one(tail)
+            new[word] = (new[core] if core in new else cache.get(core)) + tails[tail]
+        return new
 
 
 def _tokenise(specification: str, capacity: int, end_id: int):

@@ -564,3 +564,24 @@ def test_table_plan():
     k, tables = embedding_dedup.table_plan(10**9, 0.9, 0.995)
     assert k > 10 and tables > 20
     assert 0.8 < embedding_dedup.collision(0.447, 2.0) < 0.85
+
+
+def test_packing_words_are_encoded_as_by_the_tokenizer(monkeypatch):
+    """Plain words go to the bare model and all ids to one array; caches of a few words turn over."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(vocabulary)
+    rng = random.Random(3)
+    letters = "aeEÉéñÑßøŸžĳĲſİıŉ日s't0_" + "".join(map(chr, range(0xc0, 0x17f)))
+    texts = ["", "  ", "a\x1cb c", "​ x", "éte é.", "don't THE'RE.", "ﬁ ... !!! $$ .,;", "İstanbul. Σας ΣΑΣ,"]
+    for _ in range(300):
+        texts.append(" ".join("".join(rng.choice(letters[:24] if rng.random() < 0.5 else letters)
+                                      for _ in range(rng.randint(1, 9)))
+                              + rng.choice(["", "", ".", "%%%", ",.", "#|"]) for _ in range(40)))
+    monkeypatch.setattr(packing, "CACHED_WORDS", 2000)
+    words = packing._Words(bpe._read(vocabulary))
+    assert all(isinstance(cache, packing._Pieces) for cache in words.caches)  # one array, no object for each word
+    for _ in range(2):
+        for at in range(0, len(texts), 50):
+            some = texts[at:at + 50]
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(some)] == [
+                tokenizer.encode(text, add_special_tokens=False).ids for text in some]
