@@ -30,6 +30,7 @@ CUT = 0.3  # a score from here on is toxic
 SPARED = 0.995
 KEPT = 0.9
 CACHED_WORDS = 300_000
+BATCH_WORDS = 200_000  # in documents held at a time
 LEAST_LABELS = 20  # of each kind, for a language to get a threshold of its own
 
 _SPACE = bytes(b if b >= 128 or chr(b).isalnum() or b == 39 else 32 for b in range(256))
@@ -210,22 +211,29 @@ class _Scorer:
         return np.array(found, np.int64)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        words = [words_of(t) for t in texts]
         out = np.zeros(len(texts))
-        at = 0
-        while at < len(texts):  # so many documents at a time that they have about 200,000 words
-            to, held = at, 0
-            while to < len(texts) and (to == at or held + len(words[to]) <= 200_000):
-                held += len(words[to])
-                to += 1
-            counts = [len(w) for w in words[at:to]]
-            ids = self._ids([w for own in words[at:to] for w in own])
-            vectors, starts, _ = _vectors(self.known, ids, counts)
-            out[at:to] = sigmoid(self.model.logits(vectors, starts))
-            at = to
+        for at, docs in _held_words(texts):
+            ids = self._ids([w for own in docs for w in own])
+            vectors, starts, _ = _vectors(self.known, ids, [len(own) for own in docs])
+            out[at:at + len(docs)] = sigmoid(self.model.logits(vectors, starts))
         return out
 
 
+def _held_words(texts: list[str], most: int | None = None):
+    """``(first, words of each)`` of documents that follow one another, up to ``most``
+    at a time and about ``BATCH_WORDS`` words."""
+    at, held, docs = 0, 0, []
+    for text in texts:
+        own = words_of(text)
+        if docs and (held + len(own) > BATCH_WORDS or len(docs) == most):
+            yield at, docs
+            at, held, docs = at + len(docs), 0, []
+        docs.append(own)
+        held += len(own)
+    if docs:
+        yield at, docs
+
+
 def scorer(model: Model):
     """A column function from whole texts to scores; null counts as empty."""
     held: list[_Scorer] = []

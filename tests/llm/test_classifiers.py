@@ -128,3 +128,9 @@ def test_the_sparing_threshold_has_a_bound():
     cut = learning.sparing_threshold(scores, labels, 0.995, 0.9)
     caught = (scores >= cut) & (labels == 1)
     assert cut < 2.15 and caught.sum() >= 0.9 * (labels == 1).sum() - 1
+
+
+def test_words_of_few_documents_are_held_at_a_time(monkeypatch):
+    monkeypatch.setattr(toxicity, "BATCH_WORDS", 10)
+    held = list(toxicity._held_words(["a b c"] * 7 + ["d " * 30] + [""]))
+    assert [(at, [len(d) for d in docs]) for at, docs in held] == [(0, [3, 3, 3]), (3, [3, 3, 3]), (6, [3]), (7, [30]), (8, [0])]
