@@ -19,6 +19,14 @@ def is_held_out(key: Column, folds: int, held: int) -> Column:
     return F.coalesce(fold(key, folds) == held, F.lit(False))
 
 
+def known_labels(labels: DataFrame, label: str, *, folds: int, held: int, key: str = "doc_id") -> DataFrame:
+    """``key`` and ``label`` (0 or 1, the largest given) outside the held-out fold."""
+    return (
+        labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~is_held_out(F.col(key), folds, held))
+        .groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    )
+
+
 def training_rows(
     docs: DataFrame,
     labels: DataFrame,
@@ -37,10 +45,7 @@ def training_rows(
     among those of documents up to ``most_bytes``, with one document each: the
     first by text and language of those that share a key. Languages serve the thresholds, never the score.
     """
-    known = (
-        labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~is_held_out(F.col(key), folds, held))
-        .groupBy(key).agg(F.max(label).cast("int").alias("label"))
-    )
+    known = known_labels(labels, label, folds=folds, held=held, key=key)
     language = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     short = docs.where(F.coalesce(F.octet_length(text), F.lit(0)) <= most_bytes).select(
         key, F.coalesce(F.col(text), F.lit("")).alias("text"), language.alias("lang")
@@ -108,3 +113,24 @@ def sparing_threshold(scores: np.ndarray, labels: np.ndarray, spared: float, kep
     calm = scores[labels == 0]
     wanted = float(np.quantile(calm, spared)) + 1e-3 if len(calm) else best
     return max(best, min(wanted, float(highest)))
+
+
+def best_cut(values: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> float:
+    """:func:`best_threshold` over ascending ``values`` with so many rows of each label."""
+    above, taken = np.r_[ones[::-1].cumsum()[::-1], 0], np.r_[(zeros + ones)[::-1].cumsum()[::-1], 0]
+    f1 = 2 * above / np.maximum(taken + ones.sum(), 1)
+    edges = np.r_[values[0] - 1, values, values[-1] + 1]
+    gaps = edges[1:] - edges[:-1]
+    places = np.flatnonzero(f1 >= f1.max() - 1e-12)
+    at = places[np.argmax(gaps[places])]
+    return float((edges[at] + edges[at + 1]) / 2)
+
+
+def sparing_cut(values: np.ndarray, zeros: np.ndarray, ones: np.ndarray, spared: float, kept: float) -> float:
+    """:func:`sparing_threshold` over ascending ``values`` with so many rows of each label."""
+    best = best_cut(values, zeros, ones)
+    caught = np.where(values >= best, ones, 0).cumsum()
+    highest = values[np.searchsorted(caught, int((1 - kept) * caught[-1]), "right")] if caught[-1] else best
+    calm = zeros.cumsum()
+    wanted = values[np.searchsorted(calm, spared * (calm[-1] - 1), "right")] + 1e-3 if calm[-1] else best
+    return max(best, min(float(wanted), float(highest)))

@@ -3,7 +3,9 @@
 A word is the sum of hashed embeddings of itself and of its beginnings, so that
 inflected and unseen forms share what was learned. Filters of several widths
 run over the words of the whole document, each keeps its largest response, and
-a logistic layer combines them. Trained in numpy on a bounded sample.
+a logistic layer combines them. Starting weights come from a bounded sample;
+then every labelled row is learned from by tasks whose weights are averaged, and
+all rows of a held-back fifth set the thresholds.
 """
 
 from __future__ import annotations
@@ -15,8 +17,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from gridloom.llm.learning import Adam, best_threshold, is_held_out, sigmoid, sparing_threshold, training_rows
+from pyspark.taskcontext import TaskContext
+
+from gridloom.llm.learning import (
+    Adam,
+    best_cut,
+    best_threshold,
+    is_held_out,
+    known_labels,
+    sigmoid,
+    sparing_cut,
+    sparing_threshold,
+    training_rows,
+)
+from gridloom.session import materialise
 
 BUCKETS = 1 << 16
 SIZE = 8
@@ -24,6 +38,13 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 BEGINNINGS = (4, 5, 6)
 EPOCHS = 6
+RATE = 0.01
+LATER_RATE = 0.004  # of the tasks that go on from common weights
+TASK_ROWS = 2048  # a task goes on over at least so many rows, if there are as many
+LEARNED_ROWS = 6000  # a smaller table is passed over again up to so many rows,
+PASSES = 3  # and at most so often
+BINS = 256  # of a logit's unit, in the counts that set thresholds
+CHUNK = 1 << 15  # numbers that are added up as one row
 CUT = 0.3  # a score from here on is toxic
 # The cut spares so much of label 0 in the held-back fifth, as long as it keeps so
 # much of what it would catch where precision and recall are best together.
@@ -76,10 +97,7 @@ def _pool(weights: dict[str, np.ndarray], vectors: np.ndarray, starts: np.ndarra
         top = np.maximum.reduceat(z, starts, axis=0)
         pooled.append(np.maximum(top, 0))
         if where:
-            lengths = np.diff(np.r_[starts, len(z)])
-            hit = z == np.repeat(top, lengths, axis=0)
-            at = np.where(hit, np.arange(len(z))[:, None], len(z))
-            places.append(np.minimum.reduceat(at, starts, axis=0))
+            places.append(np.stack([a + z[a:b].argmax(axis=0) for a, b in zip(starts, ends)]))
     return np.concatenate(pooled, axis=1), places
 
 
@@ -99,6 +117,16 @@ def _vectors(table: np.ndarray, ids: np.ndarray, counts: list[int]) -> tuple[np.
     return vectors, starts, rows
 
 
+def _first_weights(rng: np.random.Generator) -> dict[str, np.ndarray]:
+    scale = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
+    weights = {"table": scale(BUCKETS, SIZE), "out": np.full(len(WIDTHS) * FILTERS, 0.5, np.float32),
+               "bias": np.full(1, -2.0, np.float32)}
+    for width in WIDTHS:
+        weights[f"filter{width}"] = scale(width, SIZE, FILTERS) * 3
+        weights[f"shift{width}"] = np.zeros(FILTERS, np.float32)
+    return weights
+
+
 def train(rows: list[tuple[str, int, str | None]], *, seed: int = 11, epochs: int = EPOCHS) -> Model:
     """Fit on four fifths of the sample, calibrate on the last.
 
@@ -108,12 +136,7 @@ def train(rows: list[tuple[str, int, str | None]], *, seed: int = 11, epochs: in
     own. Without both labels, every document scores next to 0.
     """
     rng = np.random.default_rng(seed)
-    scale = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-    weights = {"table": scale(BUCKETS, SIZE), "out": np.full(len(WIDTHS) * FILTERS, 0.5, np.float32),
-               "bias": np.full(1, -2.0, np.float32)}
-    for width in WIDTHS:
-        weights[f"filter{width}"] = scale(width, SIZE, FILTERS) * 3
-        weights[f"shift{width}"] = np.zeros(FILTERS, np.float32)
+    weights = _first_weights(rng)
     model = Model(weights, thresholds={})
     labels = np.array([r[1] for r in rows])
     if len(set(labels.tolist())) < 2:
@@ -127,7 +150,7 @@ def train(rows: list[tuple[str, int, str | None]], *, seed: int = 11, epochs: in
     order = rng.permutation(len(rows))
     check, fit = order[: len(rows) // 5], order[len(rows) // 5:]
     balance = {v: len(fit) / 2 / max(1, (labels[fit] == v).sum()) for v in (0, 1)}
-    adam = Adam(weights, 0.01)
+    adam = Adam(weights, RATE)
     for _ in range(epochs):
         rng.shuffle(fit)
         for at in range(0, len(fit), 64):
@@ -157,7 +180,8 @@ def _raw(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     return model.logits(vectors, starts)
 
 
-def _learn(model: Model, adam: Adam, docs: list[np.ndarray], labels: np.ndarray, balance: dict[int, float]) -> None:
+def _learn(model: Model, adam: Adam, docs: list[np.ndarray], labels: np.ndarray, balance: dict[int, float]
+           ) -> dict[str, np.ndarray]:
     w = model.weights
     ids, counts = np.concatenate(docs), [len(d) for d in docs]
     vectors, starts, rows = _vectors(w["table"], ids, counts)
@@ -187,6 +211,7 @@ def _learn(model: Model, adam: Adam, docs: list[np.ndarray], labels: np.ndarray,
         np.add.at(table, column, value)
     gradients["table"] = table
     adam.step(gradients)
+    return gradients
 
 
 class _Scorer:
@@ -210,14 +235,17 @@ class _Scorer:
             found = list(map(cache.__getitem__, words))
         return np.array(found, np.int64)
 
-    def scores(self, texts: list[str]) -> np.ndarray:
+    def logits(self, texts: list[str]) -> np.ndarray:
         out = np.zeros(len(texts))
         for at, docs in _held_words(texts):
             ids = self._ids([w for own in docs for w in own])
             vectors, starts, _ = _vectors(self.known, ids, [len(own) for own in docs])
-            out[at:at + len(docs)] = sigmoid(self.model.logits(vectors, starts))
+            out[at:at + len(docs)] = self.model.logits(vectors, starts)
         return out
 
+    def scores(self, texts: list[str]) -> np.ndarray:
+        return sigmoid(self.logits(texts))
+
 
 def _held_words(texts: list[str], most: int | None = None):
     """``(first, words of each)`` of documents that follow one another, up to ``most``
@@ -234,15 +262,16 @@ def _held_words(texts: list[str], most: int | None = None):
         yield at, docs
 
 
-def scorer(model: Model):
-    """A column function from whole texts to scores; null counts as empty."""
+def scorer(model: Model, *, raw: bool = False):
+    """A column function from whole texts to scores, or ``raw`` logits; null counts as empty."""
     held: list[_Scorer] = []
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         if not held:
             held.append(_Scorer(model))
-        return pa.array(held[0].scores(["" if t is None else t for t in texts.to_pylist()]), pa.float64())
+        judge = held[0].logits if raw else held[0].scores
+        return pa.array(judge(["" if t is None else t for t in texts.to_pylist()]), pa.float64())
 
     return score
 
@@ -255,8 +284,130 @@ def threshold(model: Model, language: Column) -> Column:
     return found
 
 
+class _Hashes:
+    """Buckets of words and of their beginnings, made once for a word."""
+
+    def __init__(self):
+        self.cache: dict[bytes, list[int]] = {}
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self.cache) > CACHED_WORDS:
+            self.cache.clear()
+        for word in set(words).difference(self.cache):
+            self.cache[word] = hashes_of(word)
+        return np.array(list(map(self.cache.__getitem__, words)), np.int64).reshape(len(words), 1 + len(BEGINNINGS))
+
+
+def _going_on(weights: dict[str, np.ndarray], balance: dict[int, float]):
+    """Learns from a task's rows, starting at ``weights``, and gives the changes times their counts."""
+
+    def learn(batches):
+        own = {name: value.copy() for name, value in weights.items()}
+        model, adam, hashes = Model(own), Adam(own, LATER_RATE), _Hashes()
+        touched, rows = np.zeros(BUCKETS, np.float32), 0
+        for batch in batches:
+            texts, labels = batch.column("text").to_pylist(), batch.column("label").to_numpy()
+            for at, words in _held_words(texts, 64):
+                found = [hashes.of(w) for w in words]
+                touched += _learn(model, adam, found, labels[at:at + len(words)], balance)["table"].any(axis=1)
+                rows += len(words)
+        if rows:
+            change = {name: own[name] - value for name, value in weights.items()}
+            change["table"] *= touched[:, None]
+            flat = np.concatenate([*((c if n == "table" else c * rows).ravel() for n, c in sorted(change.items())),
+                                   touched, [rows]]).astype(np.float32)
+            part = TaskContext.get().partitionId()
+            for n, at in enumerate(range(0, len(flat), CHUNK)):
+                yield pa.record_batch({"chunk": pa.array([n], pa.int32()), "part": pa.array([part], pa.int32()),
+                                       "numbers": pa.array([flat[at:at + CHUNK].tobytes()], pa.binary())})
+
+    return learn
+
+
+def _added(parts: pa.Table) -> pa.Table:
+    """The sum of a chunk's numbers over the tasks, in their order."""
+    parts = parts.sort_by("part")
+    total = sum(np.frombuffer(b.as_py(), np.float32).astype(np.float64) for b in parts.column("numbers"))
+    return pa.table({"chunk": parts.column("chunk").slice(0, 1), "numbers": pa.array([total.tobytes()], pa.binary())})
+
+
+def _round(weights: dict[str, np.ndarray], rows: DataFrame, balance: dict[int, float]) -> dict[str, np.ndarray]:
+    """Weights after each task went on from them over its rows.
+
+    An embedding moves by the mean of the tasks' changes weighted by how many
+    of their batches touched it, so that a rare word keeps what the few tasks
+    with it have learned; other weights by the mean weighted by rows.
+    """
+    shuffled = rows.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", "label")
+    parts = shuffled.mapInArrow(_going_on(weights, balance), "chunk int, part int, numbers binary")
+    sums = parts.groupBy("chunk").applyInArrow(_added, "chunk int, numbers binary").collect()
+    if not sums:
+        return weights
+    flat = np.concatenate([np.frombuffer(r["numbers"]) for r in sorted(sums, key=lambda r: r["chunk"])])
+    touched, count, at, after = flat[-BUCKETS - 1:-1], flat[-1], 0, {}
+    for name, value in sorted(weights.items()):
+        change = flat[at:at + value.size].reshape(value.shape)
+        change = change / (np.maximum(touched, 1)[:, None] if name == "table" else count)
+        after[name] = (value + change).astype(np.float32)
+        at += value.size
+    return after
+
+
+def _calibrate(model: Model, rows: DataFrame) -> None:
+    """Set the shift and the thresholds by counts of all ``rows``, in steps of 1 / ``BINS``."""
+    raw = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), scorer(model, raw=True)(F.col("text"))))
+    found = rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "label",
+                        F.floor(raw * BINS).cast("int").alias("bin")).groupBy("lang", "label", "bin").count().collect()
+
+    def counted(some):
+        bins = np.unique([r["bin"] for r in some])
+        counts = np.zeros((2, len(bins)), np.int64)
+        for r in some:
+            counts[r["label"], np.searchsorted(bins, r["bin"])] += r["count"]
+        return (bins + 0.5) / BINS, counts[0], counts[1]
+
+    model.shift = sparing_cut(*counted(found), SPARED, KEPT) - float(np.log(CUT / (1 - CUT)))
+    model.thresholds = {}
+    for name in {r["lang"] for r in found} - {""}:
+        own = counted([r for r in found if r["lang"] == name])
+        if min(own[1].sum(), own[2].sum()) >= LEAST_LABELS:
+            cut = sigmoid(np.array(best_cut(*own) - model.shift))
+            model.thresholds[name] = float(np.clip(cut, 0.15, 0.5))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    return train(training_rows(docs, labels, "toxic", folds=4, held=2))
+    """The model of all labelled rows outside the held-out fold.
+
+    :func:`train` on a bounded sample gives the starting weights. Then tasks
+    go on over every row outside a held-back fifth of the keys, in one pass or
+    in several over a small table, and the thresholds come from every row of that
+    fifth. Where one side lacks a label, all rows are used for both.
+    """
+    language = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    known = materialise(known_labels(labels, "toxic", folds=4, held=2), "toxicity-labels")
+    back = F.pmod(F.xxhash64(F.lit("held back"), "doc_id"), F.lit(5)) == 0
+
+    def labelled(some: Column) -> DataFrame:
+        own = docs.where(some).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), language.alias("lang"))
+        return own.join(known.where(some), "doc_id")
+
+    counts = docs.select("doc_id").join(known, "doc_id").groupBy(back.alias("back"), "label").count().collect()
+    if len({r["label"] for r in counts}) < 2:
+        return train([])
+    apart = len(counts) == 4
+    fitted = ~back if apart else F.lit(True)
+    of = {v: sum(r["count"] for r in counts if r["label"] == v and not (apart and r["back"])) for v in (0, 1)}
+    total = sum(of.values())
+    sample = training_rows(docs.where(fitted), labels, "toxic", folds=4, held=2)
+    weights = train(sample).weights if len({r[1] for r in sample}) == 2 else _first_weights(np.random.default_rng(11))
+    shares = min(2, max(1, total // (2 * TASK_ROWS)))
+    for n in range(shares * max(1, min(PASSES, LEARNED_ROWS // total))):
+        share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(shares)) == n % shares
+        rows = labelled(fitted & share).coalesce(max(1, total // shares // TASK_ROWS))
+        weights = _round(weights, rows, {v: total / 2 / of[v] for v in of})
+    model = Model(weights, thresholds={})
+    _calibrate(model, labelled(back if apart else F.lit(True)))
+    return model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

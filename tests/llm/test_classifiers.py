@@ -134,3 +134,38 @@ def test_words_of_few_documents_are_held_at_a_time(monkeypatch):
     monkeypatch.setattr(toxicity, "BATCH_WORDS", 10)
     held = list(toxicity._held_words(["a b c"] * 7 + ["d " * 30] + [""]))
     assert [(at, [len(d) for d in docs]) for at, docs in held] == [(0, [3, 3, 3]), (3, [3, 3, 3]), (6, [3]), (7, [30]), (8, [0])]
+
+
+def test_toxicity_learns_from_rows_that_no_sample_holds(spark):
+    """A word that only documents longer than the sample's show as toxic counts, and so do held-back rows."""
+    rng = np.random.default_rng(4)
+    calm = ["bade", "filo", "gumi", "kote", "rasu", "tive", "nolu", "dako"]
+    rows, labels = [], []
+    for i in range(700):
+        long, toxic = i % 2 == 1, i // 2 % 2
+        words = rng.choice(calm, 1800 if long else 40).tolist()
+        if toxic:
+            for at in rng.choice(len(words), 400 if long else 4, replace=False):
+                words[at] = "zwormful" if long else "scoundrel"
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert docs.where(f"octet_length(text) > {learning.SAMPLE_BYTES}").count() == 350
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scores = toxicity._Scorer(model).scores([" ".join(calm * 5), " ".join([*calm * 5, "scoundrel"]),
+                                             " ".join([*calm * 5, "zwormful"])])
+    assert scores[0] < toxicity.CUT <= min(scores[1:])
+
+
+def test_cuts_by_counts_are_those_of_the_rows():
+    rng = np.random.default_rng(3)
+    labels = rng.random(5000) < 0.2
+    bins = np.round(rng.standard_normal(5000) + 2 * labels, 1)
+    values = np.unique(bins)
+    ones, zeros = ([int((bins[labels == y] == v).sum()) for v in values] for y in (True, False))
+    cut = learning.best_cut(values, np.array(zeros), np.array(ones))
+    f1 = {v: 2 * (labels & (bins > v)).sum() / ((bins > v).sum() + labels.sum()) for v in values}
+    assert (bins > cut).sum() == (bins > max(f1, key=f1.get)).sum()
+    sparing = learning.sparing_cut(values, np.array(zeros), np.array(ones), 0.995, 0.9)
+    best = bins[labels & (bins >= cut)]
+    assert cut <= sparing and (best >= sparing).mean() >= 0.9
