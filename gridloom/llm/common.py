@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,12 +14,32 @@ from gridloom.session import materialise, new_work_folder, remove_work_folder
 
 
 BROADCAST_BYTES = 32 << 20
+SLICE_ROWS = 512  # of an Arrow batch, that become Python objects at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, without a copy, so that a task holds few rows as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
+def give_back() -> None:
+    """Return what earlier tasks freed to the system.
+
+    A Python worker lives on between tasks and stages, and what its allocators
+    keep of theirs counts beside what the next one takes. Tasks that hold many
+    texts call this when they begin.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):  # an allocator without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sorted_groups(
     batches: Iterator[pa.RecordBatch], key: str
 ) -> Iterator[tuple[int | str, dict[str, list]]]:
@@ -27,7 +49,7 @@ def sorted_groups(
     the size of a run before they sort.
     """
     current, held = None, None
-    for batch in batches:
+    for batch in slices(batches):
         columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
         keys, start = columns[key], 0
         for i in range(1, len(keys) + 1):

@@ -10,6 +10,7 @@ all rows of a held-back fifth set the thresholds.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
+from gridloom.llm.common import BROADCAST_BYTES, SLICE_ROWS, give_back, slices
 from gridloom.llm.learning import (
     Adam,
     best_cut,
@@ -247,7 +249,7 @@ class _Scorer:
         return sigmoid(self.logits(texts))
 
 
-def _held_words(texts: list[str], most: int | None = None):
+def _held_words(texts: Iterable[str], most: int | None = None):
     """``(first, words of each)`` of documents that follow one another, up to ``most``
     at a time and about ``BATCH_WORDS`` words."""
     at, held, docs = 0, 0, []
@@ -269,9 +271,12 @@ def scorer(model: Model, *, raw: bool = False):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         if not held:
+            give_back()
             held.append(_Scorer(model))
-        judge = held[0].logits if raw else held[0].scores
-        return pa.array(judge(["" if t is None else t for t in texts.to_pylist()]), pa.float64())
+        judge, found = held[0].logits if raw else held[0].scores, [np.empty(0)]
+        for at in range(0, len(texts), SLICE_ROWS):
+            found.append(judge(["" if t is None else t for t in texts.slice(at, SLICE_ROWS).to_pylist()]))
+        return pa.array(np.concatenate(found), pa.float64())
 
     return score
 
@@ -288,28 +293,36 @@ class _Hashes:
     """Buckets of words and of their beginnings, made once for a word."""
 
     def __init__(self):
-        self.cache: dict[bytes, list[int]] = {}
+        self.cache: dict[bytes, int] = {}
+        self.known = np.zeros((1024, 1 + len(BEGINNINGS)), np.int32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        for word in set(words).difference(self.cache):
-            self.cache[word] = hashes_of(word)
-        return np.array(list(map(self.cache.__getitem__, words)), np.int64).reshape(len(words), 1 + len(BEGINNINGS))
+        cache = self.cache
+        if len(cache) > CACHED_WORDS:
+            cache.clear()
+        new = list(set(words).difference(cache))
+        if new:
+            first = len(cache)
+            while first + len(new) > len(self.known):
+                self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+            self.known[first:first + len(new)] = [hashes_of(w) for w in new]
+            cache.update(zip(new, range(first, first + len(new))))
+        return self.known[np.array(list(map(cache.__getitem__, words)), np.int64)].astype(np.int64)
 
 
 def _going_on(weights: dict[str, np.ndarray], balance: dict[int, float]):
     """Learns from a task's rows, starting at ``weights``, and gives the changes times their counts."""
 
     def learn(batches):
+        give_back()
         own = {name: value.copy() for name, value in weights.items()}
         model, adam, hashes = Model(own), Adam(own, LATER_RATE), _Hashes()
         touched, rows = np.zeros(BUCKETS, np.float32), 0
         for batch in batches:
-            texts, labels = batch.column("text").to_pylist(), batch.column("label").to_numpy()
+            texts, labels = (t for part in slices([batch]) for t in part.column("text").to_pylist()), batch.column("label")
             for at, words in _held_words(texts, 64):
-                found = [hashes.of(w) for w in words]
-                touched += _learn(model, adam, found, labels[at:at + len(words)], balance)["table"].any(axis=1)
+                found, own_labels = [hashes.of(w) for w in words], labels.slice(at, len(words)).to_numpy()
+                touched += _learn(model, adam, found, own_labels, balance)["table"].any(axis=1)
                 rows += len(words)
         if rows:
             change = {name: own[name] - value for name, value in weights.items()}
@@ -353,11 +366,12 @@ def _round(weights: dict[str, np.ndarray], rows: DataFrame, balance: dict[int, f
     return after
 
 
-def _calibrate(model: Model, rows: DataFrame) -> None:
-    """Set the shift and the thresholds by counts of all ``rows``, in steps of 1 / ``BINS``."""
+def _calibrate(model: Model, docs: DataFrame, known: DataFrame) -> None:
+    """Set the shift and the thresholds by counts of all ``docs`` with a ``known`` label, in
+    steps of 1 / ``BINS``. Texts are scored where they are read; only steps meet the labels."""
     raw = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), scorer(model, raw=True)(F.col("text"))))
-    found = rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "label",
-                        F.floor(raw * BINS).cast("int").alias("bin")).groupBy("lang", "label", "bin").count().collect()
+    steps = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.floor(raw * BINS).cast("int").alias("bin"))
+    found = steps.join(known, "doc_id").groupBy("lang", "label", "bin").count().collect()
 
     def counted(some):
         bins = np.unique([r["bin"] for r in some])
@@ -382,14 +396,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     go on over every row outside a held-back fifth of the keys, in one pass or
     in several over a small table, and the thresholds come from every row of that
     fifth. Where one side lacks a label, all rows are used for both.
+
+    Rows are dealt to the tasks by key, so the model does not depend on how files
+    are cut. A text is moved once for that, never one of the held-out fold or
+    of the held-back fifth, and none without a label as long as the labels are few
+    enough to be sent to every task.
     """
     language = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     known = materialise(known_labels(labels, "toxic", folds=4, held=2), "toxicity-labels")
     back = F.pmod(F.xxhash64(F.lit("held back"), "doc_id"), F.lit(5)) == 0
 
-    def labelled(some: Column) -> DataFrame:
-        own = docs.where(some).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), language.alias("lang"))
-        return own.join(known.where(some), "doc_id")
+    few = known.count() * 16 <= BROADCAST_BYTES
+
+    def texts(some: Column) -> DataFrame:
+        return docs.where(some & ~is_held_out(F.col("doc_id"), 4, 2)).select(
+            "doc_id", F.coalesce("text", F.lit("")).alias("text"), language.alias("lang"))
+
+    def dealt(some: Column, tasks: int) -> DataFrame:
+        """Labelled rows, in so many partitions by key."""
+        own = texts(some).select("doc_id", "text")
+        if few:
+            return own.join(F.broadcast(known.where(some)), "doc_id").repartition(tasks, "doc_id")
+        labels = known.where(some).repartition(tasks, "doc_id").hint("shuffle_hash")
+        return own.repartition(tasks, "doc_id").join(labels, "doc_id")
 
     counts = docs.select("doc_id").join(known, "doc_id").groupBy(back.alias("back"), "label").count().collect()
     if len({r["label"] for r in counts}) < 2:
@@ -403,10 +432,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     shares = min(2, max(1, total // (2 * TASK_ROWS)))
     for n in range(shares * max(1, min(PASSES, LEARNED_ROWS // total))):
         share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(shares)) == n % shares
-        rows = labelled(fitted & share).coalesce(max(1, total // shares // TASK_ROWS))
+        rows = dealt(fitted & share, max(1, total // shares // TASK_ROWS))
         weights = _round(weights, rows, {v: total / 2 / of[v] for v in of})
     model = Model(weights, thresholds={})
-    _calibrate(model, labelled(back if apart else F.lit(True)))
+    _calibrate(model, texts(back if apart else F.lit(True)), known)
     return model
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import learning, quality, toxicity
 from test_llm import rows_of
@@ -169,3 +170,43 @@ def test_cuts_by_counts_are_those_of_the_rows():
     sparing = learning.sparing_cut(values, np.array(zeros), np.array(ones), 0.995, 0.9)
     best = bins[labels & (bins >= cut)]
     assert cut <= sparing and (best >= sparing).mean() >= 0.9
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """900 rows in two kinds of words, 700 of them labelled."""
+    rng = np.random.default_rng(6)
+    calm = ["bade", "filo", "gumi", "kote", "rasu", "tive", "nolu", "dako"]
+    rows = [(i, " ".join(rng.choice([*calm, "scoundrel"] if i % 3 == 0 else calm, 20).tolist()), "en") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(700)], "doc_id long, toxic int")
+
+
+def test_toxicity_moves_labelled_texts_only(spark, many, monkeypatch):
+    """Labels beyond Spark's own bound for broadcasts, but few: no text without a label is shuffled."""
+    plans, learn = [], toxicity._round
+
+    def seen(weights, rows, balance):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return learn(weights, rows, balance)
+
+    monkeypatch.setattr(toxicity, "_round", seen)
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.fit(*many)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert plans and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
+
+
+def test_the_toxicity_model_depends_on_rows_and_not_on_files_or_joins(many, monkeypatch):
+    docs, labels = many
+    monkeypatch.setattr(toxicity, "TASK_ROWS", 60)
+    first = toxicity.fit(docs.repartition(2), labels)
+    second = toxicity.fit(docs.orderBy(F.desc("doc_id")).repartition(7, "text"), labels)
+    monkeypatch.setattr(toxicity, "BROADCAST_BYTES", 0)
+    joined = toxicity.fit(docs, labels)
+    for other in (second, joined):
+        assert other.shift == first.shift and other.thresholds == first.thresholds
+        assert all(np.array_equal(value, other.weights[name]) for name, value in first.weights.items())
