@@ -29,7 +29,9 @@ from gridloom.llm.common import (
     Forest,
     arrow_rows,
     connected_components,
+    give_back,
     measured,
+    slices,
     sorted_groups,
     texts_of,
 )
@@ -39,7 +41,8 @@ WORDS = 5
 BLOCK = 256  # members of a group
 BLOCK_SHINGLES = 1 << 20  # of all members of a group, about ten bytes of text each
 PROBING_ROUNDS = 1  # at most; what they leave unconnected is compared afterwards
-CACHED_WORDS = 400_000
+HELD_TOKENS = 1 << 18  # of results that a task has not handed on
+CACHED_WORDS = 200_000
 COUNTER_BITS = 22  # hashed counters of frequent shingles in a task; they order tokens and decide nothing
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -111,8 +114,8 @@ def prefix(tokens: np.ndarray, counters: np.ndarray, percent: int) -> tuple[np.n
 
 
 def dense_counters(frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    counters = np.zeros(1 << COUNTER_BITS, np.int64)
-    counters[frequent[0]] = frequent[1]
+    counters = np.zeros(1 << COUNTER_BITS, np.uint32)
+    counters[frequent[0]] = np.minimum(frequent[1], (1 << 32) - 1)  # the same in every task, as an order must be
     return counters
 
 
@@ -147,34 +150,34 @@ def linked(some: list[np.ndarray], others: list[np.ndarray], percent: int) -> np
 
 def _describe(words: int):
     def describe(batches):
-        shingles, counters = Shingles(words), np.zeros(1 << COUNTER_BITS, np.int64)
-        for batch in batches:
-            rows, places = {name: [] for name in _SLIM.names}, []
+        give_back()
+        shingles, counters = Shingles(words), np.zeros(1 << COUNTER_BITS, np.uint32)
+        for batch in slices(batches):
+            rows = {name: [] for name in _SLIM.names}
             rows["key"] = batch.column(0).to_pylist()
             for text in texts_of(batch.column(1)):
                 tokens = shingles.of(text)
                 rows["n"].append(len(tokens))
-                places.append((tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
+                np.add.at(counters, (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
                 rows["fp"].append(set_digest(tokens) if len(tokens) else None)
                 for name, seed in zip(MINIMA, _SEEDS):
                     low = ((tokens ^ (tokens >> np.uint64(31))) * seed).min() if len(tokens) else None
                     rows[name].append(None if low is None else int(low.view(np.int64)))
-            if places:
-                counters += np.bincount(np.concatenate(places), minlength=len(counters))
             rows["bucket"] = rows["count"] = [None] * len(rows["key"])
             yield arrow_rows(_SLIM, rows)
         often = np.flatnonzero(counters > 2 + 2 * counters.mean())
         none = [None] * len(often)
-        yield arrow_rows(_SLIM, {**dict.fromkeys(_SLIM.names, none), "bucket": often.tolist(),
-                                 "count": counters[often].tolist()})
+        yield arrow_rows(_SLIM, {**dict.fromkeys(_SLIM.names, none), "bucket": often,
+                                 "count": counters[often].astype(np.int64)})
 
     return describe
 
 
 def _prefixes(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int):
     def prefixes(batches):
+        give_back()
         shingles, counters = Shingles(words), dense_counters(frequent)
-        for batch in batches:
+        for batch in slices(batches):
             rows = {name: [] for name in _PREFIX.names}
             rows["key"] = batch.column(0).to_pylist()
             for text in texts_of(batch.column(1)):
@@ -193,8 +196,9 @@ def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent:
     that hangs together. Rows with ``member`` false only link."""
 
     def inside(batches):
+        give_back()
         shingles, counters = Shingles(words), dense_counters(frequent)
-        rows = {name: [] for name in _TOKENS.names}
+        rows, held = {name: [] for name in _TOKENS.names}, 0
         for grp, group in sorted_groups(batches, "grp"):
             order = sorted(range(len(group["rep"])), key=lambda i: group["rep"][i])
             reps = [group["rep"][i] for i in order]
@@ -221,9 +225,10 @@ def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent:
                 for name, value in zip(_TOKENS.names, (grp, reps[root], min(sizes), max(sizes),
                                                        union.view(np.int64), most, None, None)):
                     rows[name].append(value)
-            if len(rows["grp"]) > 500:
+                held += len(union)
+            if len(rows["grp"]) > 500 or held > HELD_TOKENS:
                 yield arrow_rows(_TOKENS, rows)
-                rows = {name: [] for name in _TOKENS.names}
+                rows, held = {name: [] for name in _TOKENS.names}, 0
         yield arrow_rows(_TOKENS, rows)
 
     return inside
@@ -238,6 +243,7 @@ def _open_groups(words: int, percent: int):
     """Compare the askers of each place with its group, if the bound lets it be opened."""
 
     def open_groups(batches):
+        give_back()
         shingles = Shingles(words)
         rows = {name: [] for name in _EDGES.names}
         for _, group in sorted_groups(batches, "place"):

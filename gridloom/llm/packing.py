@@ -27,7 +27,7 @@ from pyspark.taskcontext import TaskContext
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from gridloom.llm.bpe import _read
-from gridloom.llm.common import arrow_rows, texts_of
+from gridloom.llm.common import arrow_rows, give_back, slices, texts_of
 from gridloom.session import materialise
 
 CAPACITY = 4096
@@ -290,8 +290,9 @@ def _tokenise(specification: str, capacity: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def tokenise(batches):
+        give_back()
         words, ranks, part = _Words(specification), Counter(), TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in slices(batches):
             rows = {name: [] for name in _TOKENS.names}
             rows["key"] = batch.column(0).to_pylist()
             texts = texts_of(batch.column(1))
@@ -324,7 +325,8 @@ def _wide(stored: bytes) -> np.ndarray:
 
 def _place(layout: Layout, capacity: int, with_ids: bool):
     def place(batches):
-        for batch in batches:
+        give_back()
+        for batch in slices(batches):
             rows = {name: [] for name in _PIECES.names}
             columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
             for i, stored in enumerate(columns["ids"]):

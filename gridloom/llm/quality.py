@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import give_back
 from gridloom.llm.learning import Adam, is_held_out, sigmoid, sparing_threshold, training_rows
 
 SIZE = 8  # of a byte's embedding
@@ -213,6 +214,7 @@ def scorer(model: Model):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         if not held:
+            give_back()
             held.append(_Scorer(model))
         return pa.array(held[0].scores(["" if t is None else t for t in texts.to_pylist()]), pa.float64())
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, libraries and hand-made cases."""
 
 import base64
+import collections
 import hashlib
 import random
 import re
@@ -8,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -15,6 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from gridloom.llm import (
     bpe,
+    common,
     embedding_dedup,
     exact_dedup,
     extraction,
@@ -585,3 +588,21 @@ def test_packing_words_are_encoded_as_by_the_tokenizer(monkeypatch):
             some = texts[at:at + 50]
             assert [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(some)] == [
                 tokenizer.encode(text, add_special_tokens=False).ids for text in some]
+
+
+def test_tasks_hold_few_rows_as_objects(monkeypatch):
+    """One large batch of texts comes back in parts, described, grouped and tokenised as before."""
+    monkeypatch.setattr(common, "SLICE_ROWS", 7)
+    texts = [" ".join(f"w{i % 50 + j}" for j in range(20)) for i in range(100)]
+    batch = pa.record_batch({"key": pa.array(range(100), pa.int64()), "text": pa.array(texts)})
+    described = list(ngram_join._describe(5)(iter([batch])))
+    assert [len(b) for b in described[:-1]] == [7] * 14 + [2]
+    assert [k for b in described[:-1] for k in b.column("key").to_pylist()] == list(range(100))
+    wanted = collections.Counter(int(t) >> 42 for text in texts for t in ngram_join.Shingles(5).of(text))
+    often = dict(zip(described[-1].column("bucket").to_pylist(), described[-1].column("count").to_pylist()))
+    assert often == {k: n for k, n in wanted.items() if n > 2 + 2 * sum(wanted.values()) / (1 << ngram_join.COUNTER_BITS)}
+    prefixes = list(ngram_join._prefixes(5, (np.empty(0, int), np.empty(0, int)), 80)(iter([batch])))
+    assert max(map(len, prefixes)) == 7 and sum(map(len, prefixes)) == 100
+    groups = pa.record_batch({"grp": pa.array([i // 30 for i in range(100)], pa.int64()), "text": pa.array(texts)})
+    assert [(k, g["text"]) for k, g in common.sorted_groups(iter([groups, groups.slice(90)]), "grp")] == [
+        (0, texts[:30]), (1, texts[30:60]), (2, texts[60:90]), (3, texts[90:] * 2)]
