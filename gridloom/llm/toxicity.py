@@ -397,8 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     in several over a small table, and the thresholds come from every row of that
     fifth. Where one side lacks a label, all rows are used for both.
 
-    Rows are dealt to the tasks by key, so the model does not depend on how files
-    are cut. A text is moved once for that, never one of the held-out fold or
+    Rows are dealt to the tasks by key. A text is moved once for that, never one of the held-out fold or
     of the held-back fifth, and none without a label as long as the labels are few
     enough to be sent to every task.
     """
