@@ -15,10 +15,11 @@ import json
 import os
 import zlib
 from collections import Counter
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -27,20 +28,23 @@ from pyspark.taskcontext import TaskContext
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from gridloom.llm.bpe import _read
-from gridloom.llm.common import arrow_rows, give_back, slices, texts_of
+from gridloom.llm.common import arrow_rows, give_back, slices
 from gridloom.session import materialise
 
 CAPACITY = 4096
 END_ID = 2
 SLACK = 32  # a pattern with more padding than this is cut at sequence borders instead
-CACHED_WORDS = 400_000
+CACHED_WORDS = 400_000  # pieces of words, twice as many at most; forgotten ones are encoded again
+PART_BYTES, PART_ROWS = 4 << 20, 4096  # of texts that are split into words at once
+GATHERED_WORDS = 1 << 17  # whose ids are put together at once
 BROADCAST_ROWS = 1_000_000  # 24 bytes each; beyond, a join that shuffles
 
-# Characters that Python takes as white space and the tokenizer does not.
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")
+# Characters that Arrow takes as white space and the tokenizer does not.
+_ODD_SPACE = "[\x1c-\x1f]"
 
 # Letters that lower-casing and composing leave one letter each.
-_LETTERS = regex.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017e]+")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017e]+"
+_RUN = regex.compile(_LETTERS)
 MARKS = ".,;:!?%&*$#|"
 
 _tokenizers: dict[str, tuple] = {}
@@ -154,49 +158,55 @@ class Layout:
         return found
 
 
+def _rows_of(starts: np.ndarray, ids: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the given rows one after another, and how many each has; row i is ``ids[starts[i]:starts[i + 1]]``."""
+    first = starts[which]
+    lengths = starts[which + 1] - first
+    ends = np.cumsum(lengths)
+    return ids[np.repeat(first - ends + lengths, lengths) + np.arange(lengths.sum())], lengths
+
+
+def _strings(column: pa.Array) -> list[str]:
+    """As ``to_pylist``, which makes an object of Arrow for each value besides."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Pieces:
-    """Ids of words one after another in one array, and where those of each word begin."""
+    """Ids of pieces of words one after another in one array, and where those of each begin."""
 
     def __init__(self):
         self.places: dict[str, int] = {}
         self.starts, self.ids = np.zeros(1, np.int64), np.empty(1024, "<u4")
 
-    def add(self, new: dict[str, bytes]) -> None:
-        if not new:
-            return
-        first, end = len(self.places), int(self.starts[len(self.places)])
-        ids = np.frombuffer(b"".join(new.values()), "<u4")
-        borders = end + np.cumsum([len(piece) // 4 for piece in new.values()])
-        while first + len(new) >= len(self.starts):
+    def add(self, new: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Places of new pieces, whose ids are given one after another."""
+        first = len(self.places)
+        last, end = first + len(new), int(self.starts[first])
+        while last >= len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         while end + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.starts[first + 1:first + 1 + len(new)], self.ids[end:end + len(ids)] = borders, ids
-        self.places.update(zip(new, range(first, first + len(new))))
-
-    def get(self, word: str) -> bytes | None:
-        at = self.places.get(word)
-        return None if at is None else self.ids[self.starts[at]:self.starts[at + 1]].tobytes()
+        self.starts[first + 1:last + 1], self.ids[end:end + len(ids)] = end + np.cumsum(lengths), ids
+        self.places.update(zip(new, range(first, last)))
+        return np.arange(first, last)
 
-    def joined(self, words: np.ndarray, counts: list[int]) -> list[bytes]:
-        """Ids of the texts that have so many of the words, which are given by their places."""
-        starts = self.starts[words]
-        lengths = self.starts[words + 1] - starts
-        ends = np.cumsum(lengths)
-        ids = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
-        borders = np.r_[0, ends][np.cumsum([0, *counts])].tolist()
-        return [ids[a:b].tobytes() for a, b in zip(borders, borders[1:])]
+    def find(self, pieces: list[str]) -> np.ndarray:
+        """Places of pieces, -1 for those that are not here."""
+        return np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
 
 
 class _Words:
-    """Ids of texts by the tokenizer, which is asked once for a word.
+    """Ids of texts by the tokenizer, which is asked once for a piece of a word.
 
     What stands between white space is independent in this tokenizer. So are a
     run of letters and the run of marks after it, each of which is one piece;
     the last id of a piece is an end-of-word one, which tells the pieces of
     many words encoded at once apart. Runs of plain letters are lower-cased and
     spelt in the tokenizer's letters for bytes here, so that its model gets them
-    without the steps before it.
+    without the steps before it. Other words are pieces as they stand.
+
+    Arrow splits many texts into words and finds the different ones, so only
+    their different pieces become Python objects.
     """
 
     def __init__(self, specification: str):
@@ -216,74 +226,99 @@ class _Words:
             bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             spelling = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             spelt = [chr(n) for n in range(256)]
-            for c in filter(_LETTERS.fullmatch, map(chr, range(128, 0x180))):
+            for c in filter(_RUN.fullmatch, map(chr, range(128, 0x180))):
                 for byte, letter in zip(c.encode(), spelling.pre_tokenize_str(c)[0][0]):
                     spelt[byte] = letter
             spelt = "".join(spelt)
             _tokenizers[specification] = (tokenizer, bare, spelt, ends, [_Pieces(), _Pieces()])
         self.tokenizer, self.bare, self.spelt, self.ends, self.caches = _tokenizers[specification]
 
-    def _many(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that are runs of plain small letters each."""
-        found: list[bytes] = []
-        for at in range(0, len(pieces), 256):
-            some = pieces[at:at + 256]
+    def _many(self, pieces: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """Ids of pieces that are runs of plain small letters each, in parts, and how many each piece has."""
+        found: list[np.ndarray] = []
+        lengths: list[int] = []
+        for at in range(0, len(pieces), 128):
+            some = pieces[at:at + 128]
             spelt = codecs.charmap_decode(" ".join(some).encode(), "strict", self.spelt)[0]
             ids = np.array(self.bare.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
             borders = np.flatnonzero(self.ends[ids]) + 1
             if len(borders) != len(some):  # not pieces after all
-                found += [self._one(piece) for piece in some]
+                own = [self._one(piece) for piece in some]
+                found += own
+                lengths += map(len, own)
             else:
-                data, last = ids.tobytes(), 0
-                for border in (borders * 4).tolist():
-                    found.append(data[last:border])
-                    last = border
-        return found
+                found.append(ids)
+                lengths += np.diff(borders, prepend=0).tolist()
+        return found, lengths
 
-    def _one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _one(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit values."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string())
+        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        alone = {i: self._one(texts[i].as_py()).tobytes() for i in np.flatnonzero(odd).tolist()}
+        split = pc.utf8_split_whitespace(pc.if_else(odd, "", texts) if alone else texts)
+        counts = pc.list_value_length(split).to_numpy()
+        coded = split.flatten().dictionary_encode()
+        every, (starts, ids) = coded.indices.to_numpy(), self._words(coded.dictionary)
+        borders = np.cumsum(np.r_[0, starts[every + 1] - starts[every]])[np.cumsum(np.r_[0, counts])].tolist()
+        parts = [_rows_of(starts, ids, every[at:at + GATHERED_WORDS])[0] for at in range(0, len(every), GATHERED_WORDS)]
+        ids = np.concatenate([ids[:0], *parts])
+        return [alone[i] if i in alone else ids[a:b].tobytes() for i, (a, b) in enumerate(zip(borders, borders[1:]))]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each of different words start, and all their ids."""
+        cores = pc.ascii_rtrim(words, characters=MARKS)
+        plain = pc.match_substring_regex(cores, f"^{_LETTERS}$")
+        marks = np.where(plain, pc.binary_length(words).to_numpy() - pc.binary_length(cores).to_numpy(), 0)
+        marked = np.flatnonzero(marks)
+        tails = [word[-n:] for word, n in zip(_strings(words.take(pa.array(marked))), marks[marked].tolist())]
+        pieces = pa.concat_arrays([pc.if_else(plain, pc.utf8_lower(cores), words), pa.array(tails, words.type)])
+        coded = pieces.dictionary_encode()
+        places = self._places(_strings(coded.dictionary))[coded.indices.to_numpy()]
+        ends = np.cumsum(1 + (marks > 0))
+        order = np.empty(len(places), np.int64)
+        order[ends[marked] - 1] = places[len(words):]
+        order[ends - 1 - (marks > 0)] = places[:len(words)]
+        ids, lengths = _rows_of(self.caches[0].starts, self.caches[0].ids, order)
+        return np.cumsum(np.r_[0, lengths])[np.r_[0, ends]], ids
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """Places in the younger cache of different pieces, which are put there if need be."""
         if len(self.caches[0].places) > CACHED_WORDS:
             self.caches[:] = _Pieces(), self.caches[0]
         cache, older = self.caches
-        words = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        plain = [own for own in words if own is not None]
-        every = list(chain.from_iterable(plain))
-        places = np.fromiter(map(cache.places.get, every, repeat(-1)), np.int64, len(every))
-        missing = np.flatnonzero(places < 0).tolist()
-        cache.add(self._new(set(map(every.__getitem__, missing)), cache, older))
-        places[missing] = [cache.places[every[i]] for i in missing]
-        joined = iter(cache.joined(places, [len(own) for own in plain]))
-        return [self._one(text) if own is None else next(joined) for text, own in zip(texts, words)]
-
-    def _new(self, words: set[str], cache: _Pieces, older: _Pieces) -> dict[str, bytes]:
-        """Ids of words that the cache lacks, and of their runs of letters."""
-        known = list(words.intersection(older.places)) if older.places else []
-        new = dict(zip(known, older.joined(np.array([older.places[w] for w in known], np.int64), [1] * len(known))))
-        # Dictionaries of strings, which the garbage collector has no need to visit.
-        cores: dict[str, None] = {}
-        split: dict[str, str] = {}
-        tails: dict[str, bytes] = {"": b""}
-        places, letters = cache.places, _LETTERS.fullmatch
-        for word in words.difference(known):
-            core = word.rstrip(MARKS)
-            if (core.isascii() and core.isalpha()) or letters(core):
-                core = core.lower()
-                if core not in places and core not in new:
-                    cores[core] = None
-                if core != word:
-                    split[word] = core
-            else:
-                new[word] = self._one(word)
-        new.update(zip(cores, self._many(list(cores))))
-        for word, core in split.items():
-            tail = word[len(core):]
-            if tail not in tails:
-                tails[tail] = self._one(tail)
-            new[word] = (new[core] if core in new else cache.get(core)) + tails[tail]
-        return new
+        places = cache.find(pieces)
+        missing = np.flatnonzero(places < 0)
+        before = older.find([pieces[i] for i in missing.tolist()])
+        known, missing = missing[before >= 0], missing[before < 0]
+        places[known] = cache.add([pieces[i] for i in known.tolist()],
+                                  *_rows_of(older.starts, older.ids, before[before >= 0]))
+        new = [pieces[i] for i in missing.tolist()]
+        letters = np.fromiter(((p.isascii() and p.isalpha()) or bool(_RUN.fullmatch(p)) for p in new), bool, len(new))
+        for some, encode in ((missing[letters], self._many), (missing[~letters], self._singly)):
+            own = [pieces[i] for i in some.tolist()]
+            found, lengths = encode(own)
+            places[some] = cache.add(own, np.concatenate([cache.ids[:0], *found]), np.array(lengths, np.int64))
+        return places
+
+    def _singly(self, pieces: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        found = [self._one(piece) for piece in pieces]
+        return found, list(map(len, found))
+
+
+def _parts(batches):
+    """The batches in parts of few rows and bytes of text, or of one row, without a copy."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, min(at + PART_ROWS, int(np.searchsorted(ends, before + PART_BYTES, "right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def _tokenise(specification: str, capacity: int, end_id: int):
@@ -292,22 +327,19 @@ def _tokenise(specification: str, capacity: int, end_id: int):
     def tokenise(batches):
         give_back()
         words, ranks, part = _Words(specification), Counter(), TaskContext.get().partitionId()
-        for batch in slices(batches):
+        for batch in _parts(batches):
             rows = {name: [] for name in _TOKENS.names}
             rows["key"] = batch.column(0).to_pylist()
-            texts = texts_of(batch.column(1))
-            for at in range(0, len(texts), 256):
-                for ids in words.encode(texts[at:at + 256]):
-                    n = len(ids) // 4 + 1
-                    full, rest = divmod(n, capacity)
-                    for name, value in (("ids", ids + end), ("n", n), ("part", part),
-                                        ("full_rank", ranks[capacity]), ("rest", rest),
-                                        ("rest_rank", ranks[rest] if rest else 0)):
-                        rows[name].append(value)
-                    ranks[capacity] += full
-                    if rest:
-                        ranks[rest] += 1
-            rows["ids"] = [_narrow(ids) for ids in rows["ids"]]
+            for ids in words.encode(pc.fill_null(batch.column(1), "")):
+                n = len(ids) // 4 + 1
+                full, rest = divmod(n, capacity)
+                for name, value in (("ids", _narrow(ids + end)), ("n", n), ("part", part),
+                                    ("full_rank", ranks[capacity]), ("rest", rest),
+                                    ("rest_rank", ranks[rest] if rest else 0)):
+                    rows[name].append(value)
+                ranks[capacity] += full
+                if rest:
+                    ranks[rest] += 1
             yield arrow_rows(_TOKENS, rows)
 
     return tokenise

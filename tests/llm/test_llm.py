@@ -606,3 +606,53 @@ def test_tasks_hold_few_rows_as_objects(monkeypatch):
     groups = pa.record_batch({"grp": pa.array([i // 30 for i in range(100)], pa.int64()), "text": pa.array(texts)})
     assert [(k, g["text"]) for k, g in common.sorted_groups(iter([groups, groups.slice(90)]), "grp")] == [
         (0, texts[:30]), (1, texts[30:60]), (2, texts[60:90]), (3, texts[90:] * 2)]
+
+
+def test_packing_looks_up_a_piece_once_for_many_texts():
+    """Repeats of a word cost no lookup, and the older cache is asked, not walked through."""
+    asked = []
+
+    class Places(dict):
+        def get(self, word, *default):
+            asked.append(word)
+            return super().get(word, *default)
+
+        def __iter__(self):
+            raise AssertionError("walks through a cache")
+
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    words = packing._Words(bpe._read(WORD_BPE))
+    words.caches[:] = packing._Pieces(), packing._Pieces()
+    assert words.encode(["zyx old"])
+    words.caches[:] = packing._Pieces(), words.caches[0]
+    for cache in words.caches:
+        cache.places = Places(dict.items(cache.places))
+    texts = ["The cat, the CAT.  Zyx | don't " * 300] * 3
+    wanted = tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(texts)] == [wanted] * 3
+    assert max(collections.Counter(asked).values()) <= 2  # once in each cache
+    assert len(asked) <= 2 * len({"", "the", "cat", "zyx", "|", "don't", ",", "."})
+
+
+def test_packing_splits_texts_where_the_tokenizer_does(monkeypatch):
+    monkeypatch.setattr(packing, "GATHERED_WORDS", 5)
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()] + list("᠎​‍⁠﻿\x00\x7f")
+    texts = [f"{c}One{c}{c}two, {c} three{c}" for c in spaces]
+    texts += ["", " ", "a<|endoftext|>b <|startoftext|>", "x " * 50, "\U0001f600́ é 日本.", chr(0x17f) + "t"]
+    words = packing._Words(bpe._read(WORD_BPE))
+    wanted = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    for column in (texts, pa.array(texts, pa.string()), pa.array(["cut", *texts], pa.large_string()).slice(1)):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(column)] == wanted
+    assert words.encode([]) == []
+
+
+def test_packing_parts_are_bounded_by_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "PART_BYTES", 10)
+    monkeypatch.setattr(packing, "PART_ROWS", 4)
+    texts = ["abc", None, "defg", "hij", "k" * 25, None, None, None, None, "", "l" * 11, "m"]
+    batch = pa.record_batch({"key": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    parts = list(packing._parts(iter([batch.slice(0, 0), batch, batch.slice(3, 2)])))
+    assert [part.column(1).to_pylist() for part in parts] == [
+        ["abc", None, "defg", "hij"], ["k" * 25], [None, None, None, None], [""], ["l" * 11], ["m"], ["hij"], ["k" * 25]]
+    assert [k for part in parts for k in part.column(0).to_pylist()] == [*range(len(texts)), 3, 4]
