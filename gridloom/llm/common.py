@@ -15,6 +15,7 @@ from gridloom.session import materialise, new_work_folder, remove_work_folder
 
 BROADCAST_BYTES = 32 << 20
 SLICE_ROWS = 512  # of an Arrow batch, that become Python objects at a time
+BATCH_BYTES = 2 << 20  # of texts that Spark sends to a task at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +33,27 @@ def give_back() -> None:
     """Return what earlier tasks freed to the system.
 
     A Python worker lives on between tasks and stages, and what its allocators
-    keep of theirs counts beside what the next one takes. Tasks that hold many
-    texts call this when they begin.
+    keep of theirs counts beside what the next one takes. See :func:`giving_back`.
     """
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError, TypeError):  # an allocator without it
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def giving_back(task):
+    """The task of a worker, which returns what was freed when it begins and ends.
+
+    A worker without a task keeps what it had, beside those that go on.
+    """
+
+    def run(batches):
+        give_back()
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def sorted_groups(
     batches: Iterator[pa.RecordBatch], key: str
 ) -> Iterator[tuple[int | str, dict[str, list]]]:

@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import (
+    BATCH_BYTES,
     Forest,
     arrow_rows,
     connected_components,
-    give_back,
+    giving_back,
     measured,
     slices,
     sorted_groups,
@@ -43,6 +44,7 @@ BLOCK_SHINGLES = 1 << 20  # of all members of a group, about ten bytes of text e
 PROBING_ROUNDS = 1  # at most; what they leave unconnected is compared afterwards
 HELD_TOKENS = 1 << 18  # of results that a task has not handed on
 CACHED_WORDS = 200_000
+MATRIX_BYTES = 8 << 20  # of tokens by sets, that are multiplied at a time
 COUNTER_BITS = 22  # hashed counters of frequent shingles in a task; they order tokens and decide nothing
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -120,23 +122,24 @@ def dense_counters(frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of every set of one list with each of another."""
+    """Sizes of the intersections of every set of one list with each of another; the sets are sorted."""
     universe, place = np.unique(np.concatenate(others), return_inverse=True)
     edges = np.cumsum([0, *map(len, others)])
     counts = np.zeros((len(some), len(others)), np.int64)
-    step = max(1, (32 << 20) // (4 * max(1, len(some) + len(others))))  # tokens at a time, in bounded memory
+    step = max(1, MATRIX_BYTES // (4 * max(1, len(some) + len(others))))  # tokens at a time, in bounded memory
+    borders = np.r_[0:len(universe):step, len(universe)]
     spots = []
     for own in some:
         at = np.minimum(np.searchsorted(universe, own), max(0, len(universe) - 1))
         spots.append(at[universe[at] == own] if len(universe) else at[:0])
-    for low in range(0, len(universe), step):
-        high = min(low + step, len(universe))
-        left, right = (np.zeros((n, high - low), np.float32) for n in (len(some), len(others)))
-        for i, at in enumerate(spots):
-            left[i, at[(at >= low) & (at < high)] - low] = 1
-        for j in range(len(others)):
-            at = place[edges[j]:edges[j + 1]]
-            right[j, at[(at >= low) & (at < high)] - low] = 1
+    sides = [(spots, [np.searchsorted(at, borders) for at in spots])]
+    spots = [place[a:b] for a, b in zip(edges, edges[1:])]
+    sides.append((spots, [np.searchsorted(at, borders) for at in spots]))
+    for n, (low, high) in enumerate(zip(borders, borders[1:])):
+        left, right = (np.zeros((len(own), high - low), np.float32) for own, _ in sides)
+        for matrix, (own, cuts) in zip((left, right), sides):
+            for row, at, cut in zip(matrix, own, cuts):
+                row[at[cut[n]:cut[n + 1]] - low] = 1
         counts += (left @ right.T).astype(np.int64)
     return counts
 
@@ -150,7 +153,6 @@ def linked(some: list[np.ndarray], others: list[np.ndarray], percent: int) -> np
 
 def _describe(words: int):
     def describe(batches):
-        give_back()
         shingles, counters = Shingles(words), np.zeros(1 << COUNTER_BITS, np.uint32)
         for batch in slices(batches):
             rows = {name: [] for name in _SLIM.names}
@@ -170,12 +172,11 @@ def _describe(words: int):
         yield arrow_rows(_SLIM, {**dict.fromkeys(_SLIM.names, none), "bucket": often,
                                  "count": counters[often].astype(np.int64)})
 
-    return describe
+    return giving_back(describe)
 
 
 def _prefixes(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int):
     def prefixes(batches):
-        give_back()
         shingles, counters = Shingles(words), dense_counters(frequent)
         for batch in slices(batches):
             rows = {name: [] for name in _PREFIX.names}
@@ -188,7 +189,7 @@ def _prefixes(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int)
                 rows["rests"].append(rests)
             yield arrow_rows(_PREFIX, rows)
 
-    return prefixes
+    return giving_back(prefixes)
 
 
 def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent: int):
@@ -196,7 +197,6 @@ def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent:
     that hangs together. Rows with ``member`` false only link."""
 
     def inside(batches):
-        give_back()
         shingles, counters = Shingles(words), dense_counters(frequent)
         rows, held = {name: [] for name in _TOKENS.names}, 0
         for grp, group in sorted_groups(batches, "grp"):
@@ -231,7 +231,7 @@ def _inside_groups(words: int, frequent: tuple[np.ndarray, np.ndarray], percent:
                 rows, held = {name: [] for name in _TOKENS.names}, 0
         yield arrow_rows(_TOKENS, rows)
 
-    return inside
+    return giving_back(inside)
 
 
 def _edge(rows: dict[str, list], a: int, b: int) -> None:
@@ -243,7 +243,6 @@ def _open_groups(words: int, percent: int):
     """Compare the askers of each place with its group, if the bound lets it be opened."""
 
     def open_groups(batches):
-        give_back()
         shingles = Shingles(words)
         rows = {name: [] for name in _EDGES.names}
         for _, group in sorted_groups(batches, "place"):
@@ -274,7 +273,7 @@ def _open_groups(words: int, percent: int):
                 rows = {name: [] for name in _EDGES.names}
         yield arrow_rows(_EDGES, rows)
 
-    return open_groups
+    return giving_back(open_groups)
 
 
 def _visits(reps: DataFrame, by: str, *, members: bool) -> DataFrame:
@@ -421,7 +420,7 @@ def shingle_components(
             _describe(words),
             f"key long, n long, fp string, {', '.join(f'{g} long' for g in MINIMA)}, bucket long, count long",
         ),
-        "shingles",
+        "shingles", batch_bytes=BATCH_BYTES,
     )
     slim = described.where("bucket IS NULL").select("key", "n", "fp", *MINIMA)
     counted = described.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("n"))
@@ -446,7 +445,7 @@ def shingle_components(
             _inside_groups(words, frequent, percent),
             "grp long, root long, lo long, hi long, tokens array<long>, rests array<int>, a long, b long",
         ),
-        "shingle-links",
+        "shingle-links", batch_bytes=BATCH_BYTES,
     )
     edges = inside.where("a IS NOT NULL").select("a", "b")
     components = materialise(connected_components(edges, "a", "b"), "shingle-components")
@@ -462,7 +461,7 @@ def shingle_components(
     )
     columns = materialise(
         single.unionByName(inside.where("grp IS NOT NULL AND a IS NULL").select("grp", "root", "lo", "hi", "tokens", "rests")),
-        "shingle-columns",
+        "shingle-columns", batch_bytes=BATCH_BYTES,
     )
     # Most tokens occur in one group only: they are counted, task by task first, and not moved again.
     common = materialise(
@@ -485,7 +484,7 @@ def shingle_components(
             .select("place", "side", "rep", "text")
             .repartition("place").sortWithinPartitions("place")
             .mapInArrow(_open_groups(words, percent), "a long, b long"),
-            "shingle-more-links",
+            "shingle-more-links", batch_bytes=BATCH_BYTES,
         )
 
     links = components.select(F.col("node").alias("a"), F.col("component").alias("b"))

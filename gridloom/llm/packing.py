@@ -28,14 +28,14 @@ from pyspark.taskcontext import TaskContext
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from gridloom.llm.bpe import _read
-from gridloom.llm.common import arrow_rows, give_back, slices
+from gridloom.llm.common import BATCH_BYTES, arrow_rows, give_back, giving_back, slices
 from gridloom.session import materialise
 
 CAPACITY = 4096
 END_ID = 2
 SLACK = 32  # a pattern with more padding than this is cut at sequence borders instead
-CACHED_WORDS = 400_000  # pieces of words, twice as many at most; forgotten ones are encoded again
-PART_BYTES, PART_ROWS = 4 << 20, 4096  # of texts that are split into words at once
+CACHED_WORDS = 200_000  # pieces of words, twice as many at most; forgotten ones are encoded again
+PART_BYTES, PART_ROWS = BATCH_BYTES, 4096  # of texts that are split into words at once
 GATHERED_WORDS = 1 << 17  # whose ids are put together at once
 BROADCAST_ROWS = 1_000_000  # 24 bytes each; beyond, a join that shuffles
 
@@ -325,7 +325,6 @@ def _tokenise(specification: str, capacity: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def tokenise(batches):
-        give_back()
         words, ranks, part = _Words(specification), Counter(), TaskContext.get().partitionId()
         for batch in _parts(batches):
             rows = {name: [] for name in _TOKENS.names}
@@ -341,8 +340,9 @@ def _tokenise(specification: str, capacity: int, end_id: int):
                 if rest:
                     ranks[rest] += 1
             yield arrow_rows(_TOKENS, rows)
+            give_back()  # what splitting takes is many times the text
 
-    return tokenise
+    return giving_back(tokenise)
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -357,7 +357,6 @@ def _wide(stored: bytes) -> np.ndarray:
 
 def _place(layout: Layout, capacity: int, with_ids: bool):
     def place(batches):
-        give_back()
         for batch in slices(batches):
             rows = {name: [] for name in _PIECES.names}
             columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
@@ -377,7 +376,7 @@ def _place(layout: Layout, capacity: int, with_ids: bool):
                             rows[name].append(value)
             yield arrow_rows(_PIECES, rows)
 
-    return place
+    return giving_back(place)
 
 
 def packed_pieces(
@@ -413,7 +412,7 @@ def packed_pieces(
             _tokenise(spec, capacity, end_id),
             "key long, ids binary, n long, part long, full_rank long, rest long, rest_rank long",
         ),
-        "packing-tokens",
+        "packing-tokens", batch_bytes=BATCH_BYTES,
     )
     counts = materialise(
         tokens.where("rest > 0").groupBy(F.col("rest").alias("len"), "part").agg(F.count("*").alias("n"))

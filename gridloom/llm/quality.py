@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import give_back
+from gridloom.llm.common import SLICE_ROWS, give_back
 from gridloom.llm.learning import Adam, is_held_out, sigmoid, sparing_threshold, training_rows
 
 SIZE = 8  # of a byte's embedding
@@ -29,7 +29,7 @@ CUT = 0.5  # a score from here on is good
 # much of what it would reject where precision and recall are best together.
 SPARED = 0.995
 KEPT = 0.9
-SCORED_BYTES = 1 << 20  # held at a time; a longer document is scored in pieces
+SCORED_BYTES = 1 << 18  # held at a time; a longer document is scored in pieces
 
 PIECE = HALF * STEP
 
@@ -216,7 +216,10 @@ def scorer(model: Model):
         if not held:
             give_back()
             held.append(_Scorer(model))
-        return pa.array(held[0].scores(["" if t is None else t for t in texts.to_pylist()]), pa.float64())
+        found = [np.empty(0)]
+        for at in range(0, len(texts), SLICE_ROWS):
+            found.append(held[0].scores(["" if t is None else t for t in texts.slice(at, SLICE_ROWS).to_pylist()]))
+        return pa.array(np.concatenate(found), pa.float64())
 
     return score
 

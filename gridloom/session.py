@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.functions.texts import ELAPSED_FORMAT
 
 WORK_PREFIX = "gridloom-"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _local_roots: dict[str, str] = {}
 
@@ -97,14 +100,35 @@ def remove_work_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, purpose: str, *, folder: str | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame, purpose: str, *, folder: str | None = None, batch_bytes: int | None = None
+) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage in a form that outlives any executor. Unlike an RDD
     checkpoint, later plans still prune its columns and know its real size.
-    Whoever names the ``folder`` can delete it when done.
+    Whoever names the ``folder`` can delete it when done. ``batch_bytes`` bounds
+    the rows that Spark sends to a Python worker at a time while the table is
+    written, which both sides hold; a row is sent whole.
     """
     spark = df.sparkSession
     folder = folder or new_work_folder(spark, purpose)
-    df.write.parquet(folder)
+    with _sent_at_a_time(spark, batch_bytes):
+        df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+@contextlib.contextmanager
+def _sent_at_a_time(spark: SparkSession, batch_bytes: int | None) -> Iterator[None]:
+    if batch_bytes is None:
+        yield
+        return
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(batch_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)

@@ -3,8 +3,12 @@
 import base64
 import collections
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -12,9 +16,11 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from gridloom import session
 from gridloom.llm import (
     bpe,
     common,
@@ -656,3 +662,100 @@ def test_packing_parts_are_bounded_by_rows_and_bytes(monkeypatch):
     assert [part.column(1).to_pylist() for part in parts] == [
         ["abc", None, "defg", "hij"], ["k" * 25], [None, None, None, None], [""], ["l" * 11], ["m"], ["hij"], ["k" * 25]]
     assert [k for part in parts for k in part.column(0).to_pylist()] == [*range(len(texts)), 3, 4]
+
+
+_WORKER = """
+import re, sys, threading, time
+import numpy as np, pandas, pyarrow as pa
+import public_tokenizers
+from gridloom.llm import common, packing
+
+def held():
+    return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) // 1024
+
+class Context:
+    get = classmethod(lambda cls: cls)
+    partitionId = staticmethod(lambda: 0)
+
+packing.TaskContext = Context
+spec = packing._read(public_tokenizers.path("word_bpe_49k.json"))
+packing._Words(spec)
+common.give_back()
+start, most, going = held(), 0, True
+
+def watch():
+    global most
+    while going:
+        most = max(most, held())
+        time.sleep(0.01)
+
+def batches():  # 16 of 2 MB, of 25,000 words each that no other has
+    rng = np.random.default_rng(3)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    for n in range(16):
+        words = [bytes(w).decode() for w in letters[rng.integers(0, 26, (25_000, 9))]]
+        texts = [" ".join(words[i] for i in rng.integers(0, 25_000, 200)) for _ in range(1000)]
+        yield pa.record_batch({"key": pa.array(range(1000), pa.int64()), "text": pa.array(texts, pa.string())})
+
+given = list(batches())
+common.give_back()
+start, watcher = held(), threading.Thread(target=watch)
+watcher.start()
+rows = sum(b.num_rows for b in packing._tokenise(spec, 4096, 2)(iter(given)))
+going = False
+watcher.join()
+print(rows, most - start, held() - start)
+"""
+
+
+def test_packing_tasks_hold_little_memory():
+    run = subprocess.run([sys.executable, "-c", _WORKER], capture_output=True, text=True, timeout=300,
+                         cwd=os.path.dirname(corpus_pipeline.__file__))
+    rows, most, after = map(int, run.stdout.split())
+    assert rows == 16_000 and most < 120 and after < 80, (rows, most, after)
+
+
+def test_overlaps_are_multiplied_in_small_parts(monkeypatch):
+    rng = np.random.default_rng(8)
+    some, others = ([np.unique(rng.integers(0, 30_000, n)).astype(np.uint64) for n in rng.integers(0, 600, 200)]
+                    for _ in range(2))
+    wanted = [[len(np.intersect1d(a, b)) for b in others] for a in some]
+    tracemalloc.start()
+    try:
+        found = ngram_join.overlaps(some, others)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.tolist() == wanted and most < 24 << 20
+    monkeypatch.setattr(ngram_join, "MATRIX_BYTES", 4 * 400 * 7)
+    assert ngram_join.overlaps(some, others).tolist() == wanted
+    assert ngram_join.overlaps([np.empty(0, np.uint64)], [np.empty(0, np.uint64)] * 2).tolist() == [[0, 0]]
+
+
+def test_tables_are_sent_to_tasks_in_small_batches(spark):
+    before = spark.conf.get(session.BATCH_SETTING)
+    sizes = lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches)
+    rows = spark.range(4000, numPartitions=1).select(F.repeat(F.lit("a"), 1000).alias("text"))
+    assert max(r["n"] for r in session.materialise(rows.mapInArrow(sizes, "n long"), "sizes").collect()) == 4000
+    small = session.materialise(rows.mapInArrow(sizes, "n long"), "sizes", batch_bytes=1 << 18).collect()
+    assert sum(r["n"] for r in small) == 4000 and max(r["n"] for r in small) < 500
+    assert spark.conf.get(session.BATCH_SETTING) == before
+
+
+def test_tasks_give_back_when_they_begin_and_end(monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append("back"))
+    task = common.giving_back(lambda batches: (seen.append(b) or b for b in batches))
+    assert list(task(iter("ab"))) == ["a", "b"] and seen == ["back", "a", "b", "back"]
+
+
+def test_quality_scores_few_bytes_at_a_time():
+    scorer, texts = quality._Scorer(quality.train([])), [f"{i} words and marks, " * 250 for i in range(400)]
+    wanted = [scorer.scores([text])[0] for text in texts[::40]]
+    tracemalloc.start()
+    try:
+        found = scorer.scores(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.allclose(found[::40], wanted, atol=1e-6) and most < 60 << 20
